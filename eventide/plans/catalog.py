@@ -12,8 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.functions.time import ts_text
+from eventide.operators.distinct import window_distinct
+from eventide.operators.ratelimit import BLACKLIST_MSG, rate_limit
 from eventide.operators.topn import top_n
-from eventide.operators.windows import window_count
+from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +56,211 @@ def hot_items_topn(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     counts = window_count(ev, "item_id", "ts", "1 hour", "5 minutes", name="views")
     return top_n(counts, "item_id", n, count_col="views").select(
         "window_start", "window_end", "rank", "item_id", "views")
+
+
+def _sliding_sql(base: str, keys: list[str], slide_us: int, n: int, name: str,
+                 where: str = "") -> str:
+    """DuckDB: expand every row of ``base`` (needs ``us``) into its n windows."""
+    k = ", ".join(keys)
+    kc = (k + ", ") if keys else ""
+    return f"""
+b AS ({base}),
+x AS (SELECT {kc}us // {slide_us} - j AS s FROM b, range({n}) t(j) {where}),
+c AS (SELECT {kc}s, count(*) AS {name} FROM x GROUP BY {kc}s)"""
+
+
+def _bounds_sql(slide_us: int, size_us: int) -> str:
+    return (f"make_timestamp(s * {slide_us}) AS window_start, "
+            f"make_timestamp(s * {slide_us} + {size_us}) AS window_end")
+
+
+H = 3_600_000_000
+MIN5 = 300_000_000
+MIN10 = 600_000_000
+SEC5 = 5_000_000
+SEC10 = 10_000_000
+
+# --------------------------------------------------------------------------
+# J2 hot URLs: 10 min window sliding 5 s, top 5; one URL substring dropped.
+
+URL_EXCLUDE = "/signup/"
+
+HOT_URLS_SQL = f"""
+WITH {_sliding_sql(
+    "SELECT '/' || event_type || '/' || json_extract_string(props, '$.k') AS url, "
+    "epoch_us(ts) AS us FROM events", ["url"], SEC5, 120, "views",
+    f"WHERE NOT contains(url, '{URL_EXCLUDE}')")},
+r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY views DESC, url) AS rk FROM c)
+SELECT {_bounds_sql(SEC5, MIN10)}, CAST(rk AS INTEGER) AS rank, url, views
+FROM r WHERE rk <= 5
+"""
+
+
+@register("hot_urls_topn", HOT_URLS_SQL)
+def hot_urls_topn(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    logs = B.weblog_events(spark, sf_dir).filter(~F.col("url").contains(URL_EXCLUDE))
+    counts = window_count(logs, "url", "ts", "10 minutes", "5 seconds", name="views")
+    return top_n(counts, "url", n, count_col="views").select(
+        "window_start", "window_end", "rank", "url", "views")
+
+
+# --------------------------------------------------------------------------
+# J3 page views per tumbling hour.
+
+PAGE_VIEWS_SQL = f"""
+WITH c AS (SELECT epoch_us(ts) // {H} AS s, count(*) AS pv
+           FROM events WHERE event_type = 'view' GROUP BY 1)
+SELECT {_bounds_sql(H, H)}, pv FROM c
+"""
+
+
+@register("page_views_hourly", PAGE_VIEWS_SQL)
+def page_views_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = B.behavior_events(spark, sf_dir).filter(F.col("behavior") == "view")
+    return tumbling_count(ev, [], "ts", "1 hour", name="pv")
+
+
+# --------------------------------------------------------------------------
+# J4 / J5 unique visitors per tumbling hour.
+
+def _uv_sql(expr: str) -> str:
+    return f"""
+WITH c AS (SELECT epoch_us(ts) // {H} AS s, count(DISTINCT {expr}) AS uv
+           FROM events WHERE event_type = 'view' GROUP BY 1)
+SELECT {_bounds_sql(H, H)}, uv FROM c
+"""
+
+
+POLY_HASH_SQL = ("list_reduce(str_split(CAST(user_id AS VARCHAR), ''), "
+                 "lambda acc, ch: (acc * 97 + ascii(ch)) & 536870911, CAST(0 AS BIGINT))")
+
+
+def _uv(spark, sf_dir, method):
+    ev = B.behavior_events(spark, sf_dir).filter(F.col("behavior") == "view")
+    return window_distinct(ev, "user_id", "ts", "1 hour", method=method, name="uv")
+
+
+@register("unique_visitors_hourly", _uv_sql("user_id"))
+def unique_visitors_hourly(spark, sf_dir):
+    return _uv(spark, sf_dir, "exact")
+
+
+@register("unique_visitors_bitmap", _uv_sql(POLY_HASH_SQL))
+def unique_visitors_bitmap(spark, sf_dir):
+    return _uv(spark, sf_dir, "onehash")
+
+
+@register("unique_visitors_bitmap_exact", _uv_sql("user_id"))
+def unique_visitors_bitmap_exact(spark, sf_dir):
+    return _uv(spark, sf_dir, "bitmap")
+
+
+@register("unique_visitors_hll")
+def unique_visitors_hll(spark, sf_dir):
+    return _uv(spark, sf_dir, "hll")
+
+
+# --------------------------------------------------------------------------
+# J6 click cap: per (user, type, day) the first 2 events pass, the third
+# raises a blacklist row; then counts per type of the passed rows, 1 h / 5 s.
+
+CAP = 2
+
+_RANKED_SQL = f"""
+ranked AS (
+  SELECT event_id AS seq, ts, user_id, json_extract_string(props, '$.k')::BIGINT AS item_id,
+         event_type AS behavior, date_trunc('day', ts) AS day,
+         row_number() OVER (PARTITION BY user_id, event_type, date_trunc('day', ts)
+                            ORDER BY ts, event_id) AS rn
+  FROM events)"""
+
+RATE_PASS_SQL = f"""
+WITH {_RANKED_SQL}
+SELECT seq, ts, user_id, item_id, behavior FROM ranked WHERE rn <= {CAP}
+"""
+
+RATE_BLACKLIST_SQL = f"""
+WITH {_RANKED_SQL}
+SELECT user_id, behavior, day, ts, '{BLACKLIST_MSG}' AS msg FROM ranked WHERE rn = {CAP + 1}
+"""
+
+
+def _capped(spark, sf_dir):
+    ev = B.behavior_events(spark, sf_dir)
+    return rate_limit(ev, ["user_id", "behavior"], "ts", "seq", cap=CAP)
+
+
+@register("rate_limit_pass", RATE_PASS_SQL)
+def rate_limit_pass(spark, sf_dir):
+    return _capped(spark, sf_dir)[0]
+
+
+@register("rate_limit_blacklist", RATE_BLACKLIST_SQL)
+def rate_limit_blacklist(spark, sf_dir):
+    return _capped(spark, sf_dir)[1]
+
+
+RATE_COUNTS_SQL = f"""
+WITH {_RANKED_SQL},
+{_sliding_sql(f"SELECT behavior, epoch_us(ts) AS us FROM ranked WHERE rn <= {CAP}",
+              ["behavior"], SEC5, 720, "clicks")}
+SELECT behavior, {_bounds_sql(SEC5, H)}, clicks FROM c
+"""
+
+
+@register("rate_limited_counts", RATE_COUNTS_SQL)
+def rate_limited_counts(spark, sf_dir):
+    passed = _capped(spark, sf_dir)[0]
+    return window_count(passed, "behavior", "ts", "1 hour", "5 seconds", name="clicks")
+
+
+# --------------------------------------------------------------------------
+# J7 / J8 marketing counts, 1 h sliding 10 s; 'signup' stands for UNINSTALL.
+
+DROPPED_BEHAVIOR = "signup"
+_CHANNEL_SQL = ("list_extract(['" + "', '".join(B.CHANNELS) + "'], "
+                f"(user_id % {len(B.CHANNELS)})::INTEGER + 1)")
+
+
+def _text_bounds_sql(slide_us, size_us):
+    return (f"strftime(make_timestamp(s * {slide_us}), '%Y-%m-%d %H:%M:%S') || '.0' AS start_text, "
+            f"strftime(make_timestamp(s * {slide_us} + {size_us}), '%Y-%m-%d %H:%M:%S') || '.0' AS end_text")
+
+
+CHANNEL_COUNTS_SQL = f"""
+WITH {_sliding_sql(
+    f"SELECT {_CHANNEL_SQL} AS channel, event_type AS behavior, epoch_us(ts) AS us "
+    f"FROM events WHERE event_type <> '{DROPPED_BEHAVIOR}'",
+    ["channel", "behavior"], SEC10, 360, "count")}
+SELECT channel, behavior, {_bounds_sql(SEC10, H)}, {_text_bounds_sql(SEC10, H)}, "count" FROM c
+"""
+
+TOTAL_COUNTS_SQL = f"""
+WITH {_sliding_sql(
+    f"SELECT epoch_us(ts) AS us FROM events WHERE event_type <> '{DROPPED_BEHAVIOR}'",
+    [], SEC10, 360, "count")}
+SELECT 'appMarket' AS channel, 'total' AS behavior, {_bounds_sql(SEC10, H)},
+       {_text_bounds_sql(SEC10, H)}, "count" FROM c
+"""
+
+
+def _with_text_bounds(df):
+    return df.withColumn("start_text", ts_text(F.col("window_start"))) \
+             .withColumn("end_text", ts_text(F.col("window_end")))
+
+
+@register("channel_behavior_counts", CHANNEL_COUNTS_SQL)
+def channel_behavior_counts(spark, sf_dir):
+    ev = B.marketing_events(spark, sf_dir).filter(
+        ~F.col("behavior").eqNullSafe(DROPPED_BEHAVIOR))
+    return _with_text_bounds(
+        window_count(ev, ["channel", "behavior"], "ts", "1 hour", "10 seconds"))
+
+
+@register("behavior_total_counts", TOTAL_COUNTS_SQL)
+def behavior_total_counts(spark, sf_dir):
+    ev = B.marketing_events(spark, sf_dir).filter(
+        ~F.col("behavior").eqNullSafe(DROPPED_BEHAVIOR))
+    counts = window_count(ev, [], "ts", "1 hour", "10 seconds")
+    return _with_text_bounds(counts.select(
+        F.lit("appMarket").alias("channel"), F.lit("total").alias("behavior"), "*"))
