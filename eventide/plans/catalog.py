@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from eventide.functions.time import ts_text
 from eventide.operators.distinct import window_distinct
 from eventide.operators.ratelimit import BLACKLIST_MSG, rate_limit
+from eventide.operators.sequence import failure_bursts, followed_by, repeat_match
 from eventide.operators.topn import top_n
 from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
@@ -264,3 +265,116 @@ def behavior_total_counts(spark, sf_dir):
     counts = window_count(ev, [], "ts", "1 hour", "10 seconds")
     return _with_text_bounds(counts.select(
         F.lit("appMarket").alias("channel"), F.lit("total").alias("behavior"), "*"))
+
+
+# --------------------------------------------------------------------------
+# J11 order timeout: click followed by purchase within 4 h, per user.
+
+FUNNEL_WITHIN = "4 hours"
+
+FUNNEL_SQL = """
+WITH e AS (SELECT user_id, ts, event_id AS seq, event_type FROM events),
+c AS (SELECT * FROM e WHERE event_type = 'click'),
+p AS (SELECT * FROM e WHERE event_type = 'purchase'),
+m AS (
+  SELECT c.user_id, c.ts AS begin_ts, c.seq AS begin_seq,
+         (SELECT min(p.ts) FROM p
+          WHERE p.user_id = c.user_id
+            AND (p.ts > c.ts OR (p.ts = c.ts AND p.seq > c.seq))) AS first_pay
+  FROM c),
+r AS (
+  SELECT user_id, begin_ts, begin_seq,
+         CASE WHEN first_pay < begin_ts + INTERVAL 4 HOUR THEN first_pay END AS follow_ts,
+         CASE WHEN first_pay < begin_ts + INTERVAL 4 HOUR THEN 'success' ELSE 'timeout' END AS status
+  FROM m)
+SELECT * FROM r WHERE status = '{status}'
+"""
+
+
+def _funnel(spark, sf_dir):
+    ev = B.behavior_events(spark, sf_dir)
+    return followed_by(ev, "user_id", "ts", "seq", F.col("behavior") == "click",
+                       F.col("behavior") == "purchase", within=FUNNEL_WITHIN)
+
+
+@register("funnel_success", FUNNEL_SQL.replace("{status}", "success"))
+def funnel_success(spark, sf_dir):
+    return _funnel(spark, sf_dir).filter(F.col("status") == "success")
+
+
+@register("funnel_timeout", FUNNEL_SQL.replace("{status}", "timeout"))
+def funnel_timeout(spark, sf_dir):
+    return _funnel(spark, sf_dir).filter(F.col("status") == "timeout")
+
+
+# --------------------------------------------------------------------------
+# J10 consecutive failures: begin(error).next(error).within(12 h).times(2, 4).
+
+CONSECUTIVE_SQL = """
+WITH e AS (
+  SELECT user_id, ts, event_id AS seq, event_type,
+         lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_type,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+  FROM events),
+b AS (SELECT * FROM e WHERE event_type = 'error' AND next_type = 'error'),
+m AS (
+  SELECT b.user_id, b.ts, b.next_ts, count(*) AS later_fails
+  FROM b JOIN events x
+    ON x.user_id = b.user_id AND x.event_type = 'error'
+   AND (x.ts > b.ts OR (x.ts = b.ts AND x.event_id > b.seq))
+   AND x.ts < b.ts + INTERVAL 12 HOUR
+  GROUP BY b.user_id, b.ts, b.seq, b.next_ts)
+SELECT user_id, ts AS begin_ts, next_ts, CAST(k AS INTEGER) AS k
+FROM m, range(2, 5) t(k) WHERE k <= later_fails
+"""
+
+
+@register("consecutive_failures", CONSECUTIVE_SQL)
+def consecutive_failures(spark, sf_dir):
+    ev = B.behavior_events(spark, sf_dir)
+    return repeat_match(ev, "user_id", "ts", "seq", F.col("behavior") == "error",
+                        times=(2, 4), within="12 hours")
+
+
+# --------------------------------------------------------------------------
+# J9 failure bursts: >= 2 errors, timer 1 h after the first, cleared by any
+# other event.  Oracle: the reference's per-event state machine, folded over
+# each user's events by a recursive CTE.
+
+BURSTS_SQL = """
+WITH RECURSIVE e AS (
+  SELECT user_id, ts, event_type = 'error' AS f,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM events),
+st AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS a,
+         CAST(NULL AS TIMESTAMP) AS l, CAST(0 AS BIGINT) AS n,
+         CAST(NULL AS TIMESTAMP) AS oa, CAST(NULL AS TIMESTAMP) AS ol, CAST(NULL AS BIGINT) AS onum
+  FROM (SELECT DISTINCT user_id FROM e) u
+  UNION ALL
+  SELECT s.user_id, e.rn,
+         CASE WHEN e.f THEN CASE WHEN s.a IS NULL OR e.ts > s.a + INTERVAL 1 HOUR
+                                 THEN e.ts ELSE s.a END END,
+         CASE WHEN e.f THEN e.ts END,
+         CASE WHEN e.f THEN CASE WHEN s.a IS NULL OR e.ts > s.a + INTERVAL 1 HOUR
+                                 THEN 1 ELSE s.n + 1 END ELSE 0 END,
+         CASE WHEN s.a IS NOT NULL AND e.ts > s.a + INTERVAL 1 HOUR THEN s.a END,
+         CASE WHEN s.a IS NOT NULL AND e.ts > s.a + INTERVAL 1 HOUR THEN s.l END,
+         CASE WHEN s.a IS NOT NULL AND e.ts > s.a + INTERVAL 1 HOUR THEN s.n END
+  FROM st s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1),
+fin AS (
+  SELECT user_id, a, l, n,
+         row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS back
+  FROM st)
+SELECT user_id, oa AS start_ts, ol AS end_ts, onum AS fails FROM st
+WHERE oa IS NOT NULL AND onum >= 2
+UNION ALL
+SELECT user_id, a, l, n FROM fin WHERE back = 1 AND a IS NOT NULL AND n >= 2
+"""
+
+
+@register("failure_bursts", BURSTS_SQL)
+def failure_bursts_q(spark, sf_dir):
+    ev = B.behavior_events(spark, sf_dir)
+    return failure_bursts(ev, "user_id", "ts", "seq", F.col("behavior") == "error",
+                          min_fails=2, span="1 hour")
