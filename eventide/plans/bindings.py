@@ -60,14 +60,14 @@ def marketing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pay events: one per order, transaction id = order key as text."""
+    """Pay events: one per order; the transaction id is the order key (kept
+    BIGINT so the join can reuse the aggregate's partitioning)."""
     o = table(spark, sf_dir, "orders")
-    return o.select(F.col("o_orderkey").cast("string").alias("tx_id"),
-                    F.col("o_orderdate").alias("pay_ts"))
+    return o.select(F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipt events: first ship date per order in lineitem."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy("l_orderkey").agg(F.min("l_shipdate").alias("receipt_ts"))
-            .select(F.col("l_orderkey").cast("string").alias("tx_id"), "receipt_ts"))
+    return (li.groupBy(F.col("l_orderkey").alias("tx_id"))
+            .agg(F.min("l_shipdate").alias("receipt_ts")))

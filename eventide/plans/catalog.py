@@ -11,14 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.functions.time import ts_text
+from eventide.functions.time import epoch_micros, floor_div, from_micros, ts_text
 from eventide.operators.distinct import window_distinct
 from eventide.operators.ratelimit import BLACKLIST_MSG, rate_limit
+from eventide.operators.report import ranked_report, region_report
+from eventide.operators.reconcile import reconcile, window_join
 from eventide.operators.sequence import failure_bursts, followed_by, repeat_match
 from eventide.operators.topn import top_n
 from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
+from eventide.sources.files import WEBLOG_TIME_FORMAT, parse_delimited, parse_weblog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -378,3 +382,145 @@ def failure_bursts_q(spark, sf_dir):
     ev = B.behavior_events(spark, sf_dir)
     return failure_bursts(ev, "user_id", "ts", "seq", F.col("behavior") == "error",
                           min_fails=2, span="1 hour")
+
+
+# --------------------------------------------------------------------------
+# J12 / J13 reconciliation: payments (orders) against receipts (first ship
+# date per order).
+
+_PR_SQL = """
+WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_ts FROM orders),
+r AS (SELECT l_orderkey AS tx_id, min(l_shipdate) AS receipt_ts FROM lineitem GROUP BY l_orderkey)"""
+
+RECONCILE_SQL = _PR_SQL + """
+SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, p.pay_ts, r.receipt_ts,
+       CASE WHEN p.tx_id IS NOT NULL AND r.tx_id IS NOT NULL THEN 'matched'
+            WHEN r.tx_id IS NULL THEN 'unmatched_pay' ELSE 'unmatched_receipt' END AS status
+FROM p FULL OUTER JOIN r ON p.tx_id = r.tx_id {cond}
+"""
+
+RECONCILE_TOLERANCE = "30 days"
+
+
+@register("reconcile_full", RECONCILE_SQL.replace("{cond}", ""))
+def reconcile_full(spark, sf_dir):
+    return reconcile(B.payments(spark, sf_dir), B.receipts(spark, sf_dir),
+                     "tx_id", "pay_ts", "receipt_ts")
+
+
+@register("reconcile_interval", RECONCILE_SQL.replace(
+    "{cond}", "AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 30 DAY AND p.pay_ts + INTERVAL 30 DAY"))
+def reconcile_interval(spark, sf_dir):
+    return reconcile(B.payments(spark, sf_dir), B.receipts(spark, sf_dir),
+                     "tx_id", "pay_ts", "receipt_ts", tolerance=RECONCILE_TOLERANCE)
+
+
+D30 = 30 * 86_400_000_000
+
+WINDOW_JOIN_SQL = _PR_SQL + f"""
+SELECT p.tx_id, make_timestamp(epoch_us(p.pay_ts) // {D30} * {D30}) AS window_start,
+       make_timestamp(epoch_us(p.pay_ts) // {D30} * {D30} + {D30}) AS window_end,
+       p.pay_ts, r.receipt_ts
+FROM p JOIN r ON p.tx_id = r.tx_id
+ AND epoch_us(p.pay_ts) // {D30} = epoch_us(r.receipt_ts) // {D30}
+"""
+
+
+@register("reconcile_window_inner", WINDOW_JOIN_SQL)
+def reconcile_window_inner(spark, sf_dir):
+    return window_join(B.payments(spark, sf_dir), B.receipts(spark, sf_dir),
+                       "tx_id", "pay_ts", "receipt_ts", "30 days")
+
+
+# --------------------------------------------------------------------------
+# P13 / P12 text reports.
+
+_TS_TEXT = "strftime({c}, '%Y-%m-%d %H:%M:%S') || '.0'"
+
+RANKED_REPORT_SQL = f"""
+SELECT window_end,
+       'window end: ' || {_TS_TEXT.format(c='window_end')} || chr(10) ||
+       string_agg('No' || rank || ': item=' || item_id || ' views=' || views, chr(10) ORDER BY rank)
+       AS report
+FROM ({HOT_ITEMS_SQL}) q GROUP BY window_end
+"""
+
+
+@register("ranked_report", RANKED_REPORT_SQL)
+def ranked_report_q(spark, sf_dir):
+    return ranked_report(hot_items_topn(spark, sf_dir), "item_id", "views",
+                         key_label="item", count_label="views")
+
+
+REGION_REPORT_SQL = f"""
+SELECT behavior, window_end,
+       {_TS_TEXT.format(c='window_end')} || ' ' || behavior || ' ' || clicks AS report
+FROM ({RATE_COUNTS_SQL}) q
+"""
+
+
+@register("region_report", REGION_REPORT_SQL)
+def region_report_q(spark, sf_dir):
+    return region_report(rate_limited_counts(spark, sf_dir), "behavior", "clicks")
+
+
+# --------------------------------------------------------------------------
+# Lines rendered from events, parsed back.
+
+def _behavior_lines(spark, sf_dir):
+    ev = B.behavior_events(spark, sf_dir)
+    sec = floor_div(epoch_micros(ev, "ts"), 1_000_000)
+    # userId, itemId, categoryId, behavior, seconds -- padded to test trim
+    return ev.select(F.concat(
+        F.lit(" "), F.col("user_id").cast("string"), F.lit(", "),
+        F.col("item_id").cast("string"), F.lit(","),
+        F.pmod(F.col("item_id"), F.lit(7)).cast("string"), F.lit(" ,"),
+        F.col("behavior"), F.lit(", "), sec.cast("string")).alias("value"))
+
+
+BEHAVIOR_SCHEMA = T.StructType([
+    T.StructField("user_id", T.LongType()),
+    T.StructField("item_id", T.LongType()),
+    T.StructField("category_id", T.IntegerType()),
+    T.StructField("behavior", T.StringType()),
+    T.StructField("ts_seconds", T.LongType()),
+])
+
+PARSE_CSV_SQL = """
+SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+       CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 AS INTEGER) AS category_id,
+       event_type AS behavior, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts
+FROM events
+"""
+
+
+@register("parse_csv_line", PARSE_CSV_SQL)
+def parse_csv_line(spark, sf_dir):
+    rows = parse_delimited(_behavior_lines(spark, sf_dir), BEHAVIOR_SCHEMA, ",")
+    return rows.select("user_id", "item_id", "category_id", "behavior",
+                       from_micros(F.col("ts_seconds") * 1_000_000).alias("ts"))
+
+
+def _weblog_lines(spark, sf_dir):
+    ev = B.weblog_events(spark, sf_dir)
+    ip = F.concat_ws(".", F.lit("10"), F.pmod("user_id", F.lit(256)).cast("string"),
+                     F.pmod("seq", F.lit(256)).cast("string"), F.lit("1"))
+    method = F.when(F.col("url").startswith("/purchase/"), "POST").otherwise("GET")
+    return ev.select(F.concat_ws(
+        " ", ip, F.col("user_id").cast("string"), F.lit("-"),
+        F.date_format("ts", WEBLOG_TIME_FORMAT), F.lit("+0000"), method, "url").alias("value"))
+
+
+PARSE_WEBLOG_SQL = """
+SELECT '10.' || (user_id % 256) || '.' || (event_id % 256) || '.1' AS ip,
+       CAST(user_id AS VARCHAR) AS user_id,
+       date_trunc('second', ts) AS event_time,
+       CASE WHEN event_type = 'purchase' THEN 'POST' ELSE 'GET' END AS method,
+       '/' || event_type || '/' || json_extract_string(props, '$.k') AS url
+FROM events
+"""
+
+
+@register("parse_weblog_line", PARSE_WEBLOG_SQL)
+def parse_weblog_line(spark, sf_dir):
+    return parse_weblog(_weblog_lines(spark, sf_dir))
