@@ -32,6 +32,10 @@ from eventide.functions.time import (duration_us, epoch_micros, floor_div,
                                      from_micros, is_ntz)
 
 
+# Largest number of windows one task expands from a single run.
+CHUNK = 4096
+
+
 def _as_list(keys: str | Sequence[str] | None) -> list[str]:
     if keys is None:
         return []
@@ -117,9 +121,26 @@ def _panes(df, keys, ts, size_us, slide_us, value, name):
             .withColumn("run_value", F.sum("dv").over(upto) if value else F.col("run_count"))
             .withColumn("s_next", F.lead("s").over(w))
             .filter(F.col("run_count") > 0))
-    starts = runs.select(
+    # Runs are few (at most two per pane) but a run can stand for many
+    # windows, and the prefix-sum stage has only as many busy tasks as there
+    # are keys.  Cut runs into chunks of at most CHUNK windows and spread the
+    # chunks round-robin before expanding, so the output is produced by all
+    # tasks, whatever the key count or skew.
+    chunks = runs.select(
+        *keys, "run_value",
+        F.explode(F.sequence(F.lit(0).cast("bigint"),
+                             F.call_function("div", F.col("s_next") - F.col("s") - 1,
+                                             F.lit(CHUNK)))).alias("ci"),
+        "s", "s_next")
+    chunks = chunks.select(
+        *keys, "run_value",
+        (F.col("s") + F.col("ci") * CHUNK).alias("c_lo"),
+        F.least(F.col("s") + (F.col("ci") + 1) * CHUNK, F.col("s_next")).alias("c_hi"))
+    spark = df.sparkSession
+    chunks = chunks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    starts = chunks.select(
         *keys,
-        F.explode(F.sequence(F.col("s"), F.col("s_next") - 1)).alias("ws"),
+        F.explode(F.sequence(F.col("c_lo"), F.col("c_hi") - 1)).alias("ws"),
         F.col("run_value").alias(name))
     start_us = F.col("ws") * F.lit(slide_us)
     return starts.select(
