@@ -24,7 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def behavior_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UserBehavior-shaped view of ``events``: seq, ts, user_id, item_id, behavior."""
-    ev = table(spark, sf_dir, "events")
+    return behavior_view(table(spark, sf_dir, "events"))
+
+
+def behavior_stream(spark: SparkSession, sf_dir: str,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same view over ``events`` read as a file stream."""
+    from eventide.streaming.jobs import stream_table
+    return behavior_view(stream_table(spark, sf_dir, "events", max_files_per_trigger))
+
+
+def behavior_view(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("seq"),
         "ts",

@@ -22,6 +22,7 @@ from eventide.operators.sequence import failure_bursts, followed_by, repeat_matc
 from eventide.operators.topn import top_n
 from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
+from eventide.streaming import jobs as SJ
 from eventide.sources.files import WEBLOG_TIME_FORMAT, parse_delimited, parse_weblog
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -524,3 +525,103 @@ FROM events
 @register("parse_weblog_line", PARSE_WEBLOG_SQL)
 def parse_weblog_line(spark, sf_dir):
     return parse_weblog(_weblog_lines(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Streaming forms: events read as a file stream, availableNow, file sink.
+# Oracles are the batch queries restricted to what the final watermark has
+# closed (max event time, lag 0).
+
+_MAX_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+_MAX_ALL = "(SELECT max(ts) FROM events)"
+
+
+@register("stream_page_views",
+          f"SELECT * FROM ({PAGE_VIEWS_SQL}) q WHERE window_end <= {_MAX_VIEW}")
+def stream_page_views(spark, sf_dir):
+    return SJ.run_to_files(SJ.page_views_stream(B.behavior_stream(spark, sf_dir)),
+                           "page_views")
+
+
+@register("stream_unique_visitors",
+          f"SELECT * FROM ({_uv_sql('user_id')}) q WHERE window_end <= {_MAX_VIEW}")
+def stream_unique_visitors(spark, sf_dir):
+    return SJ.run_to_files(SJ.unique_visitors_stream(B.behavior_stream(spark, sf_dir)),
+                           "unique_visitors")
+
+
+@register("stream_hot_items",
+          f"SELECT * FROM ({HOT_ITEMS_SQL}) q WHERE window_end <= {_MAX_VIEW}")
+def stream_hot_items(spark, sf_dir):
+    return SJ.run_to_files(SJ.hot_items_stream(B.behavior_stream(spark, sf_dir)), "hot_items")
+
+
+STREAM_RATE_SQL = f"""
+WITH {_RANKED_SQL}
+SELECT seq, ts, user_id, behavior,
+       CASE WHEN rn <= {CAP} THEN 'pass' ELSE 'blacklist' END AS tag
+FROM ranked WHERE rn <= {CAP + 1}
+"""
+
+
+@register("stream_rate_limit", STREAM_RATE_SQL)
+def stream_rate_limit(spark, sf_dir):
+    return SJ.run_to_files(SJ.rate_limit_stream(B.behavior_stream(spark, sf_dir), CAP),
+                           "rate_limit")
+
+
+# Bursts closed by a later event of the user are emitted at once; a user's
+# last burst only when its timer (start + 1 h) is under the final watermark.
+STREAM_BURSTS_SQL = BURSTS_SQL.replace(
+    "SELECT user_id, a, l, n FROM fin WHERE back = 1 AND a IS NOT NULL AND n >= 2",
+    f"SELECT user_id, a, l, n FROM fin WHERE back = 1 AND a IS NOT NULL AND n >= 2 "
+    f"AND a + INTERVAL 1 HOUR <= {_MAX_ALL}")
+
+
+@register("stream_failure_bursts", STREAM_BURSTS_SQL)
+def stream_failure_bursts(spark, sf_dir):
+    return SJ.run_to_files(
+        SJ.failure_bursts_stream(B.behavior_stream(spark, sf_dir), "1 hour", 2),
+        "failure_bursts")
+
+
+# Timeouts without any later purchase wait for their timer (begin + 4 h)
+# to pass the final watermark (max time of click/purchase rows).
+STREAM_FUNNEL_SQL = FUNNEL_SQL.replace(
+    "SELECT * FROM r WHERE status = '{status}'",
+    "SELECT r.user_id, r.begin_ts, r.begin_seq, r.follow_ts, r.status FROM r JOIN m "
+    "ON r.user_id = m.user_id AND r.begin_seq = m.begin_seq "
+    "WHERE m.first_pay IS NOT NULL OR r.begin_ts + INTERVAL 4 HOUR <= "
+    "(SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase'))")
+
+
+@register("stream_funnel", STREAM_FUNNEL_SQL)
+def stream_funnel(spark, sf_dir):
+    return SJ.run_to_files(SJ.funnel_stream(B.behavior_stream(spark, sf_dir), FUNNEL_WITHIN),
+                           "funnel")
+
+
+@register("stream_reconcile")
+def stream_reconcile(spark, sf_dir):
+    pays = SJ.stream_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
+    # one receipt per order: the ship date of its first line
+    rec = (SJ.stream_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
+           .select(F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_ts")))
+    return SJ.run_to_files(SJ.reconcile_stream(pays, rec, "tx_id", "pay_ts", "receipt_ts",
+                                               RECONCILE_TOLERANCE), "reconcile")
+
+
+UPSERT_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()),
+                              T.StructField("window_end", T.TimestampNTZType()),
+                              T.StructField("bucket", T.LongType()),
+                              T.StructField("bm", T.BinaryType())])
+
+
+@register("upsert_uv_counts", _uv_sql("user_id"))
+def upsert_uv_counts(spark, sf_dir):
+    base = SJ.run_foreach_batch(SJ.uv_bitmap_updates(B.behavior_stream(spark, sf_dir)),
+                                "uv_upsert", SJ.upsert_by_key, "update")
+    latest = SJ.read_upserted(spark, base, ["window_start", "bucket"], UPSERT_SCHEMA)
+    return (latest.groupBy("window_start", "window_end")
+            .agg(F.sum(F.bitmap_count("bm")).alias("uv")))
