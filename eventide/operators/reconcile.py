@@ -13,7 +13,8 @@ two value states and timers:
 
 Plan: one sort-merge (or AQE-chosen) full outer join on the id; the interval
 is a join condition evaluated inside the join, not a filter after it.  Ids
-are assumed unique per side, as the reference's single value state assumes.
+are taken as unique per side, as the reference's single value state
+assumes; ``dedupe=True`` first keeps the latest event per id and side.
 """
 
 from __future__ import annotations
@@ -42,13 +43,28 @@ def _interval_us(df: DataFrame, col: str) -> Column:
     return epoch_micros(df, col)
 
 
+def latest_per_key(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """One row per id, the latest by ``ts`` (the reference's value state keeps
+    the last unmatched event of a side).  A partial aggregate before the
+    shuffle, so an id repeated a billion times costs one row per task."""
+    return df.groupBy(key).agg(F.max(ts).alias(ts))
+
+
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_ts: str,
-              right_ts: str, tolerance: str | int | None = None) -> DataFrame:
-    """Full outer reconciliation; output: key, left_ts, right_ts, status."""
+              right_ts: str, tolerance: str | int | None = None,
+              dedupe: bool = False) -> DataFrame:
+    """Full outer reconciliation; output: key, left_ts, right_ts, status.
+
+    With ``dedupe=True`` each side is first reduced to its latest event per
+    id; use it when ids may repeat on a side.
+    """
     lf = left.filter(nonempty_key(left, key)).select(
         F.col(key).alias("_lk"), F.col(left_ts).alias(left_ts))
     rt = right.filter(nonempty_key(right, key)).select(
         F.col(key).alias("_rk"), F.col(right_ts).alias(right_ts))
+    if dedupe:
+        lf = latest_per_key(lf, "_lk", left_ts)
+        rt = latest_per_key(rt, "_rk", right_ts)
     cond = F.col("_lk") == F.col("_rk")
     if tolerance is not None:
         tol = duration_us(tolerance)

@@ -8,7 +8,9 @@ own bucket and is copied into the neighbouring bucket when it lies within the
 operator's look-back / look-ahead distance of the bucket border (the halo).
 Windows then run per ``(key, bucket)`` and only rows of the bucket itself
 produce output.  Because every operator here has a bounded temporal reach,
-this is exact; a hot key is spread over ``time span / bucket`` tasks.
+this is exact; a hot key is spread over ``time span / bucket`` groups.  The
+default bucket is four times the operator's reach (``within`` / ``span``),
+so the split is as fine as the operator allows at <= 25% copied rows.
 
 Forward look-ups ("next event of a kind after this row") use a descending
 order with a running frame, which Spark evaluates incrementally; frames that
@@ -51,8 +53,20 @@ def _prepare(df: DataFrame, key: str, ts: str, seq: str, flags: dict[str, Column
     return ev.withColumn("_us", epoch_micros(ev, "_ts")), is_ntz(ev, "_ts")
 
 
-def _bucket_width(bucket: str | int, *halo: int) -> int:
-    return max(duration_us(bucket), *halo, 1)
+def _bucket_width(bucket: str | int | None, *halo: int) -> int:
+    """Bucket width: given, or ``AUTO_FACTOR`` times the widest halo.
+
+    Narrow buckets split a hot key finely; the price is the halo copies,
+    at most ``1 / AUTO_FACTOR`` of the rows per halo side.
+    """
+    widest = max(*halo, 1)
+    if bucket is None or bucket == "auto":
+        return max(AUTO_FACTOR * widest, MIN_BUCKET_US)
+    return max(duration_us(bucket), widest)
+
+
+AUTO_FACTOR = 4
+MIN_BUCKET_US = 1_000_000
 
 
 # ---------------------------------------------------------------------------
@@ -60,7 +74,7 @@ def _bucket_width(bucket: str | int, *halo: int) -> int:
 
 def followed_by(df: DataFrame, key: str, ts: str, seq: str, first: Column,
                 then: Column, within: str | int = "15 minutes",
-                bucket: str | int = "1 day") -> DataFrame:
+                bucket: str | int | None = "auto") -> DataFrame:
     """Every ``first`` row is matched with the first ``then`` row after it.
 
     ``status`` is ``success`` when that row exists and is less than
@@ -93,7 +107,7 @@ def followed_by(df: DataFrame, key: str, ts: str, seq: str, first: Column,
 
 def repeat_match(df: DataFrame, key: str, ts: str, seq: str, pred: Column,
                  times: tuple[int, int] = (2, 4), within: str | int = "2 seconds",
-                 bucket: str | int = "1 day") -> DataFrame:
+                 bucket: str | int | None = "auto") -> DataFrame:
     """Strictly consecutive repeats of ``pred`` rows, every match emitted.
 
     A match starts at a ``pred`` row whose immediately next row (of any
@@ -215,7 +229,7 @@ def chain_closure(starts: DataFrame, links: DataFrame, max_rounds: int = 64) ->
 
 def failure_bursts(df: DataFrame, key: str, ts: str, seq: str, is_fail: Column,
                    min_fails: int = 2, span: str | int = "5 seconds",
-                   bucket: str | int = "1 day") -> DataFrame:
+                   bucket: str | int | None = "auto") -> DataFrame:
     """Bursts of failures per key.
 
     The first failure starts a burst and sets a timer at ``start + span``;

@@ -46,7 +46,10 @@ def behavior_view(ev: DataFrame) -> DataFrame:
 
 def weblog_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LogEvent-shaped view: url = '/<event_type>/<k>'."""
-    ev = behavior_events(spark, sf_dir)
+    return weblog_view(behavior_events(spark, sf_dir))
+
+
+def weblog_view(ev: DataFrame) -> DataFrame:
     return ev.select(
         "seq", "ts", "user_id",
         F.concat(F.lit("/"), F.col("behavior"), F.lit("/"),

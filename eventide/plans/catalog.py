@@ -625,3 +625,13 @@ def upsert_uv_counts(spark, sf_dir):
     latest = SJ.read_upserted(spark, base, ["window_start", "bucket"], UPSERT_SCHEMA)
     return (latest.groupBy("window_start", "window_end")
             .agg(F.sum(F.bitmap_count("bm")).alias("uv")))
+
+
+# J2 on a stream: watermark 61 s (1 s out-of-orderness + 1 min lateness).
+@register("stream_hot_urls",
+          f"SELECT * FROM ({HOT_URLS_SQL}) q WHERE window_end <= "
+          f"(SELECT max(ts) FROM events WHERE event_type <> 'signup') - INTERVAL 61 SECOND")
+def stream_hot_urls(spark, sf_dir):
+    logs = B.weblog_view(B.behavior_stream(spark, sf_dir)).filter(
+        ~F.col("url").contains(URL_EXCLUDE))
+    return SJ.run_to_files(SJ.hot_urls_stream(logs), "hot_urls")

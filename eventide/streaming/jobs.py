@@ -113,6 +113,24 @@ def hot_items_stream(events: DataFrame, n: int = 3, size: str = "1 hour",
                     F.col("t.item_id").alias("item_id"), F.col("t.views").alias("views")))
 
 
+def hot_urls_stream(logs: DataFrame, n: int = 5, size: str = "10 minutes",
+                    slide: str = "5 seconds", delay: str = "61 seconds") -> DataFrame:
+    """J2 on a stream: 1 s out-of-orderness plus 1 min allowed lateness
+    become one 61 s watermark delay (T2 + T3); each window is ranked once,
+    complete, when the watermark passes its end."""
+    timed = event_time(logs, "ts", delay)
+    wins = stream_window_counts(timed, ["url"], size, slide, "views")
+    per_end = (wins.groupBy(F.window(F.window_time("w"), slide).alias("g"))
+               .agg(F.slice(F.array_sort(F.collect_list(F.struct(
+                   (-F.col("views")).alias("neg"), F.col("url").alias("url"),
+                   F.col("views").alias("views"), F.col("w").alias("w")))), 1, n).alias("top")))
+    return (per_end.select(F.posexplode("top").alias("pos", "t"))
+            .select(to_ntz(F.col("t.w.start")).alias("window_start"),
+                    to_ntz(F.col("t.w.end")).alias("window_end"),
+                    (F.col("pos") + 1).cast("int").alias("rank"),
+                    F.col("t.url").alias("url"), F.col("t.views").alias("views")))
+
+
 def page_views_stream(events: DataFrame) -> DataFrame:
     """J3 on a stream: tumbling hour count of views."""
     views = event_time(events.filter(F.col("behavior") == "view"), "ts")
