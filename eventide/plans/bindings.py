@@ -63,7 +63,10 @@ CHANNELS = ["weibo", "wechat", "app-store", "huawei", "wandoujia"]
 
 def marketing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MarketingUserBehavior-shaped view: channel from user_id, behavior = type."""
-    ev = behavior_events(spark, sf_dir)
+    return marketing_view(behavior_events(spark, sf_dir))
+
+
+def marketing_view(ev: DataFrame) -> DataFrame:
     channels = F.array(*[F.lit(c) for c in CHANNELS])
     return ev.select(
         "seq", "ts", "user_id",

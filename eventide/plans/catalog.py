@@ -601,7 +601,27 @@ def stream_funnel(spark, sf_dir):
                            "funnel")
 
 
-@register("stream_reconcile")
+# Matched pairs appear at once; an unmatched row once even its latest
+# possible partner (ts + tolerance) is strictly below the global watermark,
+# the minimum of both inputs' max event time (lag 0).
+STREAM_RECONCILE_SQL = """
+WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_ts FROM orders),
+r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_ts FROM lineitem WHERE l_linenumber = 1),
+wm AS (SELECT least((SELECT max(pay_ts) FROM p), (SELECT max(receipt_ts) FROM r)) AS w),
+j AS (
+  SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, p.pay_ts, r.receipt_ts,
+         CASE WHEN p.tx_id IS NOT NULL AND r.tx_id IS NOT NULL THEN 'matched'
+              WHEN r.tx_id IS NULL THEN 'unmatched_pay' ELSE 'unmatched_receipt' END AS status
+  FROM p FULL OUTER JOIN r ON p.tx_id = r.tx_id
+   AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 30 DAY AND p.pay_ts + INTERVAL 30 DAY)
+SELECT tx_id, pay_ts, receipt_ts, status FROM j, wm
+WHERE status = 'matched'
+   OR (status = 'unmatched_pay' AND pay_ts + INTERVAL 30 DAY < w)
+   OR (status = 'unmatched_receipt' AND receipt_ts + INTERVAL 30 DAY < w)
+"""
+
+
+@register("stream_reconcile", STREAM_RECONCILE_SQL)
 def stream_reconcile(spark, sf_dir):
     pays = SJ.stream_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
@@ -635,3 +655,20 @@ def stream_hot_urls(spark, sf_dir):
     logs = B.weblog_view(B.behavior_stream(spark, sf_dir)).filter(
         ~F.col("url").contains(URL_EXCLUDE))
     return SJ.run_to_files(SJ.hot_urls_stream(logs), "hot_urls")
+
+
+@register("stream_rate_limited_counts",
+          f"SELECT * FROM ({RATE_COUNTS_SQL}) q WHERE window_end <= {_MAX_ALL}")
+def stream_rate_limited_counts(spark, sf_dir):
+    return SJ.run_to_files(
+        SJ.rate_limited_counts_stream(B.behavior_stream(spark, sf_dir), CAP), "rate_counts")
+
+
+@register("stream_channel_counts",
+          'SELECT channel, behavior, window_start, window_end, "count" '
+          
+          f"FROM ({CHANNEL_COUNTS_SQL}) q WHERE window_end <= "
+          f"(SELECT max(ts) FROM events WHERE event_type <> '{DROPPED_BEHAVIOR}')")
+def stream_channel_counts(spark, sf_dir):
+    ev = B.marketing_view(B.behavior_stream(spark, sf_dir))
+    return SJ.run_to_files(SJ.channel_counts_stream(ev, DROPPED_BEHAVIOR), "channel_counts")

@@ -163,15 +163,44 @@ RATE_OUT = T.StructType([T.StructField("seq", T.LongType()),
                          T.StructField("tag", T.StringType())])
 
 
-def rate_limit_stream(events: DataFrame, cap: int) -> DataFrame:
-    """T5 on a stream: per (user, behavior) value state of the current day."""
+def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
+                      ) -> DataFrame:
+    """T5 on a stream: per (user, behavior) value state of the current day.
+
+    With ``keep_event_time`` the output carries ``event_time`` as its new
+    event-time column, so windowed aggregates can be chained after it.
+    """
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = (ev.withColumn("ev_seq", F.col("seq")).withColumn("ev_ts", F.col("ts"))
           .withColumn("day_us", F.col("ev_us") - F.pmod(F.col("ev_us"), F.lit(86_400_000_000))))
     ev = event_time(ev, "ts")
+    schema, extra = RATE_OUT, {}
+    if keep_event_time:
+        schema = T.StructType(RATE_OUT.fields + [T.StructField("event_time", T.TimestampType())])
+        extra = {"eventTimeColumnName": "event_time"}
     return (ev.groupBy("user_id", "behavior")
-            .transformWithStateInPandas(RateLimitProcessor(cap, ["user_id", "behavior"]),
-                                        RATE_OUT, "Append", "EventTime"))
+            .transformWithStateInPandas(
+                RateLimitProcessor(cap, ["user_id", "behavior"], keep_event_time),
+                schema, "Append", "EventTime", **extra))
+
+
+def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour",
+                               slide: str = "5 seconds") -> DataFrame:
+    """J6 on a stream: click cap, then passed clicks per type and sliding
+    window (pane form), chained after the stateful processor."""
+    passed = rate_limit_stream(events, cap, keep_event_time=True).filter(F.col("tag") == "pass")
+    w = stream_window_counts(passed, ["behavior"], size, slide, "clicks")
+    return w.select("behavior", to_ntz(F.col("w.start")).alias("window_start"),
+                    to_ntz(F.col("w.end")).alias("window_end"), "clicks")
+
+
+def channel_counts_stream(events: DataFrame, dropped: str, size: str = "1 hour",
+                          slide: str = "10 seconds") -> DataFrame:
+    """J7 on a stream: count per (channel, behavior), sliding window."""
+    ev = event_time(events.filter(~F.col("behavior").eqNullSafe(dropped)), "ts")
+    w = stream_window_counts(ev, ["channel", "behavior"], size, slide, "count")
+    return w.select("channel", "behavior", to_ntz(F.col("w.start")).alias("window_start"),
+                    to_ntz(F.col("w.end")).alias("window_end"), "count")
 
 
 BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),

@@ -48,9 +48,10 @@ class RateLimitProcessor(StatefulProcessor):
 
     DAY_US = 86_400_000_000
 
-    def __init__(self, cap: int, key_names: list[str]):
+    def __init__(self, cap: int, key_names: list[str], keep_event_time: bool = False):
         self.cap = cap
         self.key_names = key_names
+        self.keep_event_time = keep_event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -82,8 +83,11 @@ class RateLimitProcessor(StatefulProcessor):
         pdf["tag"] = tags
         out = pdf[pdf["tag"].notna()]
         if len(out):
-            yield out[["ev_seq", "ev_ts", *self.key_names, "tag"]].rename(
-                columns={"ev_seq": "seq", "ev_ts": "ts"})
+            cols = ["ev_seq", "ev_ts", *self.key_names, "tag"]
+            res = out[cols].rename(columns={"ev_seq": "seq", "ev_ts": "ts"})
+            if self.keep_event_time:
+                res = res.assign(event_time=out["event_time"])
+            yield res
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
         self.state.clear()
