@@ -28,6 +28,8 @@ BASE_CONF = {
     # The Python state API talks to the JVM per call; a Unix domain socket
     # avoids TCP round-trip latency on every state read/write.
     "spark.python.unix.domain.socket.enabled": "true",
+    # RocksDB state: commit a change log instead of a snapshot per batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

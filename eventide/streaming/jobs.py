@@ -20,7 +20,7 @@ from eventide.functions.time import duration_us, epoch_micros
 from eventide.operators.reconcile import nonempty_key
 from eventide.session import scratch_path
 from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProcessor,
-                                           RateLimitProcessor)
+                                           RateLimitProcessor, SlidingCountProcessor)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -81,36 +81,90 @@ def run_foreach_batch(df: DataFrame, name: str, fn, output_mode: str = "update")
 # ---------------------------------------------------------------------------
 # Window jobs
 
-def stream_window_counts(views: DataFrame, keys: list[str], size: str, slide: str | None,
+def stream_window_counts(timed: DataFrame, keys: list[str], size: str, slide: str | None,
                          name: str = "count") -> DataFrame:
-    """A1 + W1/W3 on a stream, pane form (4.2): tumbling slide-wide panes,
-    then windows over the panes' event time, chained in append mode."""
+    """A1 + W1-W6 on a stream.  Output: keys, window_start, window_end
+    (timestamp_ntz), ``name``, ``event_time`` (window end - 1 us, the
+    watermarked event time for chained stages).
+
+    Tumbling and sparse sliding windows: native chained append-mode
+    aggregates over slide-wide panes (one state entry per open window).
+    Dense sliding windows (more than ``DENSE_OVERLAP`` windows per pane):
+    :func:`sliding_counts_stream` (one state entry per pane).
+    """
     slide = slide or size
-    panes = (views.groupBy(*keys, F.window("event_time", slide).alias("pane"))
+    n = duration_us(size) // duration_us(slide)
+    if n > DENSE_OVERLAP and duration_us(size) % duration_us(slide) == 0:
+        return sliding_counts_stream(timed, keys, size, slide, name, event_time_out=True)
+    panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("pane"))
              .agg(F.count(F.lit(1)).alias("_c")))
     if slide == size:
         wins = panes.select(*keys, F.col("pane").alias("w"), F.col("_c").alias(name))
     else:
         wins = (panes.groupBy(*keys, F.window(F.window_time("pane"), size, slide).alias("w"))
                 .agg(F.sum("_c").alias(name)))
-    return wins
+    return wins.select(*keys, to_ntz(F.col("w.start")).alias("window_start"),
+                       to_ntz(F.col("w.end")).alias("window_end"), name,
+                       F.window_time("w").alias("event_time"))
+
+
+def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str) -> DataFrame:
+    """W7 + K1 on a stream: the closed window counts regrouped by window end
+    (a slide-wide window over their event time) and the ``n`` smallest
+    ``struct(-count, key)`` kept; the list per window end holds one entry per
+    key active in that window."""
+    per_end = (wins.groupBy(F.window("event_time", slide).alias("g"))
+               .agg(F.slice(F.array_sort(F.collect_list(F.struct(
+                   (-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
+                   F.col(count_col).alias("c"), F.col("window_start").alias("ws"),
+                   F.col("window_end").alias("we")))), 1, n).alias("top")))
+    return (per_end.select(F.posexplode("top").alias("pos", "t"))
+            .select(F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end"),
+                    (F.col("pos") + 1).cast("int").alias("rank"),
+                    F.col("t.k").alias(key), F.col("t.c").alias(count_col)))
+
+
+# Above this many windows per pane the native chained aggregate (one state
+# entry per open window) gives way to the pane processor.
+DENSE_OVERLAP = 16
+
+
+def sliding_counts_stream(timed: DataFrame, keys: list[str], size: str, slide: str,
+                          name: str = "count", event_time_out: bool = False) -> DataFrame:
+    """Dense sliding windows on a stream (W4-W6), pane form.
+
+    A native tumbling aggregate reduces rows to slide-wide panes (partial
+    aggregate before the shuffle, so a hot key arrives as pane counts, not
+    rows); :class:`SlidingCountProcessor` keeps one state entry per pane and
+    key and emits each closed window once.  ``timed`` must carry the
+    watermarked ``event_time`` column.  Output: keys, window_start,
+    window_end (timestamp_ntz), ``name`` (+ ``event_time`` = end - 1 us).
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("pane"))
+             .agg(F.count(F.lit(1)).alias("cnt")))
+    rows = panes.select(*keys, F.unix_micros(F.col("pane.start")).alias("ev_us"), "cnt",
+                        F.col("pane"))
+    fields = [timed.schema[k] for k in keys] + [
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+        T.StructField("count", T.LongType())]
+    extra = {}
+    if event_time_out:
+        fields.append(T.StructField("event_time", T.TimestampType()))
+        extra = {"eventTimeColumnName": "event_time"}
+    out = (rows.groupBy(*keys).transformWithStateInPandas(
+        SlidingCountProcessor(size_us, slide_us, keys, event_time_out),
+        T.StructType(fields), "Append", "EventTime", **extra))
+    return out.withColumnRenamed("count", name) if name != "count" else out
 
 
 def hot_items_stream(events: DataFrame, n: int = 3, size: str = "1 hour",
                      slide: str = "5 minutes") -> DataFrame:
-    """J1 on a stream: views -> pane counts -> window counts -> top n per
-    window end (W7/K1 via a third chained aggregate)."""
+    """J1 on a stream: views -> window counts -> top n per window end."""
     views = event_time(events.filter(F.col("behavior") == "view"), "ts")
     wins = stream_window_counts(views, ["item_id"], size, slide, "views")
-    per_end = (wins.groupBy(F.window(F.window_time("w"), slide).alias("g"))
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct(
-                   (-F.col("views")).alias("neg"), F.col("item_id").alias("item_id"),
-                   F.col("views").alias("views"), F.col("w").alias("w")))), 1, n).alias("top")))
-    return (per_end.select(F.posexplode("top").alias("pos", "t"))
-            .select(to_ntz(F.col("t.w.start")).alias("window_start"),
-                    to_ntz(F.col("t.w.end")).alias("window_end"),
-                    (F.col("pos") + 1).cast("int").alias("rank"),
-                    F.col("t.item_id").alias("item_id"), F.col("t.views").alias("views")))
+    return top_n_stream(wins, "item_id", "views", n, slide)
 
 
 def hot_urls_stream(logs: DataFrame, n: int = 5, size: str = "10 minutes",
@@ -120,23 +174,13 @@ def hot_urls_stream(logs: DataFrame, n: int = 5, size: str = "10 minutes",
     complete, when the watermark passes its end."""
     timed = event_time(logs, "ts", delay)
     wins = stream_window_counts(timed, ["url"], size, slide, "views")
-    per_end = (wins.groupBy(F.window(F.window_time("w"), slide).alias("g"))
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct(
-                   (-F.col("views")).alias("neg"), F.col("url").alias("url"),
-                   F.col("views").alias("views"), F.col("w").alias("w")))), 1, n).alias("top")))
-    return (per_end.select(F.posexplode("top").alias("pos", "t"))
-            .select(to_ntz(F.col("t.w.start")).alias("window_start"),
-                    to_ntz(F.col("t.w.end")).alias("window_end"),
-                    (F.col("pos") + 1).cast("int").alias("rank"),
-                    F.col("t.url").alias("url"), F.col("t.views").alias("views")))
+    return top_n_stream(wins, "url", "views", n, slide)
 
 
 def page_views_stream(events: DataFrame) -> DataFrame:
     """J3 on a stream: tumbling hour count of views."""
     views = event_time(events.filter(F.col("behavior") == "view"), "ts")
-    w = stream_window_counts(views, [], "1 hour", None, "pv")
-    return w.select(to_ntz(F.col("w.start")).alias("window_start"),
-                    to_ntz(F.col("w.end")).alias("window_end"), "pv")
+    return stream_window_counts(views, [], "1 hour", None, "pv").drop("event_time")
 
 
 def unique_visitors_stream(events: DataFrame) -> DataFrame:
@@ -190,8 +234,7 @@ def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour"
     window (pane form), chained after the stateful processor."""
     passed = rate_limit_stream(events, cap, keep_event_time=True).filter(F.col("tag") == "pass")
     w = stream_window_counts(passed, ["behavior"], size, slide, "clicks")
-    return w.select("behavior", to_ntz(F.col("w.start")).alias("window_start"),
-                    to_ntz(F.col("w.end")).alias("window_end"), "clicks")
+    return w.select("behavior", "window_start", "window_end", "clicks")
 
 
 def channel_counts_stream(events: DataFrame, dropped: str, size: str = "1 hour",
@@ -199,8 +242,7 @@ def channel_counts_stream(events: DataFrame, dropped: str, size: str = "1 hour",
     """J7 on a stream: count per (channel, behavior), sliding window."""
     ev = event_time(events.filter(~F.col("behavior").eqNullSafe(dropped)), "ts")
     w = stream_window_counts(ev, ["channel", "behavior"], size, slide, "count")
-    return w.select("channel", "behavior", to_ntz(F.col("w.start")).alias("window_start"),
-                    to_ntz(F.col("w.end")).alias("window_end"), "count")
+    return w.select("channel", "behavior", "window_start", "window_end", "count")
 
 
 BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),

@@ -229,3 +229,110 @@ class FollowedByProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class SlidingCountProcessor(StatefulProcessor):
+    """W3-W6 on a stream, pane form: per key the state holds counts per
+    slide-wide pane (one entry per pane, not per open window) and the index
+    of the last window already emitted.  When the watermark passes window
+    ends, the closed non-empty windows are computed from prefix sums over the
+    panes (numpy) and emitted once; panes no open window needs are dropped.
+    A timer at the next window end makes keys without new rows emit too.
+    Rows for windows already emitted are late and ignored.
+    """
+
+    def __init__(self, size_us: int, slide_us: int, key_names: list[str],
+                 event_time_out: bool = False):
+        if size_us % slide_us:
+            raise ValueError("size must be a multiple of slide")
+        self.slide_us = slide_us
+        self.n = size_us // slide_us
+        self.key_names = key_names
+        self.event_time_out = event_time_out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState(
+            "panes", "pane array<long>, cnt array<long>, done long, timer long")
+
+    def _load(self):
+        import numpy as np
+        if self.state.exists():
+            p, c, done, timer = self.state.get()
+            return np.asarray(p, dtype=np.int64), np.asarray(c, dtype=np.int64), done, timer
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), None, None
+
+    def _close(self, key, panes, cnt, done, timer, wm_ms):
+        import numpy as np
+        out = None
+        n = self.n
+        if len(panes):
+            # window s covers panes s .. s+n-1 and closes when (s+n)*slide <= wm
+            last_closed = (wm_ms * 1000) // self.slide_us - n if wm_ms > 0 else None
+            lo = panes[0] - n + 1 if done is None else max(done + 1, panes[0] - n + 1)
+            if last_closed is not None and last_closed >= lo:
+                hi = min(last_closed, panes[-1])
+                if hi >= lo:
+                    starts = np.arange(lo, hi + 1, dtype=np.int64)
+                    csum = np.concatenate([[0], np.cumsum(cnt)])
+                    upto = np.searchsorted(panes, starts + n - 1, side="right")
+                    before = np.searchsorted(panes, starts - 1, side="right")
+                    counts = csum[upto] - csum[before]
+                    keep = counts > 0
+                    starts, counts = starts[keep], counts[keep]
+                    if len(starts):
+                        out = self._frame(key, starts, counts)
+                done = last_closed if done is None else max(done, last_closed)
+                live = panes > done          # panes of windows still open
+                panes, cnt = panes[live], cnt[live]
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+            timer = None
+        if len(panes):
+            first_open = panes[0] - n + 1 if done is None else max(done + 1, panes[0] - n + 1)
+            timer = -(-((first_open + n) * self.slide_us) // 1000)
+            self.handle.registerTimer(timer)
+            self.state.update((panes.tolist(), cnt.tolist(), done, timer))
+        else:
+            self.state.clear()
+        return out
+
+    def _frame(self, key, starts, counts):
+        start_ns = starts * self.slide_us * 1000
+        end_ns = start_ns + self.n * self.slide_us * 1000
+        data = {k: [key[i]] * len(starts) for i, k in enumerate(self.key_names)}
+        data["window_start"] = pd.to_datetime(start_ns)
+        data["window_end"] = pd.to_datetime(end_ns)
+        data["count"] = counts
+        if self.event_time_out:
+            data["event_time"] = pd.to_datetime(end_ns - 1000)
+        return pd.DataFrame(data)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        import numpy as np
+        panes, cnt, done, timer = self._load()
+        frames = list(rows)
+        us = np.concatenate([f["ev_us"].to_numpy(np.int64) for f in frames])
+        w = np.concatenate([f["cnt"].to_numpy(np.int64) if "cnt" in f.columns
+                            else np.ones(len(f), np.int64) for f in frames])
+        new = us // self.slide_us
+        if done is not None:
+            live = new > done                      # panes of emitted windows: late
+            new, w = new[live], w[live]
+        if len(new):
+            allp = np.concatenate([panes, new])
+            allc = np.concatenate([cnt, w])
+            panes, inv = np.unique(allp, return_inverse=True)
+            cnt = np.bincount(inv, weights=allc).astype(np.int64)
+        out = self._close(key, panes, cnt, done, timer, timerValues.getCurrentWatermarkInMs())
+        if out is not None:
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
+        panes, cnt, done, _ = self._load()
+        out = self._close(key, panes, cnt, done, None, timerValues.getCurrentWatermarkInMs())
+        if out is not None:
+            yield out
+
+    def close(self) -> None:
+        pass
