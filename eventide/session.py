@@ -81,3 +81,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of compressed input.
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``target_partition_bytes`` (fits executor memory with room to spill);
+    AQE starts from that partition count and coalesces small ones, splits
+    skewed join partitions, and only broadcasts a side measured below the
+    threshold at run time.  E.g. 100 TB on 8000 cores -> 409600 initial
+    shuffle partitions, coalesced by AQE to what the data after partial
+    aggregation needs.
+    """
+    parts = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+    }

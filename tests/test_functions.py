@@ -77,3 +77,10 @@ def test_kafka_option_maps():
         "startingOffsets": "latest", "kafka.group.id": "g"}
     assert kafka_sink_options("t", "h:9092") == {
         "kafka.bootstrap.servers": "h:9092", "topic": "t", "kafka.acks": "1"}
+
+
+def test_scale_conf():
+    from eventide.session import scale_conf
+    c = scale_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert scale_conf(1 << 20, 16)["spark.sql.shuffle.partitions"] == "32"

@@ -107,3 +107,33 @@ def test_side_outputs_and_upsert_are_idempotent(spark, tmp_path):
     SJ.upsert_by_key(v1, 1, base)
     got = SJ.read_upserted(spark, base, ["k"], T.StructType(v0.schema.fields))
     assert rowset(got) == [("a", 5), ("b", 2)]
+
+
+def test_dense_sliding_stream_equals_batch_across_batches(spark, stream_dir):
+    from eventide.operators.windows import window_count
+    root, rows = stream_dir
+    timed = SJ.event_time(_stream(spark, root), "ts")
+    got = SJ.run_to_files(
+        SJ.stream_window_counts(timed, ["behavior"], "2 minutes", "5 seconds", "n")
+        .drop("event_time"), "t_sl")
+    ev = B.behavior_view(spark.read.parquet(f"{root}/events.parquet"))
+    want = window_count(ev, "behavior", "ts", "2 minutes", "5 seconds", name="n")
+    max_ts = ts(max(r[1] for r in rows))
+    closed = [r for r in rowset(want, "behavior", "window_start", "window_end", "n")
+              if r[2] <= max_ts]
+    assert rowset(got, "behavior", "window_start", "window_end", "n") == closed
+
+
+def test_sparse_sliding_stream_equals_batch(spark, stream_dir):
+    from eventide.operators.windows import window_count
+    root, rows = stream_dir
+    timed = SJ.event_time(_stream(spark, root), "ts")
+    got = SJ.run_to_files(
+        SJ.stream_window_counts(timed, ["behavior"], "1 minute", "20 seconds", "n")
+        .drop("event_time"), "t_sp")
+    ev = B.behavior_view(spark.read.parquet(f"{root}/events.parquet"))
+    want = window_count(ev, "behavior", "ts", "1 minute", "20 seconds", name="n")
+    max_ts = ts(max(r[1] for r in rows))
+    closed = [r for r in rowset(want, "behavior", "window_start", "window_end", "n")
+              if r[2] <= max_ts]
+    assert rowset(got, "behavior", "window_start", "window_end", "n") == closed
