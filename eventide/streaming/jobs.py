@@ -20,7 +20,8 @@ from eventide.functions.time import duration_us, epoch_micros
 from eventide.operators.reconcile import nonempty_key
 from eventide.session import scratch_path
 from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProcessor,
-                                           RateLimitProcessor, SlidingCountProcessor)
+                                           ProcessingTimeCapProcessor, RateLimitProcessor,
+                                           SlidingCountProcessor)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -51,20 +52,51 @@ def to_ntz(c):
     return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
 
 
-def run_to_files(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
+                 drain: bool = False) -> DataFrame:
     """Run a streaming DataFrame to completion (availableNow) into parquet
     files under the shared checkpoint folder; return them as a batch
-    DataFrame with the stream's schema."""
+    DataFrame with the stream's schema.
+
+    ``drain=True`` is for queries with processing-time timers: those keep a
+    query alive until the timers fire, so the query processes what is
+    available and is then stopped.
+    """
     spark = df.sparkSession
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
-    q = (df.writeStream.format("parquet").outputMode(output_mode)
+    w = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
-         .queryName(f"{name}_{uuid.uuid4().hex[:6]}")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+         .queryName(f"{name}_{uuid.uuid4().hex[:6]}"))
+    if drain:
+        q = w.start()
+        try:
+            _wait_input_consumed(q)
+        finally:
+            q.stop()
+    else:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
 
+def _wait_input_consumed(q, timeout_s: float = 600.0) -> None:
+    """Block until a micro-batch ran without new input on any source (its
+    start and end offsets are equal), i.e. everything available was read."""
+    import time
+    t0 = time.time()
+    while time.time() - t0 < timeout_s:
+        if q.exception() is not None:
+            raise q.exception()
+        progress = q.recentProgress
+        if len(progress) >= 2 and progress[-1]["numInputRows"] == 0:
+            srcs = progress[-1]["sources"]
+            # a batch that started and ended at the same offsets found no new input
+            if all(str(s_.get("startOffset")) == str(s_.get("endOffset")) for s_ in srcs):
+                return
+        time.sleep(0.5)
+    raise TimeoutError("stream did not consume its input in time")
+
+
 def run_foreach_batch(df: DataFrame, name: str, fn, output_mode: str = "update") -> str:
     """Run ``fn(batch_df, batch_id)`` per micro-batch to completion; returns
     the job's scratch folder."""
@@ -108,16 +140,29 @@ def stream_window_counts(timed: DataFrame, keys: list[str], size: str, slide: st
                        F.window_time("w").alias("event_time"))
 
 
-def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str) -> DataFrame:
+def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
+                 salt: int = 32) -> DataFrame:
     """W7 + K1 on a stream: the closed window counts regrouped by window end
-    (a slide-wide window over their event time) and the ``n`` smallest
-    ``struct(-count, key)`` kept; the list per window end holds one entry per
-    key active in that window."""
-    per_end = (wins.groupBy(F.window("event_time", slide).alias("g"))
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct(
-                   (-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
-                   F.col(count_col).alias("c"), F.col("window_start").alias("ws"),
-                   F.col("window_end").alias("we")))), 1, n).alias("top")))
+    (a slide-wide window over their event time); ``row_number`` is not
+    available on streams, so the ``n`` smallest ``struct(-count, key)`` are
+    kept with ``slice(array_sort(collect_list(...)))``.
+
+    Two stages keep every list bounded: first per (window end, key-hash
+    bucket out of ``salt``), then per window end over at most ``salt * n``
+    candidates.  Top-n of per-bucket top-n is the exact top-n.
+    """
+    def ranked(df, groups, time_col):
+        return (df.groupBy(F.window(time_col, slide).alias("g"), *groups)
+                .agg(F.slice(F.array_sort(F.collect_list(F.struct(
+                    (-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
+                    F.col(count_col).alias("c"), F.col("window_start").alias("ws"),
+                    F.col("window_end").alias("we")))), 1, n).alias("top")))
+    salted = wins.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)))
+    stage1 = (ranked(salted, ["_salt"], "event_time")
+              .select(F.window_time("g").alias("event_time"), F.explode("top").alias("t"))
+              .select("event_time", F.col("t.k").alias(key), F.col("t.c").alias(count_col),
+                      F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end")))
+    per_end = ranked(stage1, [], "event_time")
     return (per_end.select(F.posexplode("top").alias("pos", "t"))
             .select(F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end"),
                     (F.col("pos") + 1).cast("int").alias("rank"),
@@ -207,16 +252,25 @@ RATE_OUT = T.StructType([T.StructField("seq", T.LongType()),
                          T.StructField("tag", T.StringType())])
 
 
-def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
-                      ) -> DataFrame:
+def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False,
+                      clock: str = "event") -> DataFrame:
     """T5 on a stream: per (user, behavior) value state of the current day.
 
+    ``clock="event"`` (default): days are event-time days, reproducible.
+    ``clock="processing"``: the reference's reset at the wall clock's next
+    UTC midnight (T8), with a processing-time timer.
     With ``keep_event_time`` the output carries ``event_time`` as its new
     event-time column, so windowed aggregates can be chained after it.
     """
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = (ev.withColumn("ev_seq", F.col("seq")).withColumn("ev_ts", F.col("ts"))
           .withColumn("day_us", F.col("ev_us") - F.pmod(F.col("ev_us"), F.lit(86_400_000_000))))
+    if clock == "processing":
+        return (ev.groupBy("user_id", "behavior").transformWithStateInPandas(
+            ProcessingTimeCapProcessor(cap, ["user_id", "behavior"]),
+            RATE_OUT, "Append", "ProcessingTime"))
+    if clock != "event":
+        raise ValueError("clock must be 'event' or 'processing'")
     ev = event_time(ev, "ts")
     schema, extra = RATE_OUT, {}
     if keep_event_time:

@@ -336,3 +336,53 @@ class SlidingCountProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ProcessingTimeCapProcessor(StatefulProcessor):
+    """T5 with the reference's clock (T8): the count starts with the first
+    row of a key and is cleared by a processing-time timer at the next UTC
+    midnight of the wall clock, whatever the rows' event times.  Not
+    reproducible across a replay over midnight; the event-day form
+    (:class:`RateLimitProcessor`) is the default."""
+
+    DAY_MS = 86_400_000
+
+    def __init__(self, cap: int, key_names: list[str]):
+        self.cap = cap
+        self.key_names = key_names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("cap", "cnt long, flagged boolean")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _rows(rows)
+        if self.state.exists():
+            cnt, flagged = self.state.get()
+        else:
+            cnt, flagged = 0, False
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer((now // self.DAY_MS + 1) * self.DAY_MS)
+        tags = []
+        for _ in range(len(pdf)):
+            if cnt < self.cap:
+                cnt += 1
+                tags.append("pass")
+            elif not flagged:
+                flagged = True
+                tags.append("blacklist")
+            else:
+                tags.append(None)
+        self.state.update((cnt, flagged))
+        pdf["tag"] = tags
+        out = pdf[pdf["tag"].notna()]
+        if len(out):
+            yield out[["ev_seq", "ev_ts", *self.key_names, "tag"]].rename(
+                columns={"ev_seq": "seq", "ev_ts": "ts"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass

@@ -137,3 +137,17 @@ def test_sparse_sliding_stream_equals_batch(spark, stream_dir):
     closed = [r for r in rowset(want, "behavior", "window_start", "window_end", "n")
               if r[2] <= max_ts]
     assert rowset(got, "behavior", "window_start", "window_end", "n") == closed
+
+
+def test_processing_time_cap(spark, stream_dir):
+    root, rows = stream_dir
+    got = SJ.run_to_files(SJ.rate_limit_stream(_stream(spark, root), 3, clock="processing"),
+                          "t_pt", drain=True)
+    # the whole input arrives within one wall-clock day: cap per key overall
+    counts = {}
+    for _, _, u, k in rows:
+        counts[(u, k)] = counts.get((u, k), 0) + 1
+    want_pass = sum(min(3, c) for c in counts.values())
+    want_black = sum(1 for c in counts.values() if c > 3)
+    assert got.filter("tag = 'pass'").count() == want_pass
+    assert got.filter("tag = 'blacklist'").count() == want_black
