@@ -141,7 +141,7 @@ def stream_window_counts(timed: DataFrame, keys: list[str], size: str, slide: st
 
 
 def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
-                 salt: int = 32) -> DataFrame:
+                 salt: int = 8) -> DataFrame:
     """W7 + K1 on a stream: the closed window counts regrouped by window end
     (a slide-wide window over their event time); ``row_number`` is not
     available on streams, so the ``n`` smallest ``struct(-count, key)`` are
@@ -149,7 +149,9 @@ def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
 
     Two stages keep every list bounded: first per (window end, key-hash
     bucket out of ``salt``), then per window end over at most ``salt * n``
-    candidates.  Top-n of per-bucket top-n is the exact top-n.
+    candidates.  Top-n of per-bucket top-n is the exact top-n.  The extra
+    stage costs state per window end and bucket (bounded by time span /
+    slide * salt); ``salt=1`` runs one stage, for key sets known to be small.
     """
     def ranked(df, groups, time_col):
         return (df.groupBy(F.window(time_col, slide).alias("g"), *groups)
@@ -157,12 +159,13 @@ def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
                     (-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
                     F.col(count_col).alias("c"), F.col("window_start").alias("ws"),
                     F.col("window_end").alias("we")))), 1, n).alias("top")))
-    salted = wins.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)))
-    stage1 = (ranked(salted, ["_salt"], "event_time")
-              .select(F.window_time("g").alias("event_time"), F.explode("top").alias("t"))
-              .select("event_time", F.col("t.k").alias(key), F.col("t.c").alias(count_col),
-                      F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end")))
-    per_end = ranked(stage1, [], "event_time")
+    if salt > 1:
+        salted = wins.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)))
+        wins = (ranked(salted, ["_salt"], "event_time")
+                .select(F.window_time("g").alias("event_time"), F.explode("top").alias("t"))
+                .select("event_time", F.col("t.k").alias(key), F.col("t.c").alias(count_col),
+                        F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end")))
+    per_end = ranked(wins, [], "event_time")
     return (per_end.select(F.posexplode("top").alias("pos", "t"))
             .select(F.col("t.ws").alias("window_start"), F.col("t.we").alias("window_end"),
                     (F.col("pos") + 1).cast("int").alias("rank"),
