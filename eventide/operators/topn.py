@@ -35,24 +35,5 @@ def top_n(counts: DataFrame, key, n: int, *, count_col: str = "count",
             .filter(F.col(rank_col) <= n))
 
 
-def top_n_stream(counts: DataFrame, key: str, n: int, *, count_col: str = "count",
-                 time_col: str = "window_end") -> DataFrame:
-    """Streaming form of K1 (W7 + K1).
-
-    ``row_number`` is not available on streams, so the second stage groups the
-    closed per-key counts by their window end (a tumbling window over the
-    window end itself keeps the aggregate event-time based and appendable) and
-    keeps the ``n`` smallest ``struct(-count, key)``, i.e. the largest counts
-    with the key ascending as tie-break.  The list per window end is bounded
-    by the number of keys active in that window.
-    """
-    ranked = (counts
-              .groupBy(F.window(F.col(time_col), "1 microsecond").alias("we"))
-              .agg(F.slice(F.array_sort(F.collect_list(
-                  F.struct((-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
-                           F.col(count_col).alias("c")))), 1, n).alias("top")))
-    return (ranked
-            .select(F.col("we.start").alias(time_col),
-                    F.posexplode("top").alias("pos", "t"))
-            .select(time_col, (F.col("pos") + 1).alias("rank"),
-                    F.col("t.k").alias(key), F.col("t.c").alias(count_col)))
+# The streaming form (W7 + K1 with chained, salted aggregates) is
+# eventide.streaming.jobs.top_n_stream.
