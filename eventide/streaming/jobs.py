@@ -41,6 +41,20 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(src)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def require_rocksdb(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store.  The provider is
+    a runtime SQL setting read when a query starts, so a session built
+    elsewhere (e.g. by a job driver) is switched here if needed."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                   "true")
+
+
 def event_time(df: DataFrame, ts: str, delay: str = "0 seconds",
                out: str = "event_time") -> DataFrame:
     """Watermark needs a TIMESTAMP column; timestamp_ntz is converted
@@ -188,6 +202,7 @@ def sliding_counts_stream(timed: DataFrame, keys: list[str], size: str, slide: s
     watermarked ``event_time`` column.  Output: keys, window_start,
     window_end (timestamp_ntz), ``name`` (+ ``event_time`` = end - 1 us).
     """
+    require_rocksdb(timed.sparkSession)
     size_us, slide_us = duration_us(size), duration_us(slide)
     panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("pane"))
              .agg(F.count(F.lit(1)).alias("cnt")))
@@ -265,6 +280,7 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
     With ``keep_event_time`` the output carries ``event_time`` as its new
     event-time column, so windowed aggregates can be chained after it.
     """
+    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = (ev.withColumn("ev_seq", F.col("seq")).withColumn("ev_ts", F.col("ts"))
           .withColumn("day_us", F.col("ev_us") - F.pmod(F.col("ev_us"), F.lit(86_400_000_000))))
@@ -311,6 +327,7 @@ BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 def failure_bursts_stream(events: DataFrame, span: str, min_fails: int,
                           delay: str = "0 seconds") -> DataFrame:
     """T6 on a stream: value state + event-time timer per user."""
+    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    (F.col("behavior") == "error").alias("is_fail"))
@@ -331,6 +348,7 @@ FUNNEL_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 def funnel_stream(events: DataFrame, within: str, first: str = "click",
                   then: str = "purchase") -> DataFrame:
     """C2 on a stream: list state of open matches + a timer per match."""
+    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    (F.col("behavior") == first).alias("is_first"),
