@@ -70,3 +70,35 @@ def test_reports(spark):
                                    "province string, window_end timestamp_ntz, count long")
     assert region_report(counts, "province", "count").first()["report"] == \
         "1970-01-01 01:00:05.0 beijing 101"
+
+
+def test_results_do_not_depend_on_input_order(spark):
+    import random
+    from eventide.operators.sequence import failure_bursts, followed_by
+    from eventide.operators.windows import window_count
+    r = random.Random(5)
+    rows = [(r.randrange(5), r.randrange(0, 5000), i, r.choice(["fail", "ok", "pay", "create"]))
+            for i in range(1500)]
+    shuffled = rows[:]
+    r.shuffle(shuffled)
+    a, b = events(spark, rows), events(spark, shuffled).repartition(7)
+    for f in (
+        lambda d: window_count(d, "user_id", "ts", "60 seconds", "5 seconds"),
+        lambda d: rate_limit(d, ["user_id", "kind"], "ts", "seq", cap=4)[0],
+        lambda d: failure_bursts(d, "user_id", "ts", "seq", F.col("kind") == "fail", 2,
+                                 "30 seconds"),
+        lambda d: followed_by(d, "user_id", "ts", "seq", F.col("kind") == "create",
+                              F.col("kind") == "pay", "2 minutes"),
+    ):
+        assert rowset(f(a)) == rowset(f(b))
+
+
+def test_cap_pass_plus_dropped_is_input(spark):
+    rows = [(u % 4, 86400 * (u % 3) + u, u, "ad") for u in range(400)]
+    df = events(spark, rows)
+    passed, black = rate_limit(df, ["user_id", "kind"], "ts", "seq", cap=5)
+    groups = df.groupBy("user_id", F.date_trunc("DAY", "ts")).count().collect()
+    assert passed.count() == sum(min(5, g["count"]) for g in groups)
+    assert black.count() == sum(1 for g in groups if g["count"] > 5)
+    refused = df.join(passed, "seq", "left_anti").count()
+    assert passed.count() + refused == df.count()
