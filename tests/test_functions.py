@@ -84,3 +84,20 @@ def test_scale_conf():
     c = scale_conf(100 * (1 << 40), 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert scale_conf(1 << 20, 16)["spark.sql.shuffle.partitions"] == "32"
+
+
+def test_text_sources_batch_and_stream(spark, tmp_path):
+    from eventide.sources.files import read_lines
+    from eventide.streaming.jobs import run_to_files
+    d = tmp_path / "orders"
+    d.mkdir()
+    (d / "a.csv").write_text("34729,create,,1558430842\n34730,create,,1558430845\n")
+    (d / "b.csv").write_text("34729,pay,sd76f87d6,1558430844\n")
+    batch = parse_delimited(read_lines(spark, str(d)), SCHEMA)
+    assert sorted(tuple(r) for r in batch.collect()) == [
+        (34729, "create", "", 1558430842), (34729, "pay", "sd76f87d6", 1558430844),
+        (34730, "create", "", 1558430845)]
+    stream = parse_delimited(read_lines(spark, str(d), stream=True, max_files_per_trigger=1),
+                             SCHEMA)
+    got = run_to_files(stream, "t_text")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in batch.collect())
