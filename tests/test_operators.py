@@ -102,3 +102,15 @@ def test_cap_pass_plus_dropped_is_input(spark):
     assert black.count() == sum(1 for g in groups if g["count"] > 5)
     refused = df.join(passed, "seq", "left_anti").count()
     assert passed.count() + refused == df.count()
+
+
+def test_console_and_batch_side_outputs(spark, tmp_path, capsys):
+    from eventide.streaming.sinks import console, write_side_outputs
+    df = spark.createDataFrame([(1, "pass"), (2, "blacklist"), (3, "pass")],
+                               "id long, tag string")
+    assert console(df, "Ad count>") is None
+    assert "Ad count>" in capsys.readouterr().out
+    out = {"pass": str(tmp_path / "p"), "blacklist": str(tmp_path / "b")}
+    write_side_outputs(df, "tag", out)
+    assert spark.read.parquet(out["pass"]).count() == 2
+    assert spark.read.parquet(out["blacklist"]).columns == ["id"]
