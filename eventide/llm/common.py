@@ -6,13 +6,19 @@ Spark's own writers, so any executor can read them back after a loss.
 
 from __future__ import annotations
 
+import gc
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from eventide.session import scratch_path
 
@@ -39,6 +45,12 @@ def drop_work(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete shuffle files whose DataFrames are gone."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -48,14 +60,27 @@ def text_col(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp()) / f"{root.name}.zip"   # the driver serves it from here
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._llm_shipped = True
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterator[dict]], schema: str,
                 rows: int = 2000) -> DataFrame:
     """``mapInArrow`` over slices of at most ``rows`` rows.
 
     ``fn`` gets a record batch and returns one dict of columns, or yields several.
     """
-    from pyspark.sql.types import StructType
-    from pyspark.sql.pandas.types import to_arrow_schema
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
@@ -72,8 +97,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterator[di
 
 def map_stream(df: DataFrame, gen: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` with a generator over all batches of a task that yields dicts of columns."""
-    from pyspark.sql.types import StructType
-    from pyspark.sql.pandas.types import to_arrow_schema
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):

@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, tokenbin
+from . import icws, packing, secrets, tokenbin
 from .common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = icws.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", "class_id", "n_links", "n_group",
+                       F.expr("doc_id <=> class_id and text_hash = winner_hash").alias("kept"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -22,6 +32,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op10_near_duplicates": op10_near_duplicates,
     "op4_pack": op4_pack,
     "op9_token_files": op9_token_files,
 }
