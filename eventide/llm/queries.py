@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import icws, packing, secrets, tokenbin
+from . import icws, packing, rabitq, secrets, tokenbin
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tokenbin.token_files(spark, table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "start", "n_tokens", tokenbin.crc32_of("ids").alias("ids_crc32"))
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op10_near_duplicates": op10_near_duplicates,
     "op4_pack": op4_pack,
+    "op6_near_vectors": op6_near_vectors,
     "op9_token_files": op9_token_files,
 }
 
