@@ -33,7 +33,8 @@ def write_work(df: DataFrame, name: str, compression: str = "zstd") -> tuple[Dat
     """Write ``df`` once to the shared folder; returns the table read back and its path."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", compression).parquet(path)
+    # small row groups: a writer holds one of them in memory
+    df.write.option("compression", compression).option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

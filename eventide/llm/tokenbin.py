@@ -94,7 +94,7 @@ SEGMENTS = ("shard int, segment int, first_id long, n_ids long, bits int, payloa
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
                       id_col: str = "doc_id", text: str = "text",
-                      segment_ids: int = 1 << 18) -> str:
+                      segment_ids: int = 1 << 17) -> str:
     """Tokenise every document and write the segments under ``path``; returns ``path``."""
     tokenizer = tokenizer or default_tokenizer()
     bits = width(max(load(tokenizer).get_vocab_size(), end_id + 1))
@@ -130,7 +130,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         if raw:
             yield flush()
 
-    (map_stream(rows, segments, SEGMENTS).write.option("compression", "none").parquet(path))
+    (map_stream(rows, segments, SEGMENTS).write.option("compression", "none")
+     .option("parquet.block.size", 16 << 20).parquet(path))
     return path
 
 

@@ -48,7 +48,7 @@ class Encoder:
     piece that was dropped is encoded again, with the same ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    def __init__(self, path: str, max_pieces: int = 350_000):
         self.tok = load(path)
         self.cut = cuttable(self.tok)
         self.max_pieces = max_pieces
