@@ -7,9 +7,9 @@ counted over all documents.  Two documents are linked if their weighted
 Jaccard similarity, sum of minima over sum of maxima, is 0.8 or more.
 
 1. Documents are dealt into batches by a hash.  A batch sends its distinct
-   shingle hashes (56 bits), sorted, counted and packed, to the ranges of
+   shingle hashes (52 bits), sorted, counted and packed, to the ranges of
    the hash space; a range adds up the document frequencies and answers each
-   batch in the order it was asked.  So 5 bytes or so a shingle are moved.
+   batch in the order it was asked.  So about 4 bytes a shingle are moved.
 2. With exact weights, a document whose shared shingles (df >= 2) weigh less
    than 0.8 of its whole weight cannot have a partner and is left alone: an
    exact bound.  The others get ``bands * rows`` improved consistent weighted
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import string
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ from .pairs import components, forest, groups, in_block_pairs
 from .tokens import groups_of
 
 WORDS, THRESHOLD, BANDS, ROWS, SEED = 5, 0.8, 10, 3, 20_240
-HASH_BITS = 56
-CHARS_PER_BATCH, MAX_FINE_BATCHES, CHARS_PER_LARGE_BATCH = 4_000_000, 4096, 64_000_000
+HASH_BITS = 52
+CHARS_PER_BATCH, MAX_FINE_BATCHES, CHARS_PER_LARGE_BATCH = 8_000_000, 4096, 64_000_000
 _STRIP = string.punctuation + "«»“”„‘’–—…¡¿"
 
 
@@ -98,18 +99,19 @@ def counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack_sorted(h: np.ndarray) -> bytes:
-    """Sorted hashes as differences in as few whole bytes as the largest needs."""
-    d = np.diff(h, prepend=U64(0))
-    w = max(1, (int(d.max()).bit_length() + 7) // 8)
-    return bytes([w]) + np.ascontiguousarray(d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w]).tobytes()
+    """Sorted hashes as differences: their low four bytes, then the (few, mostly zero) high ones deflated."""
+    d = np.diff(h, prepend=U64(0)).astype("<u8")
+    planes = d.view(np.uint8).reshape(-1, 8)
+    low = np.ascontiguousarray(planes[:, :4])
+    return len(h).to_bytes(4, "little") + low.tobytes() + zlib.compress(np.ascontiguousarray(planes[:, 4:7].T).tobytes(), 1)
 
 
 def unpack_sorted(buf: bytes) -> np.ndarray:
-    w = buf[0]
-    raw = np.frombuffer(buf, np.uint8, offset=1).reshape(-1, w)
-    full = np.zeros((len(raw), 8), np.uint8)
-    full[:, :w] = raw
-    return np.cumsum(full.view("<u8").reshape(-1), dtype=U64)
+    n = int.from_bytes(buf[:4], "little")
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :4] = np.frombuffer(buf, np.uint8, 4 * n, 4).reshape(n, 4)
+    planes[:, 4:7] = np.frombuffer(zlib.decompress(memoryview(buf)[4 + 4 * n:]), np.uint8).reshape(3, n).T
+    return np.cumsum(planes.view("<u8").reshape(-1), dtype=U64)
 
 
 def pack_counts(c: np.ndarray) -> bytes:
@@ -176,6 +178,10 @@ def _asked(sh: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return counted(np.sort(np.concatenate(docs))) if docs else (np.zeros(0, U64), np.zeros(0, np.int64))
 
 
+def idf_of(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return 1 + np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1)
+
+
 def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
     """Range of the hash space, ascending with the hash."""
     return ((h >> U64(HASH_BITS - 32)) * U64(ranges) >> U64(32)).astype(np.int64)
@@ -238,7 +244,7 @@ def weighted_documents(docs: DataFrame, n_docs: int, n_chars: int, id_col: str,
             by = sorted(zip(replies.column("p").to_pylist(), replies.column("df").to_pylist(),
                             replies.column("n").to_pylist()))
             df = np.concatenate([unpack_counts(x, k) for _, x, k in by])
-            idf = 1 + np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1)
+            idf = idf_of(df, n_docs)
             held = []
             for i, s in enumerate(sh):
                 if not len(s):
@@ -255,8 +261,8 @@ def weighted_documents(docs: DataFrame, n_docs: int, n_chars: int, id_col: str,
                 sig = icws(np.concatenate([x[1] for x in part]), np.concatenate([x[2] for x in part]), lens, samples)
                 for row, (i, u, w, total, shared, tf, d) in zip(sig, part):
                     out["total"][i], out["sig"][i] = total, row.tobytes()
-                    out["h"][i] = u[shared].tobytes()
-                    out["tf"][i], out["df"][i] = tf[shared].astype("<u4").tobytes(), d[shared].astype("<u8").tobytes()
+                    out["h"][i] = pack_sorted(u[shared])
+                    out["tf"][i], out["df"][i] = pack_counts(tf[shared]), pack_counts(d[shared])
         return pa.table({"d": table.column("d").cast(pa.int64()), "th": table.column("th").cast(pa.int64()),
                          "key": pa.array(out["key"], pa.binary()), "total": pa.array(out["total"], pa.float64()),
                          **{k: _binary(out[k]) for k in ("sig", "h", "tf", "df")}})
@@ -329,6 +335,12 @@ def jaccard_blocks(sets: list[tuple], step: int = 4096) -> np.ndarray:
     return both / (total[:, None] + total[None, :] - both)
 
 
+def unpacked(h: bytes, tf: bytes, df: bytes, total: float, n_docs: int) -> tuple:
+    """(hashes, tf, idf, total weight) of a document's shared shingles."""
+    h = unpack_sorted(h)
+    return h, unpack_counts(tf, len(h)), idf_of(unpack_counts(df, len(h)), n_docs), total
+
+
 def verified(members: DataFrame, n_docs: int, threshold: float, block: int = 256) -> DataFrame:
     """Per class and block: cid, links (rows of linked classes), edge (a linked class, null if none)."""
 
@@ -345,9 +357,7 @@ def verified(members: DataFrame, n_docs: int, threshold: float, block: int = 256
         out, held = [], 0
         for c, lo, hi in groups(batches, 3, convert):
             cid, blk, copies = c["cid"][lo:hi], c["blk"][lo:hi], c["copies"][lo:hi]
-            sets = [(np.frombuffer(h, "<u8"), np.frombuffer(tf, "<u4"),
-                     1 + np.log((n_docs + 1) / (np.frombuffer(df, "<u8") + 1)) / math.log(n_docs + 1), total)
-                    for h, tf, df, total in zip(c["h"][lo:hi], c["tf"][lo:hi], c["df"][lo:hi], c["total"][lo:hi])]
+            sets = [unpacked(*x, n_docs) for x in zip(*(c[k][lo:hi] for k in ("h", "tf", "df", "total")))]
             links = jaccard_blocks(sets) >= threshold - 1e-9
             np.fill_diagonal(links, False)
             if c["_k1"][lo] != c["_k2"][lo]:
