@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import icws, packing, rabitq, secrets, tokenbin
+from . import icws, packing, rabitq, secrets, tokenbin, toxicity
 from .common import table
 
 
@@ -21,6 +21,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.expr("doc_id <=> class_id and text_hash = winner_hash").alias("kept"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -38,6 +43,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op10_near_duplicates": op10_near_duplicates,
+    "op3_toxicity": op3_toxicity,
     "op4_pack": op4_pack,
     "op6_near_vectors": op6_near_vectors,
     "op9_token_files": op9_token_files,

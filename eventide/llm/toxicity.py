@@ -6,7 +6,8 @@ and its most telling n-gram, lean to toxic training documents (log odds of
 document frequencies).  A bidirectional gated recurrent
 network reads windows of ``WINDOW`` words that overlap by ``WINDOW - STRIDE``;
 attention pools its states into one logit a window.  A document's score is a
-logistic function, fitted on training documents, of its highest window.
+logistic function, fitted on training documents, of its highest window and
+its strongest evidence.
 
 Labels belong to documents, so training takes from each toxic document the
 window with the most evidence as a witness, and from each clean one its most
@@ -25,6 +26,7 @@ repeated rows are scored alike; an empty table gives no row.
 
 from __future__ import annotations
 
+import math
 import string
 
 import numpy as np
@@ -39,7 +41,7 @@ MAX_DOCS, WINDOW, STRIDE = 1500, 64, 48
 HIDDEN, DIM, ATTEND = 8, 8, 8
 EMBED_BITS = 14
 EPOCHS, LEAST_STEPS, BATCH, RATE, SEED = 5, 150, 128, 0.01, 11
-EMBED_RATE, EMBED_DECAY = 0.05, 0.002
+EMBED_RATE, EMBED_DECAY, STUTTER = 0.05, 0.002, 0.15
 GRAMS = (3, 4, 5)
 FOLDS, PARTS = 5, 4
 _STRIP = string.punctuation + "«»“”„‘’–—…¡¿"
@@ -128,7 +130,7 @@ class Network:
                   "av": norm(ATTEND) / ATTEND ** 0.5, "ow": norm(2 * h) / (2 * h) ** 0.5,
                   "ob": np.zeros(1, np.float32)}
         self.evidence: tuple = ()    # (word lean, n-gram lean) by hash slot
-        self.scale = (1.0, 0.0)      # the document's logistic function
+        self.scale = np.array([1.0, 0.0, 0.0])   # logistic: highest window, strongest evidence, offset
 
     def inputs(self, f: Features, evidence: np.ndarray) -> np.ndarray:
         ws, gs = f.slots()
@@ -298,6 +300,10 @@ def train(texts: list[str], toxic: list[int], seed: int = SEED) -> Network | Non
         for lo in range(0, len(mixed), BATCH):
             k = chosen[mixed[lo:lo + BATCH]]
             idx, mask = window_index(flat, lens, doc[k], first[k])
+            # Some clean windows stutter (two of their words over and over), as junk pages do.
+            for i in np.flatnonzero(~y[doc[k]] & (rng.random(len(k)) < STUTTER)):
+                two = rng.integers(0, mask[i].sum(), 2)
+                idx[i] = np.where(mask[i], idx[i, np.repeat(two, WINDOW // 2)], idx[i])
             # A word of two parts is two inputs: their evidence differs.
             used, inv = np.unique(idx * PARTS + part[doc[k]][:, None], return_inverse=True)
             sub = Subset(f, used // PARTS)
@@ -314,7 +320,8 @@ def train(texts: list[str], toxic: list[int], seed: int = SEED) -> Network | Non
             if k.any():
                 np.maximum.at(top, d[k], net.run(gates[s], idx[k], mask[k]))
     fresh = np.isfinite(top) & (part == 0)
-    net.scale = logistic(top[fresh], y[fresh])
+    strongest = np.array([strength[k, r].max() if len(r) else 0 for k, r in zip(part, rows_of)])
+    net.scale = logistic(np.stack([top, strongest], axis=1)[fresh], y[fresh])
     return net
 
 
@@ -328,18 +335,17 @@ class Subset(Features):
         self.owner = np.repeat(np.arange(len(rows)), self.n_grams)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """(slope, offset) of P(y | x), by damped Newton steps with a small ridge, the slope not negative."""
-    prior = np.array([1.0, 0.0])
-    a = np.stack([x, np.ones_like(x)], axis=1).astype(float)
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Slopes (not negative) and offset of P(y | columns of x), by damped Newton steps with a small ridge."""
+    a = np.concatenate([x, np.ones((len(x), 1))], axis=1).astype(float)
+    w = prior = np.eye(a.shape[1])[0]
 
     def loss(w):
         return np.logaddexp(0, np.where(y, -1, 1) * (a @ w)).sum() + ridge / 2 * ((w - prior) ** 2).sum()
 
-    w = prior
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2),
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)),
                                a.T @ (p - y) + ridge * (w - prior))
         size = 1.0
         while size > 1e-6 and loss(w - size * step) > loss(w):
@@ -347,14 +353,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
         w = w - size * step
         if size * np.abs(step).max() < 1e-6:
             break
-    return max(float(w[0]), 0.05), float(w[1])
+    return np.append(np.maximum(w[:-1], 0.0), w[-1])
 
 
 def word_gates(net: Network, words: list[str]) -> np.ndarray:
+    """Per word: the input part of both directions' gates, and its evidence."""
     if not words:
-        return np.zeros((0, 6 * HIDDEN), np.float32)
+        return np.zeros((0, 6 * HIDDEN + 1), np.float32)
     f = Features(words)
-    return net.gates(net.inputs(f, net.seen(f)))
+    evidence = net.seen(f)
+    return np.concatenate([net.gates(net.inputs(f, evidence)), evidence.max(axis=1, keepdims=True)], axis=1)
 
 
 def score_texts(net: Network | None, texts: list[str], table: WordTable) -> np.ndarray:
@@ -374,7 +382,9 @@ def score_texts(net: Network | None, texts: list[str], table: WordTable) -> np.n
         idx, mask = window_index(rows, lens, doc[lo:lo + 2048], first[lo:lo + 2048])
         np.maximum.at(top, doc[lo:lo + 2048], net.run(gates, idx, mask))
     has = lens > 0
-    out[has] = 1 / (1 + np.exp(-np.clip(net.scale[0] * top[has] + net.scale[1], -500, 500)))
+    strongest = np.maximum.reduceat(gates[rows, -1], (np.cumsum(lens) - lens)[has])
+    out[has] = 1 / (1 + np.exp(-np.clip(net.scale[0] * top[has] + net.scale[1] * strongest + net.scale[2],
+                                        -500, 500)))
     return out
 
 
@@ -396,9 +406,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str,
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         max_docs: int = MAX_DOCS) -> Network | None:
-    """Train on the bounded sample, on the driver."""
+    """Train on the bounded sample, on the driver; class shares are those of all training labels."""
     rows = training_sample(docs, labels, id_col, text, label, max_docs).collect()
-    return train([r.t for r in rows], [r.y for r in rows])
+    net = train([r.t for r in rows], [r.y for r in rows])
+    if net is not None:
+        mine = F.col(label)
+        n1, n0 = (labels.filter(mine.isin(0, 1) & ~held_out(F.col("doc_id")))
+                  .agg(F.sum(mine.cast("long")), F.sum(1 - mine.cast("long"))).first())
+        y1 = sum(r.y for r in rows)
+        net.scale[-1] += math.log(n1 / n0) - math.log(y1 / (len(rows) - y1))
+    return net
 
 
 def _scorer(docs: DataFrame, net: Network | None):
