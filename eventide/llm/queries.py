@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import icws, packing, rabitq, secrets, tokenbin, toxicity
+from . import icws, mixing, packing, quality, rabitq, resample, secrets, tokenbin, toxicity
 from .common import table
 
 
@@ -21,6 +21,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.expr("doc_id <=> class_id and text_hash = winner_hash").alias("kept"))
 
 
+def op2_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target text: the documents labelled as of high quality."""
+    target = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return resample.resample(table(spark, sf_dir, "documents"), target)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -31,10 +37,23 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal weight for every source; the texts go through the shuffle and are digested after it."""
+    mixed = mixing.replicate(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", F.col("_mix_copies").cast("long").alias("copies"),
+                        F.col("_mix_copy").cast("long").alias("copy"),
+                        F.round("_mix_rate", 9).alias("rate"), F.col("_mix_order").alias("shuffle_key"),
+                        F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tokenbin.token_files(spark, table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "start", "n_tokens", tokenbin.crc32_of("ids").alias("ids_crc32"))
@@ -42,11 +61,57 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
-    "op10_near_duplicates": op10_near_duplicates,
+    "op2_resample": op2_resample,
     "op3_toxicity": op3_toxicity,
     "op4_pack": op4_pack,
+    "op5_quality": op5_quality,
     "op6_near_vectors": op6_near_vectors,
+    "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLE: dict[str, str] = {}
+# Pairs of equal labels by cosine, links counted, components by recursion over links.
+_OP6 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e)
+    AND len(list_filter(e, x -> NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
+
+_UNIFORM = "(CAST(CAST(('0x' || substr(sha256({0}), 1, 13)) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE)) * pow(2.0, -52)"
+# Poisson probabilities as exp(k ln m - m - ln k!), summed in the order of k.
+_OP8 = f"""
+WITH s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+t AS (SELECT sum(n) AS total, count(*) AS k FROM s),
+r AS (SELECT source, 1.0 / k * total / n AS m FROM s, t),
+d AS (
+  SELECT doc_id, d.source, text, m, {_UNIFORM.format("'9973|' || doc_id")} AS u
+  FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+cdf AS (
+  SELECT source, k, sum(exp(k * ln(m) - m - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p
+  FROM r, range(0, 200) x(k) WHERE k <= m + 12 * sqrt(m) + 30),
+c AS (
+  SELECT doc_id, d.source, text, m, count(*) FILTER (least(1.0, p) <= u) AS copies
+  FROM d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source GROUP BY ALL)
+SELECT doc_id, source, CAST(copies AS BIGINT) AS copies, CAST(copy AS BIGINT) AS copy, round(m, 9) AS rate,
+  {_UNIFORM.format("'9974|' || doc_id || '|' || copy")} AS shuffle_key, md5(text) AS text_md5
+FROM c, range(1, 201) y(copy) WHERE copy <= copies
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_near_vectors": _OP6,
+    "op8_mixing": _OP8,
+}
