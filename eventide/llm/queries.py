@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import icws, mixing, packing, quality, rabitq, resample, secrets, tokenbin, toxicity
+from . import chat, icws, mixing, packing, quality, rabitq, resample, secrets, tokenbin, toxicity
 from .common import table
 
 
@@ -45,6 +45,18 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn is a record {role, text}; conversation -7 holds the template's own control strings."""
+    trap = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], rows.schema)
+    record = F.to_json(F.struct("role", F.coalesce("text", F.lit("")).alias("text")), {"ignoreNullFields": "false"})
+    # ties of the turn number: by role, then text
+    order = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    records = rows.unionByName(extra).select("conv_id", order.alias("turn"), record.alias("record"))
+    return chat.digest(chat.read_back(chat.formatted(records, "conv_id", "turn")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal weight for every source; the texts go through the shuffle and are digested after it."""
     mixed = mixing.replicate(table(spark, sf_dir, "documents"))
@@ -66,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pack": op4_pack,
     "op5_quality": op5_quality,
     "op6_near_vectors": op6_near_vectors,
+    "op7_chat": op7_chat,
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
     "op10_near_duplicates": op10_near_duplicates,
@@ -78,7 +91,7 @@ WITH RECURSIVE v AS (
 ok AS (
   SELECT vec_id, label, e FROM v
   WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e)
-    AND len(list_filter(e, x -> NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+    AND len(list_filter(e, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
   ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
@@ -111,7 +124,22 @@ SELECT doc_id, source, CAST(copies AS BIGINT) AS copies, CAST(copy AS BIGINT) AS
 FROM c, range(1, 201) y(copy) WHERE copy <= copies
 """
 
+_OP7 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(15 + length(replace(replace(replace(replace(role, '\', '--'), '</turn>', '--/turn>'), '<turn>', '--turn>'), chr(10), '--'))
+    + length(replace(replace(replace(text, '\', '--'), '</turn>', '--/turn>'), '<turn>', '--turn>'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_chat": _OP7,
     "op6_near_vectors": _OP6,
     "op8_mixing": _OP8,
 }
