@@ -52,32 +52,43 @@ def held_out(col) -> object:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-class Features:
-    """Hash features of words: a word hash and the hashes of its character n-grams, flat."""
+def normal(word: str) -> str:
+    return word.lower().strip(_STRIP)
+
 
-    def __init__(self, words: list[str]):
-        norm = [w.lower().strip(_STRIP) for w in words]
-        self.word = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in norm),
-                                U64, len(norm))
+class Features:
+    """Hash features of normalised words: a word hash and the hashes of its character n-grams, word after word."""
+
+    def __init__(self, words: list[str], step: int = 20_000):
+        if len(words) > step:     # in parts: the temporary arrays are several times the result
+            parts = [Features(words[i:i + step]) for i in range(0, len(words), step)]
+            self.word, self.n_grams, self.gram = (np.concatenate([getattr(p, k) for p in parts])
+                                                  for k in ("word", "n_grams", "gram"))
+            return
+        self.word = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words),
+                                U64, len(words))
         # All words in one code-point array, each between boundary marks.
-        text = "".join(f"\x02{w}\x03" for w in norm)
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(U64)
-        lens = np.fromiter((len(w) + 2 for w in norm), np.int64, len(norm))
-        owner = np.repeat(np.arange(len(norm)), lens)
-        left = np.repeat(np.cumsum(lens), lens) - np.arange(len(code))   # characters left in the word
-        grams, owners = [], []
+        text = "".join(f"\x02{w}\x03" for w in words)
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        lens = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+        first = np.cumsum(lens) - lens
+        per = [np.maximum(0, lens - n + 1) for n in GRAMS]
+        self.n_grams = sum(per)
+        at = np.cumsum(self.n_grams) - self.n_grams
+        self.gram = np.empty(int(self.n_grams.sum()), U64)
         with np.errstate(over="ignore"):
-            for n in GRAMS:
-                at = np.flatnonzero(left >= n)
-                h = np.full(len(at), U64(n), U64)
-                for k in range(n):
-                    h = h * U64(0x9E3779B97F4A7C15) + code[at + k]
-                grams.append(mix64(h))
-                owners.append(owner[at])
-        self.gram, self.owner = np.concatenate(grams), np.concatenate(owners)
-        order = np.argsort(self.owner, kind="stable")
-        self.gram, self.owner = self.gram[order], self.owner[order]
-        self.n_grams = np.bincount(self.owner, minlength=len(norm))
+            for n, k in zip(GRAMS, per):
+                place = spans_index(k)
+                pos = np.repeat(first, k) + place
+                h = np.full(len(pos), U64(n), U64)
+                for i in range(n):
+                    h = h * U64(0x9E3779B97F4A7C15) + code[pos + i]
+                self.gram[np.repeat(at, k) + place] = mix64(h)
+                at = at + k
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.n_grams)), self.n_grams)
 
     def slots(self) -> tuple[np.ndarray, np.ndarray]:
         """Embedding slots of words and n-grams."""
@@ -248,12 +259,15 @@ def train(texts: list[str], toxic: list[int], seed: int = SEED) -> Network | Non
         return None
     rng = np.random.default_rng(seed)
     index: dict[str, int] = {}
-    rows_of = [np.fromiter((index.setdefault(w, len(index)) for w in t.split()), np.int64) for t in texts]
+    rows_of = [np.fromiter((index.setdefault(normal(w), len(index)) for w in t.split()), np.int64) for t in texts]
     if not index:
         return None
     f = Features(list(index))
     part = rng.permutation(len(texts)) % PARTS
-    g_keys, g_id = np.unique(f.gram, return_inverse=True)
+    g_keys = np.unique(f.gram)
+    g_id = np.empty(len(f.gram), np.int32)
+    for lo in range(0, len(g_id), 1 << 18):
+        g_id[lo:lo + (1 << 18)] = np.searchsorted(g_keys, f.gram[lo:lo + (1 << 18)])
     sizes = (len(index), len(g_keys))
     counts = [np.zeros((PARTS, 2, n), np.int32) for n in sizes]     # words, n-grams: documents by part and class
     g_start = np.cumsum(f.n_grams) - f.n_grams
@@ -311,14 +325,15 @@ def train(texts: list[str], toxic: list[int], seed: int = SEED) -> Network | Non
             net.step(sub, ev, inv.reshape(idx.shape), mask, label[mixed[lo:lo + BATCH]],
                      weight[mixed[lo:lo + BATCH]], adam)
     top = np.full(len(texts), -np.inf)
-    gates = [net.gates(net.inputs(f, e)) for e in evidence]
-    for lo in range(0, len(doc), 4096):
-        d = doc[lo:lo + 4096]
-        idx, mask = window_index(flat, lens, d, first[lo:lo + 4096])
-        for s in range(PARTS):
-            k = part[d] == s
-            if k.any():
-                np.maximum.at(top, d[k], net.run(gates[s], idx[k], mask[k]))
+    for s in range(PARTS):
+        # the vocabulary in parts: an n-gram's embedding is gathered for each place it has
+        gates = np.concatenate([net.gates(net.inputs(Subset(f, rows), evidence[s, rows])) for rows in
+                                np.array_split(np.arange(len(index)), 1 + len(index) // 10_000)])
+        mine = np.flatnonzero(part[doc] == s)
+        for lo in range(0, len(mine), 2048):
+            k = mine[lo:lo + 2048]
+            idx, mask = window_index(flat, lens, doc[k], first[k])
+            np.maximum.at(top, doc[k], net.run(gates, idx, mask))
     fresh = np.isfinite(top) & (part == 0)
     strongest = np.array([strength[k, r].max() if len(r) else 0 for k, r in zip(part, rows_of)])
     net.scale = logistic(np.stack([top, strongest], axis=1)[fresh], y[fresh])
@@ -332,7 +347,6 @@ class Subset(Features):
         self.word, self.n_grams = f.word[rows], f.n_grams[rows]
         starts = (np.cumsum(f.n_grams) - f.n_grams)[rows]
         self.gram = f.gram[np.repeat(starts, self.n_grams) + spans_index(self.n_grams)]
-        self.owner = np.repeat(np.arange(len(rows)), self.n_grams)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -360,7 +374,7 @@ def word_gates(net: Network, words: list[str]) -> np.ndarray:
     """Per word: the input part of both directions' gates, and its evidence."""
     if not words:
         return np.zeros((0, 6 * HIDDEN + 1), np.float32)
-    f = Features(words)
+    f = Features([normal(w) for w in words])
     evidence = net.seen(f)
     return np.concatenate([net.gates(net.inputs(f, evidence)), evidence.max(axis=1, keepdims=True)], axis=1)
 
