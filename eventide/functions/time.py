@@ -93,9 +93,17 @@ def ts_text(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss.S")
 
 
-def next_midnight(col: Column) -> Column:
-    """M8: the next midnight after ``col`` (start of the next day)."""
-    return F.date_trunc("DAY", col) + F.expr("INTERVAL 1 DAY")
+_DAY_US = 86_400_000_000
+
+
+def utc_day(df: DataFrame, col: str) -> Column:
+    """Start of the UTC day of a timestamp column (same type), whatever the session's zone."""
+    return from_micros(floor_div(epoch_micros(df, col), _DAY_US) * F.lit(_DAY_US), is_ntz(df, col))
+
+
+def next_midnight(df: DataFrame, col: str) -> Column:
+    """M8: the next UTC midnight after ``col``."""
+    return from_micros((floor_div(epoch_micros(df, col), _DAY_US) + 1) * F.lit(_DAY_US), is_ntz(df, col))
 
 
 def parse_log_time(col: Column, fmt: str = "dd/MM/yyyy:HH:mm:ss") -> Column:

@@ -5,7 +5,7 @@
 * ``exact``   - ``count(DISTINCT id)``; Spark plans it as two aggregates
   (``(window, id)`` then ``window``), both with map-side partial combine, so
   a hot window is spread over its ids.
-* ``bitmap``  - exact, mergeable bitmaps for non-negative integer ids (A7):
+* ``bitmap``  - exact, mergeable bitmaps for integer ids of either sign (A7):
   ``bitmap_construct_agg`` per (window, 32768-id bucket), ``bitmap_count``
   summed over buckets.  Bounded memory per bucket (4 KiB).
 * ``onehash`` - the reference's one-hash bitmap (A5): distinct offsets
@@ -39,8 +39,7 @@ def window_distinct(df: DataFrame, id_col: str, ts: str, size: str, *,
         out = df.groupBy(*group).agg(
             F.hll_sketch_estimate(F.hll_sketch_agg(id_col, lg_k)).alias(name))
     elif method == "bitmap":
-        per_bucket = (df.filter(F.col(id_col) >= 0)
-                      .groupBy(*group, F.bitmap_bucket_number(id_col).alias("bucket"))
+        per_bucket = (df.groupBy(*group, F.bitmap_bucket_number(id_col).alias("bucket"))
                       .agg(F.bitmap_construct_agg(F.bitmap_bit_position(id_col)).alias("bm")))
         out = per_bucket.groupBy(*[F.col(k) for k in keys], "w").agg(
             F.sum(F.bitmap_count("bm")).alias(name))

@@ -17,17 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.functions.time import utc_day
 from eventide.operators.windows import _as_list
 
 # Status codes of the two outputs (the reference prints a warning text).
 BLACKLIST_MSG = "blacklisted: too many clicks"
 
 
-def day_of(ts_col: str):
-    """Event-time day of ``ts`` (start of the UTC day, same type as ``ts``)."""
-    return F.date_trunc("DAY", F.col(ts_col))
-
-
 def rate_limit(df: DataFrame, keys, ts: str, seq: str, cap: int = 100
                ) -> tuple[DataFrame, DataFrame]:
     """Return ``(passed, blacklist)``.
@@ -40,24 +36,12 @@ def rate_limit(df: DataFrame, keys, ts: str, seq: str, cap: int = 100
     if cap < 0:
         raise ValueError("cap must be >= 0")
     cols = df.columns
-    w = Window.partitionBy(*keys, day_of(ts)).orderBy(F.col(ts), F.col(seq))
+    day = utc_day(df, ts)
+    w = Window.partitionBy(*keys, day).orderBy(F.col(ts), F.col(seq))
     ranked = (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") <= cap + 1))
     passed = ranked.filter(F.col("_rn") <= cap).select(*cols)
     blacklist = ranked.filter(F.col("_rn") == cap + 1).select(
-        *keys, day_of(ts).alias("day"), F.col(ts).alias("ts"),
+        *keys, day.alias("day"), F.col(ts).alias("ts"),
         F.lit(BLACKLIST_MSG).alias("msg"))
     return passed, blacklist
-
-
-def rate_limit_tagged(df: DataFrame, keys, ts: str, seq: str, cap: int = 100
-                      ) -> DataFrame:
-    """Both outputs in one pass (side-output style): input columns plus
-    ``tag`` in (``pass``, ``blacklist``); refused rows after the first are
-    dropped."""
-    keys = _as_list(keys)
-    w = Window.partitionBy(*keys, day_of(ts)).orderBy(F.col(ts), F.col(seq))
-    ranked = (df.withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") <= cap + 1))
-    return ranked.withColumn(
-        "tag", F.when(F.col("_rn") <= cap, "pass").otherwise("blacklist")).drop("_rn")

@@ -19,7 +19,7 @@ assumes; ``dedupe=True`` first keeps the latest event per id and side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +39,6 @@ def nonempty_key(df: DataFrame, key: str) -> Column:
     return c.isNotNull()
 
 
-def _interval_us(df: DataFrame, col: str) -> Column:
-    return epoch_micros(df, col)
-
-
 def latest_per_key(df: DataFrame, key: str, ts: str) -> DataFrame:
     """One row per id, the latest by ``ts`` (the reference's value state keeps
     the last unmatched event of a side).  A partial aggregate before the
@@ -60,21 +56,22 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     """
     lf = left.filter(nonempty_key(left, key)).select(
         F.col(key).alias("_lk"), F.col(left_ts).alias(left_ts))
-    rt = right.filter(nonempty_key(right, key)).select(
-        F.col(key).alias("_rk"), F.col(right_ts).alias(right_ts))
+    # receipts without an id match nothing, but they are reported
+    rt = right.select(F.col(key).alias("_rk"), F.col(right_ts).alias(right_ts))
     if dedupe:
         lf = latest_per_key(lf, "_lk", left_ts)
         rt = latest_per_key(rt, "_rk", right_ts)
+    lf, rt = lf.withColumn("_l", F.lit(True)), rt.withColumn("_r", F.lit(True))
     cond = F.col("_lk") == F.col("_rk")
     if tolerance is not None:
         tol = duration_us(tolerance)
-        lus, rus = _interval_us(lf, left_ts), _interval_us(rt, right_ts)
+        lus, rus = epoch_micros(lf, left_ts), epoch_micros(rt, right_ts)
         lf = lf.withColumn("_lus", lus)
         rt = rt.withColumn("_rus", rus)
         cond = cond & F.col("_rus").between(F.col("_lus") - tol, F.col("_lus") + tol)
     j = lf.join(rt, cond, "full_outer")
-    status = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), F.lit(MATCHED))
-              .when(F.col("_rk").isNull(), F.lit(UNMATCHED_LEFT))
+    status = (F.when(F.col("_l") & F.col("_r"), F.lit(MATCHED))
+              .when(F.col("_r").isNull(), F.lit(UNMATCHED_LEFT))
               .otherwise(F.lit(UNMATCHED_RIGHT)))
     return j.select(F.coalesce("_lk", "_rk").alias(key), left_ts, right_ts,
                     status.alias("status"))
@@ -98,7 +95,7 @@ def window_join(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     lf = left.filter(nonempty_key(left, key)).select(
         F.col(key).alias(key), left_ts,
         floor_div(epoch_micros(left, left_ts), size_us).alias("_w"))
-    rt = right.filter(nonempty_key(right, key)).select(
+    rt = right.select(
         F.col(key).alias(key), right_ts,
         floor_div(epoch_micros(right, right_ts), size_us).alias("_w"))
     j = lf.join(rt, [key, "_w"], "inner")
@@ -106,3 +103,68 @@ def window_join(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     return j.select(key, from_micros(start, ntz).alias("window_start"),
                     from_micros(start + F.lit(size_us), ntz).alias("window_end"),
                     left_ts, right_ts)
+
+
+SUPERSEDED_LEFT = "superseded_pay"
+SUPERSEDED_RIGHT = "superseded_receipt"
+
+
+def reconcile_one_to_one(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+                         left_seq: str | None = None, right_seq: str | None = None) -> DataFrame:
+    """J-a with one partner each: every match uses up both events.
+
+    Per id the events of both sides are taken in the order of (time, side,
+    seq).  An event meets the other side's pending event, if there is one;
+    else it becomes its side's pending event and supersedes an earlier one.
+    The reference forgets a superseded event; here it gets a row of its own,
+    so every event with an id is in exactly one row.
+
+    Two window passes instead of a fold: cut an id's events into runs of one
+    side.  A run of two or more always leaves its last event pending; a run
+    of one leaves it pending only if nothing waited for it.  So whether an
+    event is pending after a run is decided by the parity of the runs since
+    the last long one, and a pending event meets the first of the next run.
+
+    Output: key, left_ts, right_ts, status.  One id's events are one ordered
+    history and meet in one task; ids are spread over all tasks.
+    """
+    def side(df, ts, seq, no):
+        return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(no).alias("_side"),
+                         (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"))
+
+    events = side(left.filter(nonempty_key(left, key)), left_ts, left_seq, 0).unionByName(
+        side(right, right_ts, right_seq, 1))
+    order = Window.partitionBy("_k").orderBy("_ts", "_side", "_seq")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    runs = (events.withColumn("_new", (~F.lag("_side").over(order).eqNullSafe(F.col("_side"))).cast("int"))
+            .withColumn("_run", F.sum("_new").over(so_far))
+            .withColumn("_next_new", F.lead("_new").over(order))
+            .withColumn("_next_ts", F.lead("_ts").over(order)).withColumn("_last_ts", F.lag("_ts").over(order)))
+    runs = (runs.withColumn("_first", F.col("_new") == 1)
+            .withColumn("_last", F.coalesce(F.col("_next_new") == 1, F.lit(True)))
+            # a run is long from its second event on
+            .withColumn("_long", F.max(F.when(~F.col("_first"), F.col("_run"))).over(so_far)))
+
+    def pending_after(run, long_run):
+        """Whether the last event of ``run`` waits, given the last long run up to it."""
+        return F.when(long_run.isNull(), F.pmod(run, F.lit(2)) == 1).otherwise(
+            F.pmod(run - long_run, F.lit(2)) == 0)
+
+    # up to the event before this run: its own long mark does not count
+    before = F.lag("_long").over(order)
+    runs = runs.withColumn("_met", F.col("_first") & (F.col("_run") > 1) & pending_after(F.col("_run") - 1, before))
+    waits = F.col("_last") & pending_after(F.col("_run"), F.col("_long"))
+    meets_next = waits & F.col("_next_new").isNotNull()
+    empty = F.col("_k").isNull() | (F.col("_k").cast("string") == "")
+    is_left = F.col("_side") == 0
+    status = (F.when(empty, F.lit(UNMATCHED_RIGHT))
+              .when(F.col("_met"), F.lit("taken"))
+              .when(meets_next, F.lit(MATCHED))
+              .when(waits, F.when(is_left, UNMATCHED_LEFT).otherwise(UNMATCHED_RIGHT))
+              .otherwise(F.when(is_left, SUPERSEDED_LEFT).otherwise(SUPERSEDED_RIGHT)))
+    rows = runs.withColumn("status", status).filter("status <> 'taken'")
+    both = F.col("status") == MATCHED
+    return rows.select(
+        F.col("_k").alias(key),
+        F.when(is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(left_ts),
+        F.when(~is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(right_ts), "status")

@@ -47,9 +47,11 @@ def _bucketed(df: DataFrame, us: str, bucket_us: int, before_us: int,
 
 
 def _prepare(df: DataFrame, key: str, ts: str, seq: str, flags: dict[str, Column]):
+    """Key, time, order and flags; an event without a time fails the job, as it has no place in a sequence."""
     cols = [F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.col(seq).alias("_seq")]
     cols += [c.alias(n) for n, c in flags.items()]
-    ev = df.select(*cols).filter(F.col("_ts").isNotNull())
+    timed = F.coalesce(F.col("_ts"), F.raise_error(F.lit("an event has no time")).cast(df.schema[ts].dataType))
+    ev = df.select(*cols).withColumn("_ts", timed)
     return ev.withColumn("_us", epoch_micros(ev, "_ts")), is_ntz(ev, "_ts")
 
 
@@ -85,7 +87,8 @@ def followed_by(df: DataFrame, key: str, ts: str, seq: str, first: Column,
     Output: key, begin_ts, begin_seq, follow_ts (NULL on timeout), status.
     """
     w_us = duration_us(within)
-    ev, _ = _prepare(df, key, ts, seq, {"_first": first, "_then": then})
+    # only these rows matter, and the filter reaches the scan
+    ev, _ = _prepare(df.filter(first | then), key, ts, seq, {"_first": first, "_then": then})
     bk = _bucketed(ev, "_us", _bucket_width(bucket, w_us), 0, w_us)
     later = (Window.partitionBy("_k", "_b")
              .orderBy(F.col("_us").desc(), F.col("_seq").desc())
@@ -202,7 +205,7 @@ def _burst_candidates(df, key, ts, seq, is_fail, span_us, bucket):
         cancelled.alias("_cancelled"), nxt.alias("_nxt"))
 
 
-def chain_closure(starts: DataFrame, links: DataFrame, max_rounds: int = 64) -> DataFrame:
+def chain_closure(starts: DataFrame, links: DataFrame) -> DataFrame:
     """All nodes reachable from ``starts`` along ``links`` (pointer doubling).
 
     ``links``: ``_k, _id, _nxt`` (``_nxt`` NULL at a chain end); ``starts``:
@@ -213,7 +216,7 @@ def chain_closure(starts: DataFrame, links: DataFrame, max_rounds: int = 64) ->
     """
     jumps = [links.select("_k", "_id", F.col("_nxt").alias("_j"))
              .filter(F.col("_j").isNotNull()).checkpoint()]
-    while len(jumps) < max_rounds and not jumps[-1].isEmpty():
+    while not jumps[-1].isEmpty():
         j = jumps[-1]
         nxt = (j.alias("x").join(j.alias("y"),
                                  (F.col("x._k") == F.col("y._k")) & (F.col("x._j") == F.col("y._id")))
@@ -221,7 +224,7 @@ def chain_closure(starts: DataFrame, links: DataFrame, max_rounds: int = 64) ->
                        F.col("y._j").alias("_j")))
         jumps.append(nxt.checkpoint())
     reached = starts.select("_k", "_id").checkpoint()
-    for j in reversed(jumps[:-1] if jumps[-1].isEmpty() else jumps):
+    for j in reversed(jumps[:-1]):
         step = reached.join(j, ["_k", "_id"]).select("_k", F.col("_j").alias("_id"))
         reached = reached.unionByName(step).checkpoint()
     return reached

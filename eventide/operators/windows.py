@@ -44,20 +44,6 @@ def _as_list(keys: str | Sequence[str] | None) -> list[str]:
     return list(keys)
 
 
-def pane_counts(df: DataFrame, keys, ts: str, slide: str | int,
-                value: str | None = None, name: str = "c") -> DataFrame:
-    """Rows aggregated into slide-wide, epoch-aligned panes.
-
-    Returns ``keys, pane, <name>`` where ``pane`` is the pane index
-    (``floor(epoch_us / slide_us)``).
-    """
-    keys = _as_list(keys)
-    slide_us = duration_us(slide)
-    pane = floor_div(epoch_micros(df, ts), slide_us).alias("pane")
-    agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    return df.groupBy(*[F.col(k) for k in keys], pane).agg(agg.alias(name))
-
-
 def window_count(df: DataFrame, keys, ts: str, size: str | int,
                  slide: str | int | None = None, *, value: str | None = None,
                  name: str = "count", method: str = "auto") -> DataFrame:

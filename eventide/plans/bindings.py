@@ -56,9 +56,8 @@ def weblog_view(ev: DataFrame) -> DataFrame:
                  F.col("item_id").cast("string")).alias("url"))
 
 
-# The marketing channels of the reference's generator, in its
-# order.  Channel of a user = element (user_id % 5) of this list.
-CHANNELS = ["weibo", "wechat", "app-store", "huawei", "wandoujia"]
+# Channel of a user = element (user_id % 5) of this list.
+CHANNELS = [f"channel_{i}" for i in range(5)]
 
 
 def marketing_events(spark: SparkSession, sf_dir: str) -> DataFrame:

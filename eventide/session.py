@@ -62,8 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used as is.  Only when nothing is configured (local tests) a fresh
-    scratch folder is created.
+    and is used as is.  Only when nothing is configured on a local master (tests)
+    a fresh scratch folder is created; on a cluster that is an error, since a
+    folder of the driver's own disk is not there for the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="eventide-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -83,6 +86,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``"dir"``, ``"file"`` or None (not there), for any path Spark can read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return "dir" if fs.getFileStatus(p).isDirectory() else "file"
+
+
 MB = 1 << 20
 
 

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.time import parse_log_time
-
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,21 +25,23 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
     return r.load(path)
 
 
-def _cast(c: Column, dtype: T.DataType, strict: bool) -> Column:
-    if isinstance(dtype, T.StringType):
-        return c
-    if strict:
-        return c.cast(dtype)
-    return F.try_cast(c, dtype) if hasattr(F, "try_cast") else c.try_cast(dtype)
+def _fail(dtype: T.DataType, line: Column) -> Column:
+    """Stops the job with the line, typed like the field it stands for."""
+    return F.raise_error(F.concat(F.lit("bad line: "), F.coalesce(line, F.lit("null")))).cast(dtype)
+
+
+def _cast(c: Column, dtype: T.DataType, strict: bool, line: Column) -> Column:
+    """The typed field; a missing or unreadable one is NULL or, if strict, an error in any ANSI mode."""
+    got = c if isinstance(dtype, T.StringType) else c.try_cast(dtype)
+    return F.coalesce(got, _fail(dtype, line)) if strict else got
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",",
                     col: str = "value", bad_rows: str = "fail") -> DataFrame:
     """Split each line on ``sep``, trim every field, cast by position.
 
-    ``bad_rows="fail"`` keeps the reference's contract (a bad number stops
-    the job: ANSI casts raise); ``"drop"`` turns bad casts into NULL and drops
-    those rows.  An empty cell stays ``""`` for string fields, as in the
+    ``bad_rows="fail"`` keeps the reference's contract (a bad number or a line
+    that is too short stops the job); ``"drop"`` drops such rows.  An empty cell stays ``""`` for string fields, as in the
     reference (Spark's CSV reader would turn it into NULL).
     """
     if bad_rows not in ("fail", "drop"):
@@ -49,8 +49,7 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",",
     parts = F.split(F.col(col), _regex_literal(sep), -1)
     fields = []
     for i, f in enumerate(schema.fields):
-        raw = F.trim(F.get(parts, i)) if hasattr(F, "get") else F.trim(parts.getItem(i))
-        fields.append(_cast(raw, f.dataType, bad_rows == "fail").alias(f.name))
+        fields.append(_cast(F.trim(F.get(parts, i)), f.dataType, bad_rows == "fail", F.col(col)).alias(f.name))
     out = lines.select(*fields)
     if bad_rows == "drop":
         ok = F.lit(True)
@@ -70,14 +69,23 @@ def _regex_literal(sep: str) -> str:
 WEBLOG_TIME_FORMAT = "dd/MM/yyyy:HH:mm:ss"
 
 
-def parse_weblog(lines: DataFrame, col: str = "value") -> DataFrame:
-    """P2 + M5: ip, user_id, event_time (timestamp_ntz, NULL if unparseable),
-    method, url."""
+def parse_weblog(lines: DataFrame, col: str = "value", bad_rows: str = "fail") -> DataFrame:
+    """P2 + M5: ip, user_id, event_time (timestamp_ntz), method, url, trimmed.
+
+    ``bad_rows`` as in :func:`parse_delimited`; ``"null"`` keeps a bad line
+    with what could be read.
+    """
+    if bad_rows not in ("fail", "drop", "null"):
+        raise ValueError("bad_rows must be 'fail', 'drop' or 'null'")
     parts = F.split(F.col(col), " ", -1)
-    item = (lambda i: F.get(parts, i)) if hasattr(F, "get") else (lambda i: parts.getItem(i))
-    return lines.select(
-        item(0).alias("ip"),
-        item(1).alias("user_id"),
-        parse_log_time(item(3), WEBLOG_TIME_FORMAT).cast("timestamp_ntz").alias("event_time"),
-        item(5).alias("method"),
-        item(6).alias("url"))
+    text = T.StringType()
+    time = F.try_to_timestamp(F.concat(F.trim(F.get(parts, 3)), F.lit(" +0000")), F.lit(WEBLOG_TIME_FORMAT + " Z"))
+    # the text is a wall-clock time: read as UTC, and back through the epoch
+    wall = F.timestamp_add("MICROSECOND", F.unix_micros(time), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    fields = {"ip": F.trim(F.get(parts, 0)), "user_id": F.trim(F.get(parts, 1)), "event_time": wall,
+              "method": F.trim(F.get(parts, 5)), "url": F.trim(F.get(parts, 6))}
+    if bad_rows == "fail":
+        fields = {k: F.coalesce(v, _fail(T.TimestampNTZType() if k == "event_time" else text, F.col(col)))
+                  for k, v in fields.items()}
+    out = lines.select(*[v.alias(k) for k, v in fields.items()])
+    return out.dropna() if bad_rows == "drop" else out

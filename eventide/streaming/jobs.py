@@ -9,16 +9,15 @@ the final watermark stay open, exactly as a live stream would leave them.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.time import duration_us, epoch_micros
+from eventide.functions.time import duration_us, epoch_micros, from_micros
 from eventide.operators.reconcile import nonempty_key
-from eventide.session import scratch_path
+from eventide.session import path_kind, scratch_path
 from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProcessor,
                                            ProcessingTimeCapProcessor, RateLimitProcessor,
                                            SlidingCountProcessor)
@@ -30,12 +29,12 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
-    if os.path.isdir(path):
+    if path_kind(spark, path) == "dir":
         src = path
     else:
         # one file per table: stream the folder, keep only that file
-        r = r.option("pathGlobFilter", os.path.basename(path))
-        src = os.path.dirname(path)
+        src, _, file = path.rpartition("/")
+        r = r.option("pathGlobFilter", file)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(src)
@@ -57,13 +56,13 @@ def require_rocksdb(spark: SparkSession) -> None:
 
 def event_time(df: DataFrame, ts: str, delay: str = "0 seconds",
                out: str = "event_time") -> DataFrame:
-    """Watermark needs a TIMESTAMP column; timestamp_ntz is converted
-    in the session zone (UTC) and converted back on output."""
-    return df.withColumn(out, F.col(ts).cast("timestamp")).withWatermark(out, delay)
+    """Watermark needs a TIMESTAMP column; timestamp_ntz is read as UTC, and
+    turned back by :func:`to_ntz`, through the epoch: the session's zone has no part in it."""
+    return df.withColumn(out, F.timestamp_micros(epoch_micros(df, ts))).withWatermark(out, delay)
 
 
 def to_ntz(c):
-    return F.col(c).cast("timestamp_ntz") if isinstance(c, str) else c.cast("timestamp_ntz")
+    return from_micros(F.unix_micros(F.col(c) if isinstance(c, str) else c))
 
 
 def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
@@ -93,12 +92,13 @@ def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
 
-def _wait_input_consumed(q, timeout_s: float = 600.0) -> None:
+def _wait_input_consumed(q, timeout_s: float | None = None) -> None:
     """Block until a micro-batch ran without new input on any source (its
-    start and end offsets are equal), i.e. everything available was read."""
+    start and end offsets are equal), i.e. everything available was read.
+    ``timeout_s`` limits the wait; by default it may take as long as it takes."""
     import time
     t0 = time.time()
-    while time.time() - t0 < timeout_s:
+    while timeout_s is None or time.time() - t0 < timeout_s:
         if q.exception() is not None:
             raise q.exception()
         progress = q.recentProgress
@@ -140,8 +140,16 @@ def stream_window_counts(timed: DataFrame, keys: list[str], size: str, slide: st
     """
     slide = slide or size
     n = duration_us(size) // duration_us(slide)
-    if n > DENSE_OVERLAP and duration_us(size) % duration_us(slide) == 0:
+    whole = duration_us(size) % duration_us(slide) == 0
+    if n > DENSE_OVERLAP and whole:
         return sliding_counts_stream(timed, keys, size, slide, name, event_time_out=True)
+    if not whole:
+        # panes of the slide do not tile the window: place the rows themselves
+        wins = (timed.groupBy(*keys, F.window("event_time", size, slide).alias("w"))
+                .agg(F.count(F.lit(1)).alias(name)))
+        return wins.select(*keys, to_ntz(F.col("w.start")).alias("window_start"),
+                           to_ntz(F.col("w.end")).alias("window_end"), name,
+                           F.window_time("w").alias("event_time"))
     panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("pane"))
              .agg(F.count(F.lit(1)).alias("_c")))
     if slide == size:
@@ -271,9 +279,11 @@ RATE_OUT = T.StructType([T.StructField("seq", T.LongType()),
 
 
 def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False,
-                      clock: str = "event") -> DataFrame:
+                      clock: str = "event", delay: str = "0 seconds") -> DataFrame:
     """T5 on a stream: per (user, behavior) value state of the current day.
 
+    ``delay`` is how far rows may be out of order; later rows are not counted.
+
     ``clock="event"`` (default): days are event-time days, reproducible.
     ``clock="processing"``: the reference's reset at the wall clock's next
     UTC midnight (T8), with a processing-time timer.
@@ -290,7 +300,7 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
             RATE_OUT, "Append", "ProcessingTime"))
     if clock != "event":
         raise ValueError("clock must be 'event' or 'processing'")
-    ev = event_time(ev, "ts")
+    ev = event_time(ev, "ts", delay)
     schema, extra = RATE_OUT, {}
     if keep_event_time:
         schema = T.StructType(RATE_OUT.fields + [T.StructField("event_time", T.TimestampType())])
@@ -302,10 +312,10 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
 
 
 def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour",
-                               slide: str = "5 seconds") -> DataFrame:
+                               slide: str = "5 seconds", delay: str = "0 seconds") -> DataFrame:
     """J6 on a stream: click cap, then passed clicks per type and sliding
     window (pane form), chained after the stateful processor."""
-    passed = rate_limit_stream(events, cap, keep_event_time=True).filter(F.col("tag") == "pass")
+    passed = rate_limit_stream(events, cap, keep_event_time=True, delay=delay).filter(F.col("tag") == "pass")
     w = stream_window_counts(passed, ["behavior"], size, slide, "clicks")
     return w.select("behavior", "window_start", "window_end", "clicks")
 
@@ -325,8 +335,8 @@ BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 
 
 def failure_bursts_stream(events: DataFrame, span: str, min_fails: int,
-                          delay: str = "0 seconds") -> DataFrame:
-    """T6 on a stream: value state + event-time timer per user."""
+                          delay: str = "5 seconds") -> DataFrame:
+    """T6 on a stream: value state + event-time timer per user; rows may be 5 s out of order."""
     require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
@@ -346,14 +356,14 @@ FUNNEL_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 
 
 def funnel_stream(events: DataFrame, within: str, first: str = "click",
-                  then: str = "purchase") -> DataFrame:
+                  then: str = "purchase", delay: str = "0 seconds") -> DataFrame:
     """C2 on a stream: list state of open matches + a timer per match."""
     require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    (F.col("behavior") == first).alias("is_first"),
                    (F.col("behavior") == then).alias("is_then"))
-    ev = event_time(ev.filter(F.col("is_first") | F.col("is_then")), "ts")
+    ev = event_time(ev.filter(F.col("is_first") | F.col("is_then")), "ts", delay)
     return (ev.groupBy("user_id")
             .transformWithStateInPandas(FollowedByProcessor(duration_us(within), "user_id"),
                                         FUNNEL_OUT, "Append", "EventTime"))
@@ -363,19 +373,20 @@ def funnel_stream(events: DataFrame, within: str, first: str = "click",
 # Stream-stream reconciliation (J-b)
 
 def reconcile_stream(pays: DataFrame, receipts: DataFrame, key: str, pay_ts: str,
-                     receipt_ts: str, tolerance: str) -> DataFrame:
+                     receipt_ts: str, tolerance: str, delay: str = "0 seconds") -> DataFrame:
     """J-b on streams: full outer join on the id with a +-tolerance time
-    range; unmatched rows are emitted once the watermark rules out a match."""
-    p = event_time(pays.filter(nonempty_key(pays, key)), pay_ts, "0 seconds", "_pt")
-    r = event_time(receipts.filter(nonempty_key(receipts, key)), receipt_ts, "0 seconds", "_rt")
+    range; unmatched rows are emitted once the watermark rules out a match.
+    A receipt without an id is an unmatched receipt."""
+    p = event_time(pays.filter(nonempty_key(pays, key)), pay_ts, delay, "_pt")
+    r = event_time(receipts, receipt_ts, delay, "_rt")
     p = p.select(F.col(key).alias("_pk"), pay_ts, "_pt")
     r = r.select(F.col(key).alias("_rk"), receipt_ts, "_rt")
     cond = ((F.col("_pk") == F.col("_rk"))
             & (F.col("_rt") >= F.col("_pt") - F.expr(f"INTERVAL {tolerance}"))
             & (F.col("_rt") <= F.col("_pt") + F.expr(f"INTERVAL {tolerance}")))
     j = p.join(r, cond, "full_outer")
-    status = (F.when(F.col("_pk").isNotNull() & F.col("_rk").isNotNull(), F.lit("matched"))
-              .when(F.col("_rk").isNull(), F.lit("unmatched_pay"))
+    status = (F.when(F.col("_pt").isNotNull() & F.col("_rt").isNotNull(), F.lit("matched"))
+              .when(F.col("_rt").isNull(), F.lit("unmatched_pay"))
               .otherwise(F.lit("unmatched_receipt")))
     return j.select(F.coalesce("_pk", "_rk").alias(key), pay_ts, receipt_ts,
                     status.alias("status"))
@@ -401,7 +412,7 @@ def read_upserted(spark: SparkSession, base: str, keys: list[str], schema: T.Str
     from pyspark.sql import Window
     path = f"{base}/table"
     full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
-    if not os.path.exists(path.replace("file:", "")) and path.startswith(("/", "file:")):
+    if path_kind(spark, path) is None:
         return spark.createDataFrame([], schema)
     t = spark.read.schema(full).parquet(path)
     w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
@@ -412,8 +423,7 @@ def read_upserted(spark: SparkSession, base: str, keys: list[str], schema: T.Str
 def uv_bitmap_updates(events: DataFrame) -> DataFrame:
     """S7 + A7 on a stream: per (hour, id bucket) a running exact bitmap of
     the users seen, emitted in update mode."""
-    views = event_time(events.filter(F.col("behavior") == "view")
-                       .filter(F.col("user_id") >= 0), "ts")
+    views = event_time(events.filter(F.col("behavior") == "view"), "ts")
     return (views.groupBy(F.window("event_time", "1 hour").alias("w"),
                           F.bitmap_bucket_number("user_id").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("bm"))

@@ -305,7 +305,7 @@ class SlidingCountProcessor(StatefulProcessor):
         data["window_end"] = pd.to_datetime(end_ns)
         data["count"] = counts
         if self.event_time_out:
-            data["event_time"] = pd.to_datetime(end_ns - 1000)
+            data["event_time"] = pd.to_datetime(end_ns - 1000, utc=True)
         return pd.DataFrame(data)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
@@ -323,7 +323,8 @@ class SlidingCountProcessor(StatefulProcessor):
             allp = np.concatenate([panes, new])
             allc = np.concatenate([cnt, w])
             panes, inv = np.unique(allp, return_inverse=True)
-            cnt = np.bincount(inv, weights=allc).astype(np.int64)
+            cnt = np.zeros(len(panes), np.int64)
+            np.add.at(cnt, inv, allc)              # bincount's weights are floats
         out = self._close(key, panes, cnt, done, timer, timerValues.getCurrentWatermarkInMs())
         if out is not None:
             yield out

@@ -33,8 +33,9 @@ def test_capacity_rule():
 
 def test_time_helpers(spark):
     df = spark.createDataFrame([(1511661701000,)], "ms long")
+    df = df.withColumn("ts", F.timestamp_millis("ms"))
     row = df.select(millis_to_text("ms").alias("t"),
-                    next_midnight(F.timestamp_millis("ms")).cast("string").alias("m")).first()
+                    next_midnight(df, "ts").cast("string").alias("m")).first()
     assert row["t"] == "2017-11-26 02:01:41.0"
     assert row["m"] == "2017-11-27 00:00:00"
 
