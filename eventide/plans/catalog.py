@@ -7,6 +7,7 @@ as the correctness gate.  Column names and types match between the two.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,9 @@ from eventide.operators.topn import top_n
 from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
 from eventide.streaming import jobs as SJ
-from eventide.sources.files import WEBLOG_TIME_FORMAT, parse_delimited, parse_weblog
+from eventide.session import scratch_path
+from eventide.sources.files import WEBLOG_TIME_FORMAT, parse_delimited, parse_weblog, read_lines
+from eventide.streaming.sinks import side_output_writer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -248,7 +251,7 @@ TOTAL_COUNTS_SQL = f"""
 WITH {_sliding_sql(
     f"SELECT epoch_us(ts) AS us FROM events WHERE event_type <> '{DROPPED_BEHAVIOR}'",
     [], SEC10, 360, "count")}
-SELECT 'appMarket' AS channel, 'total' AS behavior, {_bounds_sql(SEC10, H)},
+SELECT '{SJ.TOTAL_LABELS[0]}' AS channel, '{SJ.TOTAL_LABELS[1]}' AS behavior, {_bounds_sql(SEC10, H)},
        {_text_bounds_sql(SEC10, H)}, "count" FROM c
 """
 
@@ -272,7 +275,7 @@ def behavior_total_counts(spark, sf_dir):
         ~F.col("behavior").eqNullSafe(DROPPED_BEHAVIOR))
     counts = window_count(ev, [], "ts", "1 hour", "10 seconds")
     return _with_text_bounds(counts.select(
-        F.lit("appMarket").alias("channel"), F.lit("total").alias("behavior"), "*"))
+        F.lit(SJ.TOTAL_LABELS[0]).alias("channel"), F.lit(SJ.TOTAL_LABELS[1]).alias("behavior"), "*"))
 
 
 # --------------------------------------------------------------------------
@@ -675,15 +678,77 @@ UPSERT_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()
                               T.StructField("bm", T.BinaryType())])
 
 
-@register("upsert_uv_counts", _uv_sql("user_id"))
-def upsert_uv_counts(spark, sf_dir):
-    base = SJ.run_foreach_batch(SJ.uv_bitmap_updates(B.behavior_stream(spark, sf_dir)),
-                                "uv_upsert", SJ.upsert_by_key, "update")
+def _upserted_uv(spark, sf_dir, name, one_hash):
+    base = SJ.run_foreach_batch(SJ.uv_bitmap_updates(B.behavior_stream(spark, sf_dir), one_hash),
+                                name, SJ.upsert_by_key, "update")
     latest = SJ.read_upserted(spark, base, ["window_start", "bucket"], UPSERT_SCHEMA)
     return (latest.groupBy("window_start", "window_end")
             .agg(F.sum(F.bitmap_count("bm")).alias("uv")))
 
 
+@register("upsert_uv_counts", _uv_sql("user_id"))
+def upsert_uv_counts(spark, sf_dir):
+    return _upserted_uv(spark, sf_dir, "uv_upsert", False)
+
+
+@register("upsert_uv_one_hash", _uv_sql(POLY_HASH_SQL))
+def upsert_uv_one_hash(spark, sf_dir):
+    return _upserted_uv(spark, sf_dir, "uv_one_hash", True)
+
+
+# Strict repeats: a start is reported once 12 h (its reach) lie under the watermark, 5 s behind the last event.
+@register("stream_consecutive_failures",
+          f"SELECT * FROM ({CONSECUTIVE_SQL}) q WHERE begin_ts + INTERVAL 12 HOUR <= {_MAX_ALL} - INTERVAL 5 SECOND")
+def stream_consecutive_failures(spark, sf_dir):
+    return SJ.run_to_files(SJ.repeats_stream(B.behavior_stream(spark, sf_dir), "12 hours"), "repeats")
+
+
+@register("stream_total_counts",
+          'SELECT channel, behavior, window_start, window_end, "count" '
+          f"FROM ({TOTAL_COUNTS_SQL}) q WHERE window_end <= "
+          f"(SELECT max(ts) FROM events WHERE event_type <> '{DROPPED_BEHAVIOR}')")
+def stream_total_counts(spark, sf_dir):
+    ev = B.marketing_view(B.behavior_stream(spark, sf_dir))
+    return SJ.run_to_files(SJ.total_counts_stream(ev, DROPPED_BEHAVIOR), "total_counts")
+
+
+# Successes and timeouts of the funnel in tables of their own, read back and labelled again.
+@register("stream_funnel_side_outputs", STREAM_FUNNEL_SQL)
+def stream_funnel_side_outputs(spark, sf_dir):
+    funnel = SJ.funnel_stream(B.behavior_stream(spark, sf_dir), FUNNEL_WITHIN)
+
+    def write(batch, batch_id, base):
+        side_output_writer("status", {t: f"{base}/{t}" for t in ("success", "timeout")})(batch, batch_id)
+
+    base = SJ.run_foreach_batch(funnel, "funnel_sides", write, "append")
+    fields = T.StructType([f for f in SJ.FUNNEL_OUT.fields if f.name != "status"] + [T.StructField("batch_id", T.LongType())])
+    parts = [spark.read.schema(fields).parquet(f"{base}/{t}").drop("batch_id").withColumn("status", F.lit(t))
+             for t in ("success", "timeout")]
+    return parts[0].unionByName(parts[1])
+
+
+# The lines as text files in the shared folder, read line by line.
+def _text_lines(spark, sf_dir, stream):
+    path = scratch_path(spark, f"lines-{uuid.uuid4().hex}")
+    _behavior_lines(spark, sf_dir).write.text(path)
+    return parse_delimited(read_lines(spark, path, stream), BEHAVIOR_SCHEMA, ",")
+
+
+def _timed(rows):
+    return rows.select("user_id", "item_id", "category_id", "behavior",
+                       from_micros(F.col("ts_seconds") * 1_000_000).alias("ts"))
+
+
+@register("text_csv_lines", PARSE_CSV_SQL)
+def text_csv_lines(spark, sf_dir):
+    return _timed(_text_lines(spark, sf_dir, False))
+
+
+@register("stream_text_csv_lines", PARSE_CSV_SQL)
+def stream_text_csv_lines(spark, sf_dir):
+    return SJ.run_to_files(_timed(_text_lines(spark, sf_dir, True)), "text_lines")
+
+
 # J2 on a stream: watermark 61 s (1 s out-of-orderness + 1 min lateness).
 @register("stream_hot_urls",
           f"SELECT * FROM ({HOT_URLS_SQL}) q WHERE window_end <= "

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.time import duration_us, epoch_micros, from_micros
+from eventide.functions.hashing import poly_hash
 from eventide.operators.reconcile import nonempty_key
 from eventide.session import path_kind, scratch_path
 from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProcessor,
                                            ProcessingTimeCapProcessor, RateLimitProcessor,
-                                           SlidingCountProcessor)
+                                           RepeatProcessor, SlidingCountProcessor)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
@@ -124,6 +125,10 @@ def run_foreach_batch(df: DataFrame, name: str, fn, output_mode: str = "update")
     return base
 
 
+# The labels of the total count's rows.
+TOTAL_LABELS = ("appMarket", "total")
+
+
 # ---------------------------------------------------------------------------
 # Window jobs
 
@@ -320,6 +325,16 @@ def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour"
     return w.select("behavior", "window_start", "window_end", "clicks")
 
 
+def total_counts_stream(events: DataFrame, dropped: str, size: str = "1 hour",
+                        slide: str = "10 seconds") -> DataFrame:
+    """J8 on a stream: one count of all kept rows per sliding window, under constant labels.
+
+    Rows are counted per pane before they meet, so the one key is a key of panes."""
+    ev = event_time(events.filter(~F.col("behavior").eqNullSafe(dropped)), "ts")
+    w = stream_window_counts(ev.withColumn("channel", F.lit(TOTAL_LABELS[0])), ["channel"], size, slide, "count")
+    return w.select("channel", F.lit(TOTAL_LABELS[1]).alias("behavior"), "window_start", "window_end", "count")
+
+
 def channel_counts_stream(events: DataFrame, dropped: str, size: str = "1 hour",
                           slide: str = "10 seconds") -> DataFrame:
     """J7 on a stream: count per (channel, behavior), sliding window."""
@@ -369,6 +384,24 @@ def funnel_stream(events: DataFrame, within: str, first: str = "click",
                                         FUNNEL_OUT, "Append", "EventTime"))
 
 
+REPEAT_OUT = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("begin_ts", T.TimestampNTZType()),
+                           T.StructField("next_ts", T.TimestampNTZType()),
+                           T.StructField("k", T.IntegerType())])
+
+
+def repeats_stream(events: DataFrame, within: str = "2 seconds", times: tuple[int, int] = (2, 4),
+                   behavior: str = "error", delay: str = "5 seconds") -> DataFrame:
+    """C1 on a stream: strictly consecutive repeats per user, rows up to ``delay`` out of order."""
+    require_rocksdb(events.sparkSession)
+    ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
+    ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
+                   F.coalesce(F.col("behavior") == behavior, F.lit(False)).alias("hit"))
+    return (event_time(ev, "ts", delay).groupBy("user_id")
+            .transformWithStateInPandas(RepeatProcessor(duration_us(within), times, "user_id"),
+                                        REPEAT_OUT, "Append", "EventTime"))
+
+
 # ---------------------------------------------------------------------------
 # Stream-stream reconciliation (J-b)
 
@@ -420,12 +453,15 @@ def read_upserted(spark: SparkSession, base: str, keys: list[str], schema: T.Str
             .select(*[f.name for f in schema.fields]))
 
 
-def uv_bitmap_updates(events: DataFrame) -> DataFrame:
-    """S7 + A7 on a stream: per (hour, id bucket) a running exact bitmap of
-    the users seen, emitted in update mode."""
+def uv_bitmap_updates(events: DataFrame, one_hash: bool = False) -> DataFrame:
+    """S7 + A7 on a stream: per (hour, id bucket) a running bitmap of the
+    users seen, emitted in update mode.  ``one_hash`` (A5): the bit is the
+    offset of the one-hash bitmap, so colliding users count once."""
     views = event_time(events.filter(F.col("behavior") == "view"), "ts")
+    bit = poly_hash("user_id") if one_hash else F.col("user_id")
+    views = views.withColumn("bit", bit)
     return (views.groupBy(F.window("event_time", "1 hour").alias("w"),
-                          F.bitmap_bucket_number("user_id").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("bm"))
+                          F.bitmap_bucket_number("bit").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bm"))
             .select(to_ntz(F.col("w.start")).alias("window_start"),
                     to_ntz(F.col("w.end")).alias("window_end"), "bucket", "bm"))

@@ -42,9 +42,12 @@ def _ceil_ms(us: int) -> int:
 
 class RateLimitProcessor(StatefulProcessor):
     """T5 per key: pass ``cap`` rows per event day, tag the next one
-    ``blacklist``, drop the rest.  The state holds the current day only; a
-    row of a later day starts a fresh count, and a timer at the day's end
-    clears the state once the watermark has passed it."""
+    ``blacklist``, drop the rest.  The state is a small map day -> (count,
+    flagged), so rows of an earlier day count for that day; a timer at a
+    day's end, once the watermark has passed it, drops the day.
+
+    A batch's rows are read frame by frame; of each day only the rows that
+    can still be let through are held, at most ``cap + 1``."""
 
     DAY_US = 86_400_000_000
 
@@ -55,48 +58,124 @@ class RateLimitProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("cap", "day_us long, cnt long, flagged boolean")
+        self.state = handle.getValueState("cap", "day array<long>, cnt array<long>, flagged array<boolean>")
+
+    def _days(self) -> dict:
+        if not self.state.exists():
+            return {}
+        return {d: (c, f) for d, c, f in zip(*self.state.get())}
+
+    def _keep(self, days: dict) -> None:
+        if days:
+            self.state.update((list(days), [c for c, _ in days.values()], [f for _, f in days.values()]))
+        else:
+            self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _rows(rows)
-        day, cnt, flagged = (None, 0, False)
-        if self.state.exists():
-            day, cnt, flagged = self.state.get()
-        old_day = day
-        tags = []
-        for d in pdf["day_us"].tolist():
-            if day is None or d > day:
-                day, cnt, flagged = d, 0, False
-            if cnt < self.cap:
-                cnt += 1
-                tags.append("pass")
-            elif not flagged:
-                flagged = True
-                tags.append("blacklist")
-            else:
-                tags.append(None)
-        self.state.update((day, cnt, flagged))
-        if day != old_day:
-            if old_day is not None:
-                self.handle.deleteTimer(_ceil_ms(old_day + self.DAY_US))
-            self.handle.registerTimer(_ceil_ms(day + self.DAY_US))
-        pdf["tag"] = tags
-        out = pdf[pdf["tag"].notna()]
-        if len(out):
-            cols = ["ev_seq", "ev_ts", *self.key_names, "tag"]
-            res = out[cols].rename(columns={"ev_seq": "seq", "ev_ts": "ts"})
-            if self.keep_event_time:
-                res = res.assign(event_time=out["event_time"])
-            yield res
+        days = self._days()
+        held = None
+        for frame in rows:
+            day = frame["day_us"]
+            left = day.map(lambda d: 0 if days.get(d, (0, False))[1] else self.cap + 1 - days.get(d, (0, False))[0])
+            frame = frame[left > 0]
+            if not len(frame):
+                continue
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            held = held.sort_values(["ev_us", "ev_seq"], kind="stable")
+            rank = held.groupby("day_us").cumcount()
+            used = held["day_us"].map(lambda d: days.get(d, (0, False))[0])
+            held = held[rank + used <= self.cap]
+        if held is None:
+            return
+        place = held.groupby("day_us").cumcount() + held["day_us"].map(lambda d: days.get(d, (0, False))[0])
+        held = held.assign(tag=place.lt(self.cap).map({True: "pass", False: "blacklist"}))
+        for d, part in held.groupby("day_us")["tag"]:
+            if d not in days:
+                self.handle.registerTimer(_ceil_ms(d + self.DAY_US))
+            before, _ = days.get(d, (0, False))
+            passed = int((part == "pass").sum())
+            days[d] = (before + passed, passed < len(part))
+        self._keep(days)
+        cols = ["ev_seq", "ev_ts", *self.key_names, "tag"]
+        out = held[cols].rename(columns={"ev_seq": "seq", "ev_ts": "ts"})
+        if self.keep_event_time:
+            out = out.assign(event_time=held["event_time"])
+        yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
-        self.state.clear()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        self._keep({d: v for d, v in self._days().items() if _ceil_ms(d + self.DAY_US) > now})
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+class RepeatProcessor(StatefulProcessor):
+    """Strictly consecutive repeats, as the batch ``repeat_match``.
+
+    Rows wait until the watermark says that no earlier one can come: a row's
+    matches are reported once it is ``within`` behind the watermark.  The
+    state is the key's rows of that stretch, as arrays."""
+
+    def __init__(self, within_us: int, times: tuple[int, int], key_name: str):
+        self.within_us, self.times, self.key_name = within_us, times, key_name
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("rows", "us array<long>, seq array<long>, hit array<boolean>, timer long")
+
+    def _load(self):
+        import numpy as np
+        if self.state.exists():
+            us, seq, hit, timer = self.state.get()
+            return np.asarray(us, np.int64), np.asarray(seq, np.int64), np.asarray(hit, bool), timer
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), None
+
+    def _report(self, key, us, seq, hit, timer, watermark_ms):
+        import numpy as np
+        out, ready = None, int(np.searchsorted(us, watermark_ms * 1000 - self.within_us, side="right"))
+        if ready:
+            at = np.flatnonzero(hit)
+            later = np.searchsorted(us[at], us[at] + self.within_us, side="left") - np.arange(len(at)) - 1
+            follows = np.append(hit[1:], False)[at]
+            rows = [(us[i], us[at[j + 1]], k) for j, i in enumerate(at) if i < ready and follows[j]
+                    for k in range(self.times[0], min(self.times[1], later[j]) + 1)]
+            if rows:
+                out = pd.DataFrame({self.key_name: [key[0]] * len(rows), "begin_ts": [_ts(r[0]) for r in rows],
+                                    "next_ts": [_ts(r[1]) for r in rows], "k": [r[2] for r in rows]})
+            us, seq, hit = us[ready:], seq[ready:], hit[ready:]
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        if len(us):
+            timer = _ceil_ms(us[0] + self.within_us)
+            self.handle.registerTimer(timer)
+            self.state.update((us.tolist(), seq.tolist(), hit.tolist(), timer))
+        else:
+            self.state.clear()
+        return out
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        import numpy as np
+        us, seq, hit, timer = self._load()
+        parts = [(us, seq, hit)] + [(f["ev_us"].to_numpy(np.int64), f["ev_seq"].to_numpy(np.int64),
+                                     f["hit"].to_numpy(bool)) for f in rows]
+        us, seq, hit = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((seq, us))
+        out = self._report(key, us[order], seq[order], hit[order], timer, timerValues.getCurrentWatermarkInMs())
+        if out is not None:
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
+        us, seq, hit, _ = self._load()
+        out = self._report(key, us, seq, hit, None, timerValues.getCurrentWatermarkInMs())
+        if out is not None:
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
 class FailureBurstProcessor(StatefulProcessor):
     """First failure opens a burst and a timer at ``first + span``;
     failures up to the timer join it; any other event clears it; the burst is
