@@ -157,3 +157,40 @@ def test_text_files_batch_and_stream(spark):
     stream = SJ.run_to_files(parse_delimited(read_lines(spark, path, stream=True, max_files_per_trigger=1), schema), "lines")
     assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, stream.collect())) == [
         (i, "create", i * 7) for i in range(50)]
+
+
+def shuffled_stream(spark, rows, n_files):
+    """Files of rows that are out of order by at most a minute, one file per micro-batch."""
+    folder = scratch_path(spark, f"round2-late-{random.random()}")
+    r = random.Random(1)
+    rows = sorted(rows, key=lambda x: (x[1] + dt.timedelta(seconds=r.uniform(0, 60)), x[0]))
+    schema = "seq long, ts timestamp_ntz, user_id long, behavior string"
+    size = -(-len(rows) // n_files)
+    for k in range(n_files):
+        spark.createDataFrame(rows[k * size:(k + 1) * size], schema).coalesce(1).write.mode("append").parquet(folder)
+    return (spark.read.schema(schema).parquet(folder),
+            spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(folder))
+
+
+def test_late_rows_inside_the_delay_count(spark):
+    r = random.Random(9)
+    # around midnight, one user with most rows
+    rows = [(i, at(86_400 - 900 + r.randint(0, 1800)), 0 if i % 4 else r.randint(1, 3), "click") for i in range(400)]
+    batch, stream = shuffled_stream(spark, rows, 6)
+    got = SJ.run_to_files(SJ.rate_limit_stream(stream, 20, delay="2 minutes"), "late_cap")
+    passed, black = rate_limit(batch, ["user_id", "behavior"], "ts", "seq", cap=20)
+    per_day = lambda df: sorted(tuple(x) for x in df.groupBy("user_id", F.to_date("ts").alias("d")).count().collect())
+    # which rows pass follows arrival; how many of each day does not
+    assert per_day(got.filter("tag = 'pass'")) == per_day(passed)
+    assert got.filter("tag = 'blacklist'").count() == black.count() > 0
+
+
+def test_repeats_over_several_batches_equal_batch(spark):
+    from eventide.operators.sequence import repeat_match
+    r = random.Random(4)
+    rows = [(i, at(r.randint(0, 1500)), r.randint(0, 3), r.choice(["error", "error", "ok"])) for i in range(300)]
+    rows += [(1000 + u, at(100_000), u, "ok") for u in range(4)]
+    batch, stream = shuffled_stream(spark, rows, 5)
+    got = SJ.run_to_files(SJ.repeats_stream(stream, "30 seconds", delay="2 minutes"), "late_repeats")
+    want = repeat_match(batch, "user_id", "ts", "seq", F.col("behavior") == "error", within="30 seconds")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 20
