@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, map_stream, partitions, spans_index, text_col, write_work
 from .tokenbin import pack_bits, unpack_bits, width
-from .tokens import default_tokenizer, encoder, groups_of, load
+from .tokens import default_tokenizer, encoder, load, text_slices
 
 WINDOW, GRAIN, MAX_SOURCES = 2048, 256, 10_000
 UNIT = 1 << 10   # quanta are whole numbers of 1/UNIT tokens
@@ -99,15 +99,15 @@ def queue_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
         end = np.uint32(end_id).tobytes()
         at: dict = {}
         for b in batches:
-            s, d, t = (b.column(i).to_pylist() for i in range(3))
-            for lo, hi in groups_of([len(x) for x in t], 2_000_000):
-                raw = [r + end for r in enc.encode(t[lo:hi])]
+            for rows_ in text_slices(b, 2):
+                s, d, t = (rows_.column(i).to_pylist() for i in range(3))
+                raw = [r + end for r in enc.encode(t)]
                 pos = []
-                for key, r in zip(s[lo:hi], raw):
+                for key, r in zip(s, raw):
                     pos.append(at.get(key, 0))
                     at[key] = pos[-1] + len(r) // 4
-                yield {"part": [part] * (hi - lo), "source": s[lo:hi], "doc_id": d[lo:hi], "pos": pos,
-                       "n": [len(r) // 4 for r in raw], "bits": [bits] * (hi - lo),
+                yield {"part": [part] * len(s), "source": s, "doc_id": d, "pos": pos,
+                       "n": [len(r) // 4 for r in raw], "bits": [bits] * len(s),
                        "ids": [pack_bits(np.frombuffer(r, "<u4"), bits) for r in raw]}
 
     table = map_stream(rows, run, "part int, source string, doc_id long, pos long, n long, bits int, ids binary")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from eventide.session import scratch_path
 
 from .common import map_batches, map_stream, partitions, text_col
-from .tokens import default_tokenizer, encoder, groups_of, load
+from .tokens import default_tokenizer, encoder, load, text_slices
 
 MAGIC = b"TBP1"
 BLOCK = 8192
@@ -94,7 +94,7 @@ SEGMENTS = ("shard int, segment int, first_id long, n_ids long, bits int, payloa
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
                       id_col: str = "doc_id", text: str = "text",
-                      segment_ids: int = 1 << 17) -> str:
+                      segment_ids: int = 1 << 16) -> str:
     """Tokenise every document and write the segments under ``path``; returns ``path``."""
     tokenizer = tokenizer or default_tokenizer()
     bits = width(max(load(tokenizer).get_vocab_size(), end_id + 1))
@@ -118,9 +118,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             return out
 
         for b in batches:
-            d, t = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in groups_of([len(x) for x in t], 2_000_000):
-                for key, r in zip(d[lo:hi], enc.encode(t[lo:hi])):
+            for part in text_slices(b, 1):
+                for key, r in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
                     r += end
                     if held and held + len(r) > 4 * segment_ids:
                         yield flush()
@@ -131,7 +130,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
             yield flush()
 
     (map_stream(rows, segments, SEGMENTS).write.option("compression", "none")
-     .option("parquet.block.size", 16 << 20).parquet(path))
+     .option("parquet.block.size", 4 << 20).parquet(path))
     return path
 
 

@@ -48,7 +48,7 @@ class Encoder:
     piece that was dropped is encoded again, with the same ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 350_000):
+    def __init__(self, path: str, max_pieces: int = 600_000):
         self.tok = load(path)
         self.cut = cuttable(self.tok)
         self.max_pieces = max_pieces
@@ -56,9 +56,10 @@ class Encoder:
         self.young: tuple[dict, dict] = ({}, {})
         self.old: tuple[dict, dict] = ({}, {})
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _raw(self, texts: list[str], step: int = 2048) -> list[bytes]:
+        # in slices: the library's results are far larger than the ids
+        return [array("I", e.ids).tobytes() for lo in range(0, len(texts), step)
+                for e in self.tok.encode_batch_fast(texts[lo:lo + step], add_special_tokens=False)]
 
     def _learn(self, kind: int, pieces, prefix: str) -> None:
         young, old = self.young[kind], self.old[kind]
@@ -113,3 +114,11 @@ def groups_of(sizes: list[int], most: int):
         total += s
     if lo < len(sizes):
         yield lo, len(sizes)
+
+
+def text_slices(batch, column: int, most: int = 1_000_000):
+    """Slices of a record batch with about ``most`` bytes of text each, so that few texts are Python objects at once."""
+    import pyarrow.compute as pc
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for lo, hi in groups_of(sizes, most):
+        yield batch.slice(lo, hi - lo)
