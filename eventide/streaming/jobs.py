@@ -10,6 +10,7 @@ the final watermark stay open, exactly as a live stream would leave them.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,15 +45,21 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str,
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def require_rocksdb(spark: SparkSession) -> None:
+@contextmanager
+def rocksdb_state(spark: SparkSession):
     """``transformWithState`` needs the RocksDB state store.  The provider is
-    a runtime SQL setting read when a query starts, so a session built
-    elsewhere (e.g. by a job driver) is switched here if needed."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-                   "true")
+    read when a query starts: start queries inside this block; the session's
+    own settings are put back after it."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "0 seconds",
@@ -82,13 +89,15 @@ def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
          .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint")
          .queryName(f"{name}_{uuid.uuid4().hex[:6]}"))
     if drain:
-        q = w.start()
+        with rocksdb_state(spark):
+            q = w.start()
         try:
             _wait_input_consumed(q)
         finally:
             q.stop()
     else:
-        q = w.trigger(availableNow=True).start()
+        with rocksdb_state(spark):
+            q = w.trigger(availableNow=True).start()
         q.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
@@ -117,10 +126,11 @@ def run_foreach_batch(df: DataFrame, name: str, fn, output_mode: str = "update")
     the job's scratch folder."""
     spark = df.sparkSession
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
-    q = (df.writeStream.outputMode(output_mode)
+    w = (df.writeStream.outputMode(output_mode)
          .foreachBatch(lambda b, i: fn(b, i, base))
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
+         .option("checkpointLocation", f"{base}/checkpoint"))
+    with rocksdb_state(spark):
+        q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return base
 
@@ -215,7 +225,6 @@ def sliding_counts_stream(timed: DataFrame, keys: list[str], size: str, slide: s
     watermarked ``event_time`` column.  Output: keys, window_start,
     window_end (timestamp_ntz), ``name`` (+ ``event_time`` = end - 1 us).
     """
-    require_rocksdb(timed.sparkSession)
     size_us, slide_us = duration_us(size), duration_us(slide)
     panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("pane"))
              .agg(F.count(F.lit(1)).alias("cnt")))
@@ -295,7 +304,6 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
     With ``keep_event_time`` the output carries ``event_time`` as its new
     event-time column, so windowed aggregates can be chained after it.
     """
-    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = (ev.withColumn("ev_seq", F.col("seq")).withColumn("ev_ts", F.col("ts"))
           .withColumn("day_us", F.col("ev_us") - F.pmod(F.col("ev_us"), F.lit(86_400_000_000))))
@@ -352,7 +360,6 @@ BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 def failure_bursts_stream(events: DataFrame, span: str, min_fails: int,
                           delay: str = "5 seconds") -> DataFrame:
     """T6 on a stream: value state + event-time timer per user; rows may be 5 s out of order."""
-    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    (F.col("behavior") == "error").alias("is_fail"))
@@ -373,7 +380,6 @@ FUNNEL_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 def funnel_stream(events: DataFrame, within: str, first: str = "click",
                   then: str = "purchase", delay: str = "0 seconds") -> DataFrame:
     """C2 on a stream: list state of open matches + a timer per match."""
-    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    (F.col("behavior") == first).alias("is_first"),
@@ -393,7 +399,6 @@ REPEAT_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 def repeats_stream(events: DataFrame, within: str = "2 seconds", times: tuple[int, int] = (2, 4),
                    behavior: str = "error", delay: str = "5 seconds") -> DataFrame:
     """C1 on a stream: strictly consecutive repeats per user, rows up to ``delay`` out of order."""
-    require_rocksdb(events.sparkSession)
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
                    F.coalesce(F.col("behavior") == behavior, F.lit(False)).alias("hit"))

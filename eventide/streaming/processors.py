@@ -242,9 +242,14 @@ class FailureBurstProcessor(StatefulProcessor):
 
 
 class FollowedByProcessor(StatefulProcessor):
-    """Every ``first`` row waits for the first ``then`` row; success if it
-    comes less than ``within`` later, timeout otherwise or when the timer at
-    ``first + within`` fires first."""
+    """Every ``first`` row waits for the first ``then`` row after it;
+    success if that comes less than ``within`` later, else timeout.
+
+    A row's match is reported once the watermark rules out an earlier
+    partner: when it has passed the partner, or ``first + within``.  So rows
+    out of order inside the watermark's delay match as in the batch form.
+    The state holds open ``first`` rows and the ``then`` rows behind them as
+    arrays; each call is one pass over them and sets one timer."""
 
     def __init__(self, within_us: int, key_name: str):
         self.within_us = within_us
@@ -252,57 +257,66 @@ class FollowedByProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "us long, seq long")
-
-    def _emit(self, key, res):
-        if not res:
-            return None
-        return pd.DataFrame({
-            self.key_name: [key[0]] * len(res),
-            "begin_ts": [_ts(u) for u, _, _, _ in res],
-            "begin_seq": [s for _, s, _, _ in res],
-            "follow_ts": pd.Series([_ts(f) if f is not None else pd.NaT for _, _, f, _ in res],
-                                   dtype="datetime64[ns]"),
-            "status": [st for _, _, _, st in res]})
+        self.state = handle.getValueState(
+            "rows", "us array<long>, seq array<long>, first array<boolean>, then array<boolean>, timer long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _rows(rows)
-        pend = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
-        before = set(pend)
-        res = []
-        for us, seq, first, then in zip(pdf["ev_us"].tolist(), pdf["ev_seq"].tolist(),
-                                        pdf["is_first"].tolist(), pdf["is_then"].tolist()):
-            if then and pend:
-                for cu, cs in pend:
-                    ok = us - cu < self.within_us
-                    res.append((cu, cs, us if ok else None, "success" if ok else "timeout"))
-                pend = []
-            if first:
-                pend.append((int(us), int(seq)))
-        old_ms = {_ceil_ms(cu + self.within_us) for cu, _ in before}
-        new_ms = {_ceil_ms(cu + self.within_us) for cu, _ in pend}
-        for ms in old_ms - new_ms:
-            self.handle.deleteTimer(ms)
-        for ms in new_ms - old_ms:
-            self.handle.registerTimer(ms)
-        if pend:
-            self.pending.put(pend)
+    def _load(self):
+        import numpy as np
+        if not self.state.exists():
+            return [np.zeros(0, t) for t in (np.int64, np.int64, bool, bool)], None
+        *cols, timer = self.state.get()
+        return [np.asarray(c, t) for c, t in zip(cols, (np.int64, np.int64, bool, bool))], timer
+
+    def _report(self, key, cols, timer, watermark_ms):
+        import numpy as np
+        us, seq, first, then = cols
+        at, after = np.flatnonzero(first), np.flatnonzero(then)
+        k = np.searchsorted(after, at, side="right")           # a row can be both; it is not its own partner
+        found = k < len(after)
+        partner = np.where(found, us[after[np.minimum(k, len(after) - 1)]] if len(after) else 0, 0)
+        ends = us[at] + self.within_us
+        due = np.where(found, np.minimum(partner, ends), ends)  # when the answer is final
+        done = due <= watermark_ms * 1000
+        out = None
+        if done.any():
+            i, ok = at[done], found[done] & (partner[done] < ends[done])
+            out = pd.DataFrame({
+                self.key_name: [key[0]] * len(i), "begin_ts": pd.to_datetime(us[i] * 1000), "begin_seq": seq[i],
+                "follow_ts": pd.Series(pd.to_datetime(partner[done] * 1000)).where(ok),
+                "status": np.where(ok, "success", "timeout")})
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        if done.all():
+            # open partners of rows that are still to come out of order
+            keep = then & (us > watermark_ms * 1000)
         else:
-            self.pending.clear()
-        out = self._emit(key, res)
+            keep = then & (us >= us[at[~done][0]])
+            keep[at[~done]] = True
+        still_first = np.zeros(len(us), bool)
+        still_first[at[~done]] = True
+        if keep.any():
+            timer = _ceil_ms(int(due[~done].min() if not done.all() else us[keep].max()))
+            self.handle.registerTimer(timer)
+            self.state.update((us[keep].tolist(), seq[keep].tolist(), still_first[keep].tolist(),
+                               then[keep].tolist(), timer))
+        else:
+            self.state.clear()
+        return out
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        import numpy as np
+        cols, timer = self._load()
+        parts = [cols] + [[f["ev_us"].to_numpy(np.int64), f["ev_seq"].to_numpy(np.int64),
+                           f["is_first"].to_numpy(bool), f["is_then"].to_numpy(bool)] for f in rows]
+        cols = [np.concatenate(c) for c in zip(*parts)]
+        order = np.lexsort((cols[1], cols[0]))
+        out = self._report(key, [c[order] for c in cols], timer, timerValues.getCurrentWatermarkInMs())
         if out is not None:
             yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
-        limit_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        pend = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
-        gone = [(cu, cs) for cu, cs in pend if cu + self.within_us <= limit_us]
-        keep = [p for p in pend if p not in gone]
-        if keep:
-            self.pending.put(keep)
-        else:
-            self.pending.clear()
-        out = self._emit(key, [(cu, cs, None, "timeout") for cu, cs in gone])
+        cols, _ = self._load()
+        out = self._report(key, cols, None, timerValues.getCurrentWatermarkInMs())
         if out is not None:
             yield out
 

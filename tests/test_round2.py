@@ -194,3 +194,28 @@ def test_repeats_over_several_batches_equal_batch(spark):
     got = SJ.run_to_files(SJ.repeats_stream(stream, "30 seconds", delay="2 minutes"), "late_repeats")
     want = repeat_match(batch, "user_id", "ts", "seq", F.col("behavior") == "error", within="30 seconds")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 20
+
+
+def test_funnel_over_several_batches_equals_batch(spark):
+    r = random.Random(6)
+    rows = [(i, at(r.randint(0, 3000)), r.randint(0, 3), r.choice(["click", "purchase", "view"])) for i in range(300)]
+    rows += [(1000 + u, at(100_000), u, "click") for u in range(4)]
+    batch, stream = shuffled_stream(spark, rows, 5)
+    got = SJ.run_to_files(SJ.funnel_stream(stream, "90 seconds", delay="2 minutes"), "late_funnel")
+    want = followed_by(batch, "user_id", "ts", "seq", F.col("behavior") == "click", F.col("behavior") == "purchase",
+                       within="90 seconds").filter(F.col("begin_seq") < 1000)
+    cols = ["user_id", "begin_ts", "begin_seq", "follow_ts", "status"]
+    key = lambda x: x[2]      # noqa: E731
+    assert sorted(map(tuple, got.select(cols).collect()), key=key) == sorted(map(tuple, want.select(cols).collect()), key=key)
+
+
+def test_starting_a_stream_leaves_the_session_as_it_was(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with SJ.rocksdb_state(spark):
+            assert spark.conf.get(key) == SJ.ROCKSDB
+        assert spark.conf.get(key).endswith("HDFSBackedStateStoreProvider")
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
