@@ -169,7 +169,12 @@ _PER_WORKER: dict = {}
 
 
 def per_worker(key, build: Callable):
-    """One object per Python worker, built on first use."""
+    """The worker's object for ``key``, built on first use.
+
+    A worker keeps one such object: workers outlive queries, and the caches
+    of operators that ran before must not add up.
+    """
     if key not in _PER_WORKER:
+        _PER_WORKER.clear()
         _PER_WORKER[key] = build()
     return _PER_WORKER[key]
