@@ -6,7 +6,8 @@ document the log importance weight ``sum over its n-grams of log p_target -
 log p_raw``; sampling without replacement in proportion to the weights is
 the top k of ``log weight + Gumbel noise``, the noise seeded by doc_id.
 
-The counts cover all documents and are added up per bucket by Spark (partial
+The target model is fitted on at most ``MAX_TARGET`` target documents, those
+with the smallest hash of doc_id.  The raw counts cover all documents and are added up per bucket by Spark (partial
 sums per task, sent as sparse pairs).  The k-th largest key is found exactly
 by counting keys in ever finer bins, so no sort and no row limit is needed.
 
@@ -30,6 +31,7 @@ from .common import U64, WordTable, map_batches, map_stream, mix64, per_worker,
 from .tokens import groups_of
 
 BUCKETS, FRACTION, SMOOTHING, SEED, BINS = 1 << 16, 0.85, 1.0, 4_711, 4096
+MAX_TARGET = 20_000
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -108,12 +110,15 @@ def kth_largest(keys: DataFrame, key: str, k: int) -> float:
 
 
 def weighted(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str = "text",
-             buckets: int = BUCKETS) -> DataFrame:
+             buckets: int = BUCKETS, max_target: int = MAX_TARGET) -> DataFrame:
     """doc_id, th (hash of the text), n_grams, log_weight; ``target``: the doc_ids of target texts."""
-    marks = target.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    # at most max_target ids: a proven bound for the broadcast, so that no text is shuffled
+    marks = (target.select(ids).filter("doc_id is not null").distinct()
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).withColumn("target", F.lit(True)))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col(text).alias("t"))
-    log_ratio = models(rows.join(marks, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False))),
-                       buckets)
+    marked = rows.join(F.broadcast(marks), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    log_ratio = models(marked, buckets)
     shared = docs.sparkSession.sparkContext.broadcast(log_ratio)     # 8 bytes a bucket
 
     def run(b):
