@@ -8,10 +8,12 @@ with a probability that ``eps`` sets.
 
 1. Valid vectors (not null, finite, not zero, with a label) are grouped:
    equal vectors of a label are one class, so copies cost nothing.
-2. Candidates share a bucket: ``tables`` keys of ``bits`` code bits each,
-   within (label, dimension).  ``bits`` grows with the largest label and
-   ``tables`` follows from ``bits``, so that a pair at the threshold meets
-   with probability ``recall`` or more; closer pairs meet more often.
+2. Candidates share a bucket: ``tables`` keys of ``bits`` signs each, within
+   (label, dimension).  Every sign has a random hyperplane of its own (the code
+   bits are too few to give all tables unlike keys), so tables are independent
+   for any pair.  ``bits`` grows with the largest label and ``tables`` follows
+   from ``bits``, so that a pair at the threshold meets with probability
+   ``recall`` or more; closer pairs meet more often.
 3. Buckets are worked in blocks.  The estimate's upper confidence bound drops
    a pair, all others are recomputed exactly in double precision.  A pair
    that shares several tables counts in the first of them.
@@ -68,10 +70,13 @@ def plan(largest: int, threshold: float, recall: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - same ** bits))
 
 
-def table_bits(dim: int, bits: int, tables: int, seed: int = SEED) -> np.ndarray:
-    rng = np.random.default_rng([seed, dim, bits])
-    return np.stack([rng.permutation(dim)[:bits] if bits <= dim else rng.integers(0, dim, bits)
-                     for _ in range(tables)])
+def table_keys(unit: np.ndarray, bits: int, tables: int, seed: int = SEED) -> np.ndarray:
+    """Bucket keys (rows x tables) of unit row vectors: signs on fresh Gaussian hyperplanes for every table."""
+    dim = unit.shape[1]
+    planes = per_worker(("planes", dim, bits, tables, seed), lambda: np.random.default_rng(
+        [seed, dim, bits, tables]).standard_normal((dim, tables * bits)))
+    signs = (unit @ planes >= 0).reshape(len(unit), tables, bits)
+    return signs @ (np.int64(1) << np.arange(bits))
 
 
 def classes_of(vectors: DataFrame, id_col: str, vector: str, label: str) -> tuple[DataFrame, DataFrame]:
@@ -109,9 +114,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
             x = np.array([vs[i] for i in at])
             x /= np.abs(x).max(axis=1, keepdims=True)    # no overflow in the norm
             x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-            turned, code, _ = encode(x)
-            pick = table_bits(dim, bits, tables)
-            keys = (code[:, pick].astype(np.int64) << np.arange(bits)).sum(axis=2)   # rows x tables
+            keys = table_keys(x, bits, tables)
             n = len(at)
             raw = [r.tobytes() for r in x]
             all_keys = [r.tobytes() for r in keys.astype("<i4")]

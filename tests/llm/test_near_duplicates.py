@@ -193,3 +193,36 @@ def test_recall_on_the_small_table(spark):
     links = (x @ x.T >= 0.6) & (label[:, None] == label[None, :])
     np.fill_diagonal(links, False)
     assert sum(got.values()) >= 0.9 * links.sum()
+
+
+def pairs_between(low, high, n, dim=64):
+    """n pairs of unit vectors (a, b) whose cosines lie in low..high."""
+    r = np.random.default_rng(17)
+    a, b = r.standard_normal((2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = r.uniform(low, high, (n, 1))
+    return a, c * a + np.sqrt(1 - c * c) * b
+
+
+@pytest.mark.parametrize("bits", [8, 14, 17, 21])
+def test_pairs_at_the_threshold_meet_as_planned(bits):
+    """Labels so large that a key has ``bits`` bits."""
+    got, tables = rabitq.plan(8 << bits, 0.93, 0.99)
+    assert got == bits
+    a, b = pairs_between(0.93, 0.9301, 10_000)
+    meet = (rabitq.table_keys(a, bits, tables) == rabitq.table_keys(b, bits, tables)).any(axis=1)
+    assert meet.mean() >= 0.985
+
+
+@pytest.mark.parametrize("bits", [14, 17, 21])
+def test_links_at_the_threshold_are_found_in_large_labels(spark, monkeypatch, bits):
+    planned = rabitq.plan
+    monkeypatch.setattr(rabitq, "plan", lambda largest, threshold, recall: planned(8 << bits, threshold, recall))
+    n = 500
+    a, b = pairs_between(0.9301, 0.94, n)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([a, b]))]
+    got = rabitq.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == 2 * n and all(r.n_links in (0, 1) and r.component_id in (r.vec_id, r.vec_id - n) for r in got)
+    assert sum(r.n_links for r in got) >= 0.97 * 2 * n
