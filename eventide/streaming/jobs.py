@@ -9,6 +9,7 @@ the final watermark stay open, exactly as a live stream would leave them.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from contextlib import contextmanager
 
@@ -24,6 +25,8 @@ from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProc
                                            ProcessingTimeCapProcessor, RateLimitProcessor,
                                            RepeatProcessor, SlidingCountProcessor)
 
+log = logging.getLogger(__name__)
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -82,6 +85,9 @@ def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
     ``drain=True`` is for queries with processing-time timers: those keep a
     query alive until the timers fire, so the query processes what is
     available and is then stopped.
+
+    Rows that came after the watermark are not used; their number is logged
+    as a warning.
     """
     spark = df.sparkSession
     base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
@@ -99,9 +105,19 @@ def run_to_files(df: DataFrame, name: str, output_mode: str = "append",
         with rocksdb_state(spark):
             q = w.trigger(availableNow=True).start()
         q.awaitTermination()
+    late = late_rows(q)
+    if late:
+        log.warning("%s: %d rows or more came after the watermark and were not used", name, late)
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
 
+def late_rows(q) -> int:
+    """Rows that stateful operators dropped as later than the watermark, in the batches whose progress
+    the query still holds (``spark.sql.streaming.numRecentProgressUpdates``); an operator behind a
+    partial aggregate counts groups."""
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
+
+
 def _wait_input_consumed(q, timeout_s: float | None = None) -> None:
     """Block until a micro-batch ran without new input on any source (its
     start and end offsets are equal), i.e. everything available was read.

@@ -248,8 +248,9 @@ class FollowedByProcessor(StatefulProcessor):
     A row's match is reported once the watermark rules out an earlier
     partner: when it has passed the partner, or ``first + within``.  So rows
     out of order inside the watermark's delay match as in the batch form.
-    The state holds open ``first`` rows and the ``then`` rows behind them as
-    arrays; each call is one pass over them and sets one timer."""
+    The state holds open ``first`` rows and the ``then`` rows behind them or
+    past the watermark as arrays; each call is one pass over them and sets one
+    timer."""
 
     def __init__(self, within_us: int, key_name: str):
         self.within_us = within_us
@@ -286,11 +287,10 @@ class FollowedByProcessor(StatefulProcessor):
                 "status": np.where(ok, "success", "timeout")})
         if timer is not None:
             self.handle.deleteTimer(timer)
-        if done.all():
-            # open partners of rows that are still to come out of order
-            keep = then & (us > watermark_ms * 1000)
-        else:
-            keep = then & (us >= us[at[~done][0]])
+        # partners of rows that are still to come out of order, and of open ones
+        keep = then & (us > watermark_ms * 1000)
+        if not done.all():
+            keep |= then & (us >= us[at[~done][0]])
             keep[at[~done]] = True
         still_first = np.zeros(len(us), bool)
         still_first[at[~done]] = True

@@ -209,6 +209,29 @@ def test_funnel_over_several_batches_equals_batch(spark):
     assert sorted(map(tuple, got.select(cols).collect()), key=key) == sorted(map(tuple, want.select(cols).collect()), key=key)
 
 
+def test_funnel_keeps_partners_ahead_of_an_open_first_row(spark):
+    """Inside the delay: a partner, a first row after it, and only then the first row before it."""
+    folder = scratch_path(spark, f"round2-ahead-{random.random()}")
+    schema = "seq long, ts timestamp_ntz, user_id long, behavior string"
+    for rows in ([(0, at(2), 1, "purchase"), (1, at(4), 1, "click")], [(2, at(1), 1, "click")], [(3, at(1000), 2, "click")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    got = SJ.run_to_files(SJ.funnel_stream(stream, "30 seconds", delay="5 seconds"), "ahead_funnel")
+    assert sorted((r.begin_seq, r.follow_ts, r.status) for r in got.collect()) == [
+        (1, None, "timeout"), (2, at(2), "success")]
+
+
+def test_rows_beyond_the_delay_are_reported(spark, caplog):
+    folder = scratch_path(spark, f"round2-beyond-{random.random()}")
+    schema = "seq long, ts timestamp_ntz, user_id long, behavior string"
+    # the watermark of the first file holds from the next batch on
+    for rows in ([(0, at(1000), 1, "click")], [(1, at(1001), 1, "click")], [(2, at(1), 1, "click"), (3, at(2), 2, "click")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    SJ.run_to_files(SJ.funnel_stream(stream, "30 seconds", delay="5 seconds"), "beyond_funnel")
+    assert "beyond_funnel: 2 rows" in caplog.text
+
+
 def test_starting_a_stream_leaves_the_session_as_it_was(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
