@@ -6,9 +6,10 @@ document the log importance weight ``sum over its n-grams of log p_target -
 log p_raw``; sampling without replacement in proportion to the weights is
 the top k of ``log weight + Gumbel noise``, the noise seeded by doc_id.
 
-The target model is fitted on at most ``MAX_TARGET`` target documents, those
-with the smallest hash of doc_id.  The raw counts cover all documents and are added up per bucket by Spark (partial
-sums per task, sent as sparse pairs).  The k-th largest key is found exactly
+Both models are fitted on all their texts: the target's are found by a
+sort-merge join with the target's ids, so no side has to fit one machine.
+Counts are added up per bucket by Spark (partial sums per task, sent as
+sparse pairs).  The k-th largest key is found exactly
 by counting keys in ever finer bins, so no sort and no row limit is needed.
 
 Defined cases: a null or empty text has no n-gram and weight 0; without
@@ -31,7 +32,6 @@ from .common import U64, WordTable, map_batches, map_stream, mix64, per_worker,
 from .tokens import groups_of
 
 BUCKETS, FRACTION, SMOOTHING, SEED, BINS = 1 << 16, 0.85, 1.0, 4_711, 4096
-MAX_TARGET = 20_000
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -55,22 +55,25 @@ def buckets_of(texts: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return all_[order].astype(np.int64), np.bincount(doc, minlength=len(texts))
 
 
-def models(docs: DataFrame, buckets: int) -> np.ndarray:
-    """log p_target - log p_raw per bucket, from all rows of ``docs`` (t, target)."""
+def models(raw: DataFrame, target: DataFrame, buckets: int) -> np.ndarray:
+    """log p_target - log p_raw per bucket, from all rows of ``raw`` and ``target`` (t)."""
 
     def run(batches):
-        sums = np.zeros((2, buckets), np.int64)
+        sums = np.zeros(buckets, np.int64)
         for b in batches:
             texts = b.column(0).to_pylist()
-            target = np.asarray(b.column(1).to_pylist(), bool)
             for lo, hi in groups_of([len(t) for t in texts], 2_000_000):
-                at, n = buckets_of(texts[lo:hi], buckets)
-                sums[1] += np.bincount(at, minlength=buckets)
-                sums[0] += np.bincount(at[np.repeat(target[lo:hi], n)], minlength=buckets)
-        used = np.flatnonzero(sums[1])
-        yield {"bucket": used, "target": sums[0, used], "raw": sums[1, used]}
+                at, _ = buckets_of(texts[lo:hi], buckets)
+                sums += np.bincount(at, minlength=buckets)
+        used = np.flatnonzero(sums)
+        yield {"bucket": used, "n": sums[used]}
 
-    parts = map_stream(docs.select("t", "target"), run, "bucket int, target long, raw long")
+    def counted(docs, raw_n, target_n):
+        return map_stream(docs.select("t"), run, "bucket int, n long").select(
+            "bucket", target_n.cast("long").alias("target"), raw_n.cast("long").alias("raw"))
+
+    none, n = F.lit(0), F.col("n")
+    parts = counted(raw, n, none).unionByName(counted(target, none, n))
     total = parts.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect()
     count = np.zeros((2, buckets))                       # one row per bucket at most
     for r in total:
@@ -110,15 +113,13 @@ def kth_largest(keys: DataFrame, key: str, k: int) -> float:
 
 
 def weighted(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text: str = "text",
-             buckets: int = BUCKETS, max_target: int = MAX_TARGET) -> DataFrame:
+             buckets: int = BUCKETS) -> DataFrame:
     """doc_id, th (hash of the text), n_grams, log_weight; ``target``: the doc_ids of target texts."""
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    # at most max_target ids: a proven bound for the broadcast, so that no text is shuffled
-    marks = (target.select(ids).filter("doc_id is not null").distinct()
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).withColumn("target", F.lit(True)))
+    marks = target.select(ids).filter("doc_id is not null").distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col(text).alias("t"))
-    marked = rows.join(F.broadcast(marks), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    log_ratio = models(marked, buckets)
+    # merge: the same plan for a small and a large target, whose ids need not fit a broadcast
+    log_ratio = models(rows, rows.join(marks.hint("merge"), "doc_id", "left_semi"), buckets)
     shared = docs.sparkSession.sparkContext.broadcast(log_ratio)     # 8 bytes a bucket
 
     def run(b):

@@ -184,6 +184,14 @@ def test_weights_and_sample_equal_brute_force(spark, odd_docs, no_docs):
     assert R.resample(no_docs, target).count() == 0
 
 
+def test_every_target_text_counts(spark):
+    """If all texts are target texts the two models are one, however many texts there are."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('w', id, ' x') as text")
+    got = R.weighted(docs, docs.select("doc_id")).agg({"log_weight": "max", "*": "count"}).first()
+    low = R.weighted(docs, docs.select("doc_id")).agg({"log_weight": "min"}).first()
+    assert (got["max(log_weight)"], low[0], got["count(1)"]) == (0.0, 0.0, 20_500)
+
+
 def test_kth_largest(spark):
     r = random.Random(4)
     values = [r.gauss(0, 10 ** r.randint(-6, 6)) for _ in range(3000)] + [1.5] * 500
