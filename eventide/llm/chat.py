@@ -17,7 +17,9 @@ Defined cases: a null text or role is empty; turns are in the order of their
 number (null first), then role, then text; rows without an id are one
 conversation; records of an unknown layout are returned by ``unmapped``; an
 empty table gives no row.  A conversation is one row of output, so one
-conversation must fit a row; nothing else is gathered.
+conversation must fit a row; nothing else is gathered.  Strings of any length
+are read as long as the record fits a variant (128 MB); ``strict`` makes a
+record that gives no turn an error.
 """
 
 from __future__ import annotations
@@ -26,8 +28,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 OPEN, CLOSE = "<turn>", "</turn>"
+# try_parse_json gives null for a string of more characters than this
+LONG_STRING = 20_000_000
 TURNS = "array<struct<role: string, text: string>>"
 
 
@@ -70,6 +75,12 @@ MAPPINGS: tuple[Mapping, ...] = (
 )
 
 
+def parsed(record: str) -> Column:
+    """The record as a variant, null if it is no JSON; records with very long strings as well."""
+    long_ = F.from_json(record, VariantType(), {"maxStringLen": str(2 ** 31 - 1)})
+    return F.coalesce(F.try_parse_json(record), F.when(F.length(record) > LONG_STRING, long_))
+
+
 def shape(record: Column) -> Column:
     """Nested field paths of a variant: its schema without types."""
     s = F.schema_of_variant(record)
@@ -117,8 +128,7 @@ def _key(written: str) -> str:
 
 def canonical(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Adds ``layout`` (null if unknown) and ``turns`` to rows with a JSON string column."""
-    v = F.try_parse_json(record)
-    rows = records.withColumn("_v", v).withColumn("_fp", fingerprint(F.col("_v")))
+    rows = records.withColumn("_v", parsed(record)).withColumn("_fp", fingerprint(F.col("_v")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in mappings:
         same = F.col("_fp") == F.xxhash64(F.lit(_key(m.shape)))
@@ -130,7 +140,7 @@ def canonical(records: DataFrame, record: str = "record", mappings: tuple[Mappin
 def unmapped(records: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Records whose layout no mapping describes, with their shape."""
     return (canonical(records, record, mappings).filter("layout is null")
-            .withColumn("shape", shape(F.try_parse_json(record))).drop("layout", "turns"))
+            .withColumn("shape", shape(parsed(record))).drop("layout", "turns"))
 
 
 def escape(text: Column) -> Column:
@@ -150,11 +160,17 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
-def formatted(records: DataFrame, conv_id: str, order: str, record: str = "record") -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss_mask; records of unknown layout give no turn."""
+def formatted(records: DataFrame, conv_id: str, order: str, record: str = "record", strict: bool = False) -> DataFrame:
+    """One row per conversation: conv_id, formatted, loss_mask; records of unknown layout give no turn
+    (``strict``: an error)."""
+    known = F.col("turns")
+    if strict:
+        known = F.coalesce(known, F.raise_error(F.concat(
+            F.lit("no layout for a record of "), F.coalesce(F.length("record"), F.lit(0)).cast("string"),
+            F.lit(" characters, conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))).cast(TURNS))
     turns = (canonical(records.select(F.col(conv_id).alias("conv_id"), F.col(order).alias("_order"),
                                       F.col(record).alias("record")))
-             .select("conv_id", "_order", F.posexplode("turns").alias("_at", "_turn"))
+             .select("conv_id", "_order", F.posexplode(known).alias("_at", "_turn"))
              .select("conv_id", "_order", "_at", "_turn.role", "_turn.text"))
     head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
     body = escape(F.col("text"))

@@ -54,7 +54,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # ties of the turn number: by role, then text
     order = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     records = rows.unionByName(extra).select("conv_id", order.alias("turn"), record.alias("record"))
-    return chat.digest(chat.read_back(chat.formatted(records, "conv_id", "turn")))
+    return chat.digest(chat.read_back(chat.formatted(records, "conv_id", "turn", strict=True)))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
