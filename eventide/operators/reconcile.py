@@ -52,7 +52,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     """Full outer reconciliation; output: key, left_ts, right_ts, status.
 
     With ``dedupe=True`` each side is first reduced to its latest event per
-    id; use it when ids may repeat on a side.
+    id; use it when ids may repeat on a side.  Receipts without an id all stay.
     """
     lf = left.filter(nonempty_key(left, key)).select(
         F.col(key).alias("_lk"), F.col(left_ts).alias(left_ts))
@@ -60,7 +60,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_ts: str,
     rt = right.select(F.col(key).alias("_rk"), F.col(right_ts).alias(right_ts))
     if dedupe:
         lf = latest_per_key(lf, "_lk", left_ts)
-        rt = latest_per_key(rt, "_rk", right_ts)
+        named = nonempty_key(rt, "_rk")
+        rt = latest_per_key(rt.filter(named), "_rk", right_ts).unionByName(rt.filter(~named))
     lf, rt = lf.withColumn("_l", F.lit(True)), rt.withColumn("_r", F.lit(True))
     cond = F.col("_lk") == F.col("_rk")
     if tolerance is not None:
@@ -126,14 +127,15 @@ def reconcile_one_to_one(left: DataFrame, right: DataFrame, key: str, left_ts: s
     the last long one, and a pending event meets the first of the next run.
 
     Output: key, left_ts, right_ts, status.  One id's events are one ordered
-    history and meet in one task; ids are spread over all tasks.
+    history and meet in one task; ids are spread over all tasks.  Receipts
+    without an id match nothing; they go round the window passes.
     """
     def side(df, ts, seq, no):
         return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(no).alias("_side"),
                          (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"))
 
     events = side(left.filter(nonempty_key(left, key)), left_ts, left_seq, 0).unionByName(
-        side(right, right_ts, right_seq, 1))
+        side(right.filter(nonempty_key(right, key)), right_ts, right_seq, 1))
     order = Window.partitionBy("_k").orderBy("_ts", "_side", "_seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     runs = (events.withColumn("_new", (~F.lag("_side").over(order).eqNullSafe(F.col("_side"))).cast("int"))
@@ -155,16 +157,19 @@ def reconcile_one_to_one(left: DataFrame, right: DataFrame, key: str, left_ts: s
     runs = runs.withColumn("_met", F.col("_first") & (F.col("_run") > 1) & pending_after(F.col("_run") - 1, before))
     waits = F.col("_last") & pending_after(F.col("_run"), F.col("_long"))
     meets_next = waits & F.col("_next_new").isNotNull()
-    empty = F.col("_k").isNull() | (F.col("_k").cast("string") == "")
     is_left = F.col("_side") == 0
-    status = (F.when(empty, F.lit(UNMATCHED_RIGHT))
-              .when(F.col("_met"), F.lit("taken"))
+    status = (F.when(F.col("_met"), F.lit("taken"))
               .when(meets_next, F.lit(MATCHED))
               .when(waits, F.when(is_left, UNMATCHED_LEFT).otherwise(UNMATCHED_RIGHT))
               .otherwise(F.when(is_left, SUPERSEDED_LEFT).otherwise(SUPERSEDED_RIGHT)))
     rows = runs.withColumn("status", status).filter("status <> 'taken'")
     both = F.col("status") == MATCHED
-    return rows.select(
+    rows = rows.select(
         F.col("_k").alias(key),
         F.when(is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(left_ts),
         F.when(~is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(right_ts), "status")
+    alone = right.filter(~nonempty_key(right, key)).select(
+        F.col(key).cast(rows.schema[key].dataType).alias(key),
+        F.lit(None).cast(rows.schema[left_ts].dataType).alias(left_ts),
+        F.col(right_ts).cast(rows.schema[right_ts].dataType).alias(right_ts), F.lit(UNMATCHED_RIGHT).alias("status"))
+    return rows.unionByName(alone)

@@ -77,6 +77,27 @@ def test_one_to_one_equals_the_state_machine(spark):
         "unmatched_receipt"}
 
 
+def test_receipts_without_an_id_all_stay_when_ids_are_reduced(spark):
+    pays = spark.createDataFrame([("a", 1), ("a", 3)], "tx string, p int")
+    receipts = spark.createDataFrame([("a", 1), ("a", 2), ("", 2), ("", 2), (None, 3), (None, 4)], "tx string, r int")
+    got = sorted((r.status, r.tx or "", r.r) for r in reconcile(pays, receipts, "tx", "p", "r", dedupe=True).collect())
+    assert got == [("matched", "a", 2)] + [("unmatched_receipt", "", r) for r in (2, 2, 3, 4)]
+
+
+def test_one_to_one_sorts_no_receipts_without_an_id(spark):
+    """Beside two ids with an event each, 2,000 receipts without an id: none may reach the window's task."""
+    pays = spark.createDataFrame([("a", 1), ("", 5), (None, 6)], "tx string, p int")
+    receipts = spark.createDataFrame([("a", 2), ("z", 3)] + [(k, i) for i in range(1000) for k in ("", None)],
+                                     "tx string, r int")
+    got = reconcile_one_to_one(pays, receipts, "tx", "p", "r")
+    assert sorted((x.status, x.tx or "", x.p or 0, x.r) for x in got.collect()) == sorted(
+        [("matched", "a", 1, 2), ("unmatched_receipt", "z", 0, 3)]
+        + [("unmatched_receipt", "", 0, i) for i in range(1000) for _ in range(2)])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # the window's two sides are filtered; the other receipts' filter is without NOT
+    assert plan.count("NOT (coalesce(tx") == 2, plan
+
+
 def test_event_without_a_time_fails(spark):
     df = spark.createDataFrame([(1, at(1), 1, "a"), (1, None, 2, "a")], "k int, ts timestamp_ntz, seq int, b string")
     with pytest.raises(PySparkException, match="no time"):
