@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import map_batches, partitions, write_work
 
 SEED, MAX_SOURCES = 9_973, 100_000
 
@@ -42,19 +42,29 @@ def uniform(*cols, seed: int = SEED):
     return (F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("double") + 0.5) * F.lit(2.0 ** -52)
 
 
-def rates(docs: DataFrame, targets: dict | None, size: float, source: str = "source") -> dict:
-    """Mean copies per document of each source; without targets all sources weigh the same.
+def rates(docs: DataFrame, targets: dict | None, size: float, source: str = "source") -> DataFrame:
+    """Per source: s, rate (mean copies per document), cdf; without targets all sources weigh the same.
 
-    One row per source reaches the driver; sources are a short list.
+    Only the totals over all sources reach the driver.
     """
-    rows = docs.groupBy(F.col(source).cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(
-        MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    if targets is None:
-        targets = {r.s: 1.0 for r in rows}
-    total, whole = sum(r.n for r in rows), sum(targets.get(r.s, 0.0) for r in rows) or 1.0
-    return {r.s: targets.get(r.s, 0.0) / whole * size * total / r.n for r in rows}
+    counts = docs.groupBy(F.col(source).cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+
+    def weight(s) -> float:
+        return 1.0 if targets is None else targets.get(s, 0.0)
+
+    def weigh(b):
+        s = b.column(0).to_pylist()
+        return {"s": s, "n": b.column(1), "w": [weight(x) for x in s]}
+
+    weighed, _ = write_work(map_batches(counts, weigh, "s string, n long, w double"), "mix-sources")
+    got = weighed.agg(F.sum("n").alias("n"), F.sum("w").alias("w")).first()
+    total, whole = got.n or 0, got.w or 1.0
+
+    def rate(b):
+        m = [w / whole * size * total / n for w, n in zip(b.column(2).to_pylist(), b.column(1).to_pylist())]
+        return {"s": b.column(0), "rate": m, "cdf": [poisson_cdf(x) for x in m]}
+
+    return map_batches(weighed, rate, "s string, rate double, cdf array<double>")
 
 
 def replicate(docs: DataFrame, targets: dict | None = None, size: float = 1.0, id_col: str = "doc_id",
@@ -64,13 +74,13 @@ def replicate(docs: DataFrame, targets: dict | None = None, size: float = 1.0, i
     ``size``: expected output rows as a multiple of the input.  The rows come
     range-partitioned and sorted by ``order``, a hash of (seed, doc_id, copy).
     """
-    rate = rates(docs, targets, size, source)
     spark = docs.sparkSession
-    plan = spark.createDataFrame([(s, float(m), poisson_cdf(m)) for s, m in rate.items()],
-                                 f"{prefix}s string, {prefix}rate double, {prefix}cdf array<double>")
-    # one short row per source, at most MAX_SOURCES
+    plan, _ = write_work(rates(docs, targets, size, source).toDF(f"{prefix}s", f"{prefix}rate", f"{prefix}cdf"),
+                         "mix-rates")
     on = docs[source].cast("string").eqNullSafe(plan[f"{prefix}s"])
-    joined = docs.join(F.broadcast(plan), on, "left")
+    # one short row per source: a broadcast up to MAX_SOURCES, else Spark's own choice
+    few = plan.count() <= MAX_SOURCES
+    joined = docs.join(F.broadcast(plan) if few else plan, on, "left")
     u = uniform(F.col(id_col), seed=seed)
     copies = F.size(F.filter(f"{prefix}cdf", lambda p: p <= F.col(f"{prefix}u")))
     drawn = (joined.withColumn(f"{prefix}u", u).withColumn(f"{prefix}copies", copies)

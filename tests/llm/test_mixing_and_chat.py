@@ -51,6 +51,16 @@ def test_distribution_function(mean):
 
 # --- chat ------------------------------------------------------------------------
 
+def test_any_number_of_sources(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else f"s{i % 7}", f"t{i}") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    cols = ["doc_id", "source", "_mix_rate", "_mix_copies", "_mix_copy", "_mix_order"]
+    few = [sorted(map(str, M.replicate(docs, t).select(cols).collect())) for t in (None, {"s1": 3.0, "s2": 1.0})]
+    monkeypatch.setattr(M, "MAX_SOURCES", 2)
+    assert [sorted(map(str, M.replicate(docs, t).select(cols).collect())) for t in (None, {"s1": 3.0, "s2": 1.0})] == few
+    assert len(few[0]) > 500 and len(few[1]) > 500
+
+
 LAYOUTS = [
     ({"prompt": "p", "response": "r"}, [("user", "p"), ("assistant", "r")]),
     ({"response": "r", "prompt": None}, [("user", ""), ("assistant", "r")]),
