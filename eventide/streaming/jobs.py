@@ -16,6 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.internal import InternalFunction
 
 from eventide.functions.time import duration_us, epoch_micros, from_micros
 from eventide.functions.hashing import poly_hash
@@ -198,9 +199,10 @@ def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
     """W7 + K1 on a stream: the closed window counts regrouped by window end
     (a slide-wide window over their event time); ``row_number`` is not
     available on streams, so the ``n`` smallest ``struct(-count, key)`` are
-    kept with ``slice(array_sort(collect_list(...)))``.
+    kept with ``collect_top_k``, whose buffer and state never hold more than
+    ``n`` entries, however many keys a window end has.
 
-    Two stages keep every list bounded: first per (window end, key-hash
+    Two stages spread a window end's keys: first per (window end, key-hash
     bucket out of ``salt``), then per window end over at most ``salt * n``
     candidates.  Top-n of per-bucket top-n is the exact top-n.  The extra
     stage costs state per window end and bucket (bounded by time span /
@@ -208,10 +210,10 @@ def top_n_stream(wins: DataFrame, key: str, count_col: str, n: int, slide: str,
     """
     def ranked(df, groups, time_col):
         return (df.groupBy(F.window(time_col, slide).alias("g"), *groups)
-                .agg(F.slice(F.array_sort(F.collect_list(F.struct(
+                .agg(F.array_sort(InternalFunction.collect_top_k(F.struct(
                     (-F.col(count_col)).alias("neg"), F.col(key).alias("k"),
                     F.col(count_col).alias("c"), F.col("window_start").alias("ws"),
-                    F.col("window_end").alias("we")))), 1, n).alias("top")))
+                    F.col("window_end").alias("we")), n, True)).alias("top")))
     if salt > 1:
         salted = wins.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt)))
         wins = (ranked(salted, ["_salt"], "event_time")

@@ -253,6 +253,22 @@ def test_rows_beyond_the_delay_are_reported(spark, caplog):
     assert "beyond_funnel: 2 rows" in caplog.text
 
 
+def test_top_n_of_a_stream_holds_n_entries(spark):
+    """2,000 keys in one window end: right ranks, and no aggregate gathers all keys."""
+    folder = scratch_path(spark, f"round2-top-{random.random()}")
+    schema = "ts timestamp_ntz, item_id long, behavior string"
+    rows = [(at(i % 60), k, "view") for k in range(2000) for i in range(1 + (k * 7919) % 5)]
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(folder)
+    spark.createDataFrame([(at(90_000), 1, "view")], schema).coalesce(1).write.mode("append").parquet(folder)
+    read = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    df = SJ.hot_items_stream(read(), n=4, size="5 minutes", slide="5 minutes")
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "collect_top_k" in plan and "collect_list" not in plan
+    got = SJ.run_to_files(df, "top_bounded").filter(F.col("window_start") == F.lit(at(0)))
+    want = sorted(((-(1 + (k * 7919) % 5), k) for k in range(2000)))[:4]
+    assert [(r["rank"], -r.views, r.item_id) for r in got.orderBy("rank").collect()] == [(i + 1, c, k) for i, (c, k) in enumerate(want)]
+
+
 def test_starting_a_stream_leaves_the_session_as_it_was(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
