@@ -178,3 +178,8 @@ def per_worker(key, build: Callable):
         _PER_WORKER.clear()
         _PER_WORKER[key] = build()
     return _PER_WORKER[key]
+
+
+def forget() -> None:
+    """Give back the worker's cached object."""
+    _PER_WORKER.clear()

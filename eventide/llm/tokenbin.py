@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
 
-from .common import map_batches, map_stream, partitions, text_col
+from .common import forget, map_batches, map_stream, partitions, text_col
 from .tokens import default_tokenizer, encoder, load, text_slices
 
 MAGIC = b"TBP1"
@@ -72,7 +72,7 @@ def encode_segment(ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
 
 def decode_range(buf: bytes, lo: int = 0, hi: int | None = None) -> np.ndarray:
     """Ids lo .. hi - 1, unpacking only the blocks that hold them."""
-    if buf[:4] != MAGIC:
+    if bytes(buf[:4]) != MAGIC:
         raise ValueError("not a token segment")
     bits, block, blocks, n = struct.unpack_from("<IIIQ", buf, 4)
     hi = n if hi is None else min(hi, n)
@@ -128,6 +128,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
                     held += len(r)
         if raw:
             yield flush()
+        forget()        # the worker lives on and decodes next: give the cache back
 
     (map_stream(rows, segments, SEGMENTS).write.option("compression", "none")
      .option("parquet.block.size", 4 << 20).parquet(path))
@@ -148,8 +149,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         total += r.n
 
     def unpack(b):
-        for shard, first, buf, ids, lens in zip(*(b.column(i).to_pylist() for i in range(5))):
-            flat = decode_range(buf)
+        forget()
+        shards, firsts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for k, (shard, first) in enumerate(zip(shards, firsts)):
+            flat = decode_range(b.column(2)[k].as_buffer())
+            ids, lens = b.column(3)[k].as_py(), b.column(4)[k].as_py()
             ends = np.cumsum(np.asarray(lens, np.int64))
             start = base[shard] + first + ends - np.asarray(lens, np.int64)
             raw = memoryview(flat.astype("<u4").tobytes())

@@ -3,7 +3,10 @@
 A byte-level BPE splits a text before every white-space run that follows a
 non-space character, so the piece between two such places gets the same ids
 alone as in its text.  Texts are cut there (at plain spaces only) and every
-distinct piece is encoded by the library once per Python worker.
+distinct piece is encoded by the library once while the cache holds it.
+
+Special tokens' strings inside texts are encoded as the library does by
+default (one id); they hold no space, so no cut meets them.
 """
 
 from __future__ import annotations
@@ -11,12 +14,17 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
 
 from .common import per_worker
 
 # A space that follows white space: the cut before it is not safe.
 _RUN = re.compile(r"\s ")
 _SAFE_CUT = re.compile(r"(?<=\S) ")
+# A piece that stays a piece when others are written behind it with a space between.
+_PLAIN = re.compile(r"\S(?:[^ ]*\S)?")
 
 
 def default_tokenizer() -> str:
@@ -25,79 +33,119 @@ def default_tokenizer() -> str:
 
 
 def load(path: str):
-    """The tokenizer; strings of special tokens inside a text are ordinary text."""
+    """The tokenizer with the library's defaults."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return tok
+    return Tokenizer.from_file(path)
 
 
 def cuttable(tok) -> bool:
     """True for byte-level tokenizers without a normaliser, the kind the cut is safe for."""
     pre = tok.pre_tokenizer
-    return (tok.normalizer is None and type(pre).__name__ == "ByteLevel"
+    plain = not any(t.normalized or t.lstrip or t.rstrip or t.single_word or " " in t.content
+                    for t in tok.get_added_tokens_decoder().values())
+    return (tok.normalizer is None and type(pre).__name__ == "ByteLevel" and plain
             and not pre.add_prefix_space and pre.use_regex)
 
 
 class Encoder:
     """``encode(texts)`` -> one ``bytes`` of little-endian unsigned 32-bit ids per text.
 
-    The cache has two generations: pieces in use move to the young one, the
-    old one is dropped when the young one is full.  Its size is bounded; a
-    piece that was dropped is encoded again, with the same ids.
+    The cache has two generations of at most ``max_bytes`` / 2 each (pieces,
+    ids and what Python needs to hold them): pieces in use move to the young
+    one, the old one is dropped when the young one is full.  A piece that was
+    dropped is encoded again, with the same ids.
     """
 
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    ENTRY = 180        # bytes of a cache entry beside its characters and ids
+    WINDOW = 1 << 20   # characters of a text that are looked at together
+
+    def __init__(self, path: str, max_bytes: int = 128 << 20):
         self.tok = load(path)
         self.cut = cuttable(self.tok)
-        self.max_pieces = max_pieces
-        # pieces that follow a space; pieces at the start of a text
-        self.young: tuple[dict, dict] = ({}, {})
-        self.old: tuple[dict, dict] = ({}, {})
+        self.max_bytes, self.used = max_bytes, 0
+        # pieces that begin a text; pieces behind a space, which their keys leave out
+        self.young: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        letters = self.tok.get_vocab()
+        # ids of tokens that begin with a space (in a byte-level vocabulary U+0120 stands for it)
+        self.spaced = np.zeros(max(letters.values(), default=0) + 1, bool)
+        self.spaced[[i for t, i in letters.items() if t[0] == "\u0120"]] = True
 
     def _raw(self, texts: list[str], step: int = 2048) -> list[bytes]:
         # in slices: the library's results are far larger than the ids
         return [array("I", e.ids).tobytes() for lo in range(0, len(texts), step)
                 for e in self.tok.encode_batch_fast(texts[lo:lo + step], add_special_tokens=False)]
 
-    def _learn(self, kind: int, pieces, prefix: str) -> None:
+    def _learn(self, kind: int, pieces: list[str]) -> None:
+        """Encode new pieces.  Plain ones behind a space are written one behind the other, and a token with
+        a space begins the next one: a call of the library costs more than a short piece."""
+        plain = [p for p in pieces if kind and _PLAIN.fullmatch(p)]
+        other = [p for p in pieces if not (kind and _PLAIN.fullmatch(p))]
+        made = list(zip(other, self._raw([" " * kind + p for p in other])))
+        for lo in range(0, len(plain), 2048):
+            part = plain[lo:lo + 2048]
+            ids = np.asarray(self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) != len(part):
+                raise ValueError("a piece of a text does not begin with one space")
+            ends = [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            raw = ids.tobytes()
+            made += zip(part, [raw[a:b] for a, b in zip((4 * at).tolist(), ends)])
+        self._hold(kind, made)
+
+    def _hold(self, kind: int, made: list[tuple[str, bytes]]) -> None:
+        self.young[kind].update(made)
+        self.used += sum(self.ENTRY + len(p) + len(ids) for p, ids in made)
+
+    def _ids(self, kind: int, pieces: list[str]) -> list[bytes]:
         young, old = self.young[kind], self.old[kind]
-        new = []
-        for p in pieces:
-            ids = old.get(p)
-            if ids is None:
-                new.append(p)
-            else:
-                young[p] = ids
-        if new:
-            young.update(zip(new, self._raw([prefix + p for p in new] if prefix else new)))
+        got = list(map(young.get, pieces))
+        if None in got:
+            lost = {p for p, ids in zip(pieces, got) if ids is None}
+            back = [(p, old[p]) for p in lost & old.keys()]
+            self._hold(kind, back)
+            lost.difference_update(old)
+            if lost:
+                self._learn(kind, list(lost))
+            got = [young[p] if ids is None else ids for p, ids in zip(pieces, got)]
+        return got
+
+    def _pieces(self, text: str) -> list[str]:
+        return _SAFE_CUT.split(text) if _RUN.search(text) else text.split(" ")
+
+    def _long(self, text: str) -> Iterator[bytes]:
+        """The ids of a long text, window by window; all but the first begin behind a space."""
+        lo = 0
+        while lo <= len(text):
+            cut = _SAFE_CUT.search(text, lo + self.WINDOW)
+            hi = cut.start() if cut else len(text)
+            # the first character of a window decides nothing about a cut before it
+            pieces = self._pieces(text[lo:hi])
+            if not lo:
+                yield self._ids(0, pieces[:1])[0]
+                del pieces[0]
+            yield b"".join(self._ids(1, pieces))
+            lo = hi + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cut:
             return self._raw(texts)
-        if sum(map(len, self.young)) > self.max_pieces:
-            self.young, self.old = ({}, {}), self.young
-        first, inner = self.young
-        heads, rest, found = [], [], []
-        unknown: set[str] = set()
+        # short texts share one look-up
+        heads, flat, ends = [], [], []
         for t in texts:
-            parts = _SAFE_CUT.split(t) if _RUN.search(t) else t.split(" ")
-            heads.append(parts[0])
-            del parts[0]
-            ids = list(map(inner.get, parts))
-            if None in ids:
-                unknown.update(p for p, i in zip(parts, ids) if i is None)
-                ids = None
-            else:
-                parts = None
-            rest.append(parts)
-            found.append(ids)
-        if unknown:
-            self._learn(1, unknown, " ")
-        self._learn(0, {h for h in heads if h not in first}, "")
-        return [first[h] + b"".join(map(inner.__getitem__, p) if i is None else i)
-                for h, p, i in zip(heads, rest, found)]
+            pieces = self._pieces(t) if len(t) <= self.WINDOW else [""]
+            heads.append(pieces[0])
+            del pieces[0]
+            flat += pieces
+            ends.append(len(flat))
+        got, at, out = self._ids(1, flat), 0, []
+        for t, head, end in zip(texts, self._ids(0, heads), ends):
+            out.append(b"".join([head, *got[at:end]] if len(t) <= self.WINDOW else list(self._long(t))))
+            at = end
+        if 2 * self.used > self.max_bytes:
+            self.young, self.old, self.used = ({}, {}), self.young, 0
+        return out
 
 
 def encoder(path: str) -> Encoder:

@@ -10,7 +10,8 @@ from eventide.llm import tokens as T
 
 
 def plain(texts):
-    tok = T.load(T.default_tokenizer())
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(T.default_tokenizer())
     return [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
@@ -21,8 +22,25 @@ def test_word_cache_gives_the_library_ids(texts):
     assert got == plain(texts)
 
 
+def ids_of(enc, texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
+
+
+def test_special_strings_get_the_library_ids():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endoftext|><|endoftext|>  z", " <|endoftext|>\n <|endof"]
+    enc = T.Encoder(T.default_tokenizer())
+    assert ids_of(enc, texts) == plain(texts)
+    assert ids_of(enc, [" ".join(texts)]) == plain([" ".join(texts)])
+
+
+def test_long_texts_go_through_windows(words, monkeypatch):
+    monkeypatch.setattr(T.Encoder, "WINDOW", 100)
+    texts = ["x" * 3000, "  ".join(words), " ".join(words) + " \n " + "y z" * 200, "\n ".join(words), " " * 500]
+    assert ids_of(T.Encoder(T.default_tokenizer()), texts) == plain(texts)
+
+
 def test_small_cache_gives_the_same_ids(words):
-    enc = T.Encoder(T.default_tokenizer(), max_pieces=50)
+    enc = T.Encoder(T.default_tokenizer(), max_bytes=20_000)
     texts = [" ".join(words[i:i + 30]) for i in range(0, 390, 10)]
     assert [np.frombuffer(enc.encode([t])[0], "<u4").tolist() for t in texts] == plain(texts)
 
