@@ -111,63 +111,50 @@ SUPERSEDED_RIGHT = "superseded_receipt"
 
 
 def reconcile_one_to_one(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-                         left_seq: str | None = None, right_seq: str | None = None) -> DataFrame:
+                         left_seq: str | None = None, right_seq: str | None = None,
+                         timeout: str | int | None = None) -> DataFrame:
     """J-a with one partner each: every match uses up both events.
 
     Per id the events of both sides are taken in the order of (time, side,
     seq).  An event meets the other side's pending event, if there is one;
     else it becomes its side's pending event and supersedes an earlier one.
-    The reference forgets a superseded event; here it gets a row of its own,
-    so every event with an id is in exactly one row.
+    With a ``timeout`` a pending event waits that long (inclusive) and is
+    unmatched after it.  The reference forgets a superseded event; here it
+    gets a row of its own, so every event with an id is in exactly one row.
 
-    Two window passes instead of a fold: cut an id's events into runs of one
-    side.  A run of two or more always leaves its last event pending; a run
-    of one leaves it pending only if nothing waited for it.  So whether an
-    event is pending after a run is decided by the parity of the runs since
-    the last long one, and a pending event meets the first of the next run.
+    Window passes instead of a fold: the pending event is always the one
+    before, or none.  So an event meets its predecessor exactly if its place
+    in a stretch of changing sides, each within the timeout, is odd.
 
     Output: key, left_ts, right_ts, status.  One id's events are one ordered
     history and meet in one task; ids are spread over all tasks.  Receipts
     without an id match nothing; they go round the window passes.
     """
     def side(df, ts, seq, no):
-        return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), F.lit(no).alias("_side"),
-                         (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"))
+        return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), epoch_micros(df, ts).alias("_us"),
+                         F.lit(no).alias("_side"), (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"))
 
     events = side(left.filter(nonempty_key(left, key)), left_ts, left_seq, 0).unionByName(
         side(right.filter(nonempty_key(right, key)), right_ts, right_seq, 1))
-    order = Window.partitionBy("_k").orderBy("_ts", "_side", "_seq")
+    order = Window.partitionBy("_k").orderBy("_us", "_side", "_seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    runs = (events.withColumn("_new", (~F.lag("_side").over(order).eqNullSafe(F.col("_side"))).cast("int"))
-            .withColumn("_run", F.sum("_new").over(so_far))
-            .withColumn("_next_new", F.lead("_new").over(order))
-            .withColumn("_next_ts", F.lead("_ts").over(order)).withColumn("_last_ts", F.lag("_ts").over(order)))
-    runs = (runs.withColumn("_first", F.col("_new") == 1)
-            .withColumn("_last", F.coalesce(F.col("_next_new") == 1, F.lit(True)))
-            # a run is long from its second event on
-            .withColumn("_long", F.max(F.when(~F.col("_first"), F.col("_run"))).over(so_far)))
-
-    def pending_after(run, long_run):
-        """Whether the last event of ``run`` waits, given the last long run up to it."""
-        return F.when(long_run.isNull(), F.pmod(run, F.lit(2)) == 1).otherwise(
-            F.pmod(run - long_run, F.lit(2)) == 0)
-
-    # up to the event before this run: its own long mark does not count
-    before = F.lag("_long").over(order)
-    runs = runs.withColumn("_met", F.col("_first") & (F.col("_run") > 1) & pending_after(F.col("_run") - 1, before))
-    waits = F.col("_last") & pending_after(F.col("_run"), F.col("_long"))
-    meets_next = waits & F.col("_next_new").isNotNull()
-    is_left = F.col("_side") == 0
-    status = (F.when(F.col("_met"), F.lit("taken"))
-              .when(meets_next, F.lit(MATCHED))
-              .when(waits, F.when(is_left, UNMATCHED_LEFT).otherwise(UNMATCHED_RIGHT))
-              .otherwise(F.when(is_left, SUPERSEDED_LEFT).otherwise(SUPERSEDED_RIGHT)))
-    rows = runs.withColumn("status", status).filter("status <> 'taken'")
-    both = F.col("status") == MATCHED
+    gap = F.col("_us") - F.lag("_us").over(order)
+    near = gap.isNotNull() if timeout is None else F.coalesce(gap <= duration_us(timeout), F.lit(False))
+    rows = (events.withColumn("_no", F.row_number().over(order)).withColumn("_near", near)
+            .withColumn("_turn", F.col("_near") & (F.lag("_side").over(order) != F.col("_side")))
+            .withColumn("_from", F.max(F.when(~F.col("_turn"), F.col("_no"))).over(so_far))
+            .withColumn("_met", (F.col("_no") - F.col("_from")) % 2 == 1)
+            .withColumn("_takes", F.coalesce(F.lead("_met").over(order), F.lit(False)))
+            .withColumn("_followed", F.coalesce(F.lead("_near").over(order), F.lit(False)))
+            .withColumn("_next_ts", F.lead("_ts").over(order)).filter(~F.col("_met")))
+    is_left, both = F.col("_side") == 0, F.col("_takes")
+    status = (F.when(both, F.lit(MATCHED))
+              .when(F.col("_followed"), F.when(is_left, SUPERSEDED_LEFT).otherwise(SUPERSEDED_RIGHT))
+              .otherwise(F.when(is_left, UNMATCHED_LEFT).otherwise(UNMATCHED_RIGHT)))
     rows = rows.select(
         F.col("_k").alias(key),
         F.when(is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(left_ts),
-        F.when(~is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(right_ts), "status")
+        F.when(~is_left, F.col("_ts")).when(both, F.col("_next_ts")).alias(right_ts), status.alias("status"))
     alone = right.filter(~nonempty_key(right, key)).select(
         F.col(key).cast(rows.schema[key].dataType).alias(key),
         F.lit(None).cast(rows.schema[left_ts].dataType).alias(left_ts),

@@ -11,14 +11,21 @@ Two plans are available:
   fine for tumbling windows and small ratios.
 * ``method="panes"`` (default for sliding windows): aggregate rows into
   slide-wide panes first (map-side partial aggregate, shuffle on
-  ``(keys, pane)`` so a hot key is spread over its panes), then turn every
-  pane into two change points (``+c`` where the first window containing the
-  pane starts, ``-c`` after the last one) and run a prefix sum per key over
-  the change points.  Each constant stretch of the prefix sum is one run of
-  windows with the same count, exploded into its windows.  Work per key is
-  bounded by the number of panes (the time span / slide), not by the number
-  of rows, and no row is ever copied ``size / slide`` times: the only
-  expansion left is the output itself.
+  ``(keys, pane)`` so a hot key is spread over its panes), then cut the line
+  of windows into blocks.  A pane counts in the windows ``pane - n + 1 ..
+  pane``, which touch two blocks at most; in each it becomes two change
+  points, ``+c`` where its windows begin in the block and ``-c`` where they
+  end, clipped at the block's borders.  So a prefix sum per key *and block*
+  is exact on its own: no task holds more of a key than one block, the keyless
+  count is spread over its blocks, and no offset has to travel between them.
+  Each constant stretch of the sum is a run of windows with one count and is
+  expanded where it is: all windows of a block (and of a key-hash bucket) end
+  in one task, which lets a following top-N prune before its shuffle.
+
+Sums of integers and decimals run over the same change points, with the number
+of non-null values beside them.  Sums of floating-point values add up the panes
+of every window instead, as taking a value off again is not exact (and a NaN
+could not be taken off).
 """
 
 from __future__ import annotations
@@ -27,13 +34,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.functions.time import (duration_us, epoch_micros, floor_div,
                                      from_micros, is_ntz)
 
 
-# Largest number of windows one task expands from a single run.
-CHUNK = 4096
+# Windows per block, and buckets of the keys' hash that share a block's task.
+BLOCK, SPREAD = 4096, 16
 
 
 def _as_list(keys: str | Sequence[str] | None) -> list[str]:
@@ -79,63 +87,51 @@ def _direct(df, keys, ts, size_us, slide_us, value, name):
 def _panes(df, keys, ts, size_us, slide_us, value, name):
     n = size_us // slide_us
     ntz = is_ntz(df, ts)
-    slide_pane = floor_div(epoch_micros(df, ts), slide_us).alias("pane")
-    aggs = [F.count(F.lit(1)).alias("c")]
+    slide_pane = floor_div(epoch_micros(df, ts), slide_us).alias("_pane")
+    aggs = [F.count(F.lit(1)).alias("_c")]
     if value is not None:
-        aggs.append(F.sum(value).alias("v"))
+        aggs += [F.sum(value).alias("_v"), F.count(value).alias("_m")]
     panes = df.groupBy(*[F.col(k) for k in keys], slide_pane).agg(*aggs)
-    # Two change points per pane: the pane enters the window starting at
-    # pane - n + 1 and leaves the window starting at pane + 1.
-    enter = [(F.col("pane") - (n - 1)).alias("s"), F.col("c").alias("dc")]
-    leave = [(F.col("pane") + 1).alias("s"), (-F.col("c")).alias("dc")]
-    if value is not None:
-        enter.append(F.col("v").alias("dv"))
-        leave.append((-F.col("v")).alias("dv"))
-    deltas = panes.select(
-        *keys, F.explode(F.array(F.struct(*enter), F.struct(*leave))).alias("e")
-    ).select(*keys, "e.*")
-    if keys:
-        # One exchange on the keys serves both the merge of equal change
-        # points and the prefix-sum window below.
-        deltas = deltas.repartition(*keys)
-    sums = [F.sum("dc").alias("dc")] + ([F.sum("dv").alias("dv")] if value else [])
-    changes = deltas.groupBy(*keys, "s").agg(*sums)
-    w = Window.partitionBy(*keys).orderBy("s")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = (changes
-            .withColumn("run_count", F.sum("dc").over(upto))
-            .withColumn("run_value", F.sum("dv").over(upto) if value else F.col("run_count"))
-            .withColumn("s_next", F.lead("s").over(w))
-            .filter(F.col("run_count") > 0))
-    # Runs are few (at most two per pane) but a run can stand for many
-    # windows, and the prefix-sum stage has only as many busy tasks as there
-    # are keys.  Cut runs into chunks of at most CHUNK windows and spread the
-    # chunks round-robin before expanding, so the output is produced by all
-    # tasks, whatever the key count or skew.
-    chunks = runs.select(
-        *keys, "run_value",
-        F.explode(F.sequence(F.lit(0).cast("bigint"),
-                             F.call_function("div", F.col("s_next") - F.col("s") - 1,
-                                             F.lit(CHUNK)))).alias("ci"),
-        "s", "s_next")
-    chunks = chunks.select(
-        *keys, "run_value",
-        (F.col("s") + F.col("ci") * CHUNK).alias("c_lo"),
-        F.least(F.col("s") + (F.col("ci") + 1) * CHUNK, F.col("s_next")).alias("c_hi"))
-    spark = df.sparkSession
-    chunks = chunks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    starts = chunks.select(
-        *keys,
-        F.explode(F.sequence(F.col("c_lo"), F.col("c_hi") - 1)).alias("ws"),
-        F.col("run_value").alias(name))
-    start_us = F.col("ws") * F.lit(slide_us)
-    return starts.select(
+    first = F.col("_pane") - (n - 1)
+    if value is not None and isinstance(panes.schema["_v"].dataType, (T.DoubleType, T.FloatType)):
+        wins = (panes.select(*keys, F.explode(F.sequence(first, F.col("_pane"))).alias("_ws"), "_v")
+                .groupBy(*keys, "_ws").agg(F.sum("_v").alias(name)))
+    else:
+        wins = _block_sums(panes, keys, n, first, value is not None, name)
+    start_us = F.col("_ws") * F.lit(slide_us)
+    return wins.select(
         *keys,
         from_micros(start_us, ntz).alias("window_start"),
         from_micros(start_us + F.lit(size_us), ntz).alias("window_end"),
         name)
 
 
+def _block_sums(panes, keys, n, first, summed, name):
+    """Window starts ``_ws`` with their count or sum, by prefix sums inside blocks of windows."""
+    block = max(BLOCK, n)
+    blocks = F.sequence(floor_div(first, block), floor_div(F.col("_pane"), block))
+    parts = ["_c"] + (["_v", "_m"] if summed else [])
+    at = panes.select(*keys, "_pane", *parts, F.explode(blocks).alias("_b"),
+                      F.pmod(F.xxhash64(*keys) if keys else F.lit(0), F.lit(SPREAD)).alias("_salt"))
+    enter = F.struct(F.greatest(first, F.col("_b") * block).alias("_s"), *parts)
+    leave = F.struct(F.least(F.col("_pane") + 1, (F.col("_b") + 1) * block).alias("_s"),
+                     *[(-F.col(p)).alias(p) for p in parts])
+    group = [*keys, "_b", "_salt"]
+    # one exchange on (block, bucket of keys) serves the merge of change points and the prefix sums
+    changes = (at.select(*group, F.explode(F.array(enter, leave)).alias("_e")).select(*group, "_e.*")
+               .repartition("_b", "_salt").groupBy(*group, "_s").agg(*[F.sum(p).alias(p) for p in parts]))
+    w = Window.partitionBy(*group).orderBy("_s")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    result = F.sum("_c").over(upto)
+    if summed:
+        kind = panes.schema["_v"].dataType
+        result = F.when(F.sum("_m").over(upto) > 0, F.coalesce(F.sum("_v").over(upto), F.lit(0)).cast(kind))
+    runs = (changes.withColumn("_n", F.sum("_c").over(upto)).withColumn("_result", result)
+            .withColumn("_next", F.lead("_s").over(w)).filter(F.col("_n") > 0))
+    return runs.select(*keys, F.explode(F.sequence(F.col("_s"), F.col("_next") - 1)).alias("_ws"),
+                       F.col("_result").alias(name))
+
+
 def tumbling_count(df: DataFrame, keys, ts: str, size: str | int, *,
                    value: str | None = None, name: str = "count") -> DataFrame:
     """W1/W2 + A1/A3: count per key and tumbling window."""

@@ -604,18 +604,23 @@ FROM ranked WHERE rn <= {CAP + 1}
 """
 
 
+# A row is judged once the watermark (whole milliseconds) has passed it.
+STREAM_RATE_SQL = STREAM_RATE_SQL + f" AND ts <= date_trunc('millisecond', {_MAX_ALL})"
+
+
 @register("stream_rate_limit", STREAM_RATE_SQL)
 def stream_rate_limit(spark, sf_dir):
     return SJ.run_to_files(SJ.rate_limit_stream(B.behavior_stream(spark, sf_dir), CAP),
                            "rate_limit")
 
 
-# Bursts closed by a later event of the user are emitted at once; a user's
-# last burst only when its timer (start + 1 h) is under the final watermark.
+# A burst is final when its span (start + 1 h) or the event that closed it is under the final watermark.
 STREAM_BURSTS_SQL = BURSTS_SQL.replace(
     "SELECT user_id, a, l, n FROM fin WHERE back = 1 AND a IS NOT NULL AND n >= 2",
     f"SELECT user_id, a, l, n FROM fin WHERE back = 1 AND a IS NOT NULL AND n >= 2 "
-    f"AND a + INTERVAL 1 HOUR <= {_MAX_ALL} - INTERVAL 5 SECOND")
+    f"AND a + INTERVAL 1 HOUR <= {_MAX_ALL} - INTERVAL 5 SECOND").replace(
+    "WHERE oa IS NOT NULL AND onum >= 2", "WHERE oa IS NOT NULL AND onum >= 2 "
+    f"AND oa + INTERVAL 1 HOUR <= {_MAX_ALL} - INTERVAL 5 SECOND")
 
 
 @register("stream_failure_bursts", STREAM_BURSTS_SQL)
@@ -672,6 +677,68 @@ def stream_reconcile(spark, sf_dir):
                                                RECONCILE_TOLERANCE), "reconcile")
 
 
+# J-a on streams: the state machine of reconcile_one_to_one with a timeout; an event acts when it is
+# under the watermark, a pending one is unmatched when the watermark is a timeout behind it.
+_WM = "(SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)))"
+_EXPIRED = "m.p_side IS NOT NULL AND n.ts > m.p_ts + INTERVAL 30 DAY"
+STREAM_ONE_TO_ONE_SQL = f"""
+WITH RECURSIVE e AS (
+  SELECT o_orderkey AS k, o_orderdate AS ts, 0 AS side, 0 AS seq FROM orders
+  UNION ALL SELECT l_orderkey, l_shipdate, 1, l_linenumber FROM lineitem),
+n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, side, seq) AS i FROM e WHERE ts <= {_WM}),
+m(k, i, p_side, p_ts, out_status, out_pay, out_receipt) AS (
+  SELECT k, i, side, ts, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.k, n.i,
+    CASE WHEN {_EXPIRED} THEN n.side WHEN m.p_side IS NOT NULL AND m.p_side <> n.side THEN NULL ELSE n.side END,
+    CASE WHEN {_EXPIRED} THEN n.ts WHEN m.p_side IS NOT NULL AND m.p_side <> n.side THEN NULL ELSE n.ts END,
+    CASE WHEN m.p_side IS NULL THEN NULL
+         WHEN {_EXPIRED} THEN CASE m.p_side WHEN 0 THEN 'unmatched_pay' ELSE 'unmatched_receipt' END
+         WHEN m.p_side <> n.side THEN 'matched'
+         WHEN n.side = 0 THEN 'superseded_pay' ELSE 'superseded_receipt' END,
+    CASE WHEN m.p_side = 0 THEN m.p_ts WHEN m.p_side = 1 AND n.side = 0 AND NOT ({_EXPIRED}) THEN n.ts END,
+    CASE WHEN m.p_side = 1 THEN m.p_ts WHEN m.p_side = 0 AND n.side = 1 AND NOT ({_EXPIRED}) THEN n.ts END
+  FROM m JOIN n ON n.k = m.k AND n.i = m.i + 1)
+SELECT k AS tx_id, out_pay AS pay_ts, out_receipt AS receipt_ts, out_status AS status
+FROM m WHERE out_status IS NOT NULL
+UNION ALL
+SELECT k, CASE WHEN p_side = 0 THEN p_ts END, CASE WHEN p_side = 1 THEN p_ts END,
+       CASE WHEN p_side = 0 THEN 'unmatched_pay' ELSE 'unmatched_receipt' END
+FROM m JOIN (SELECT k, max(i) AS i FROM n GROUP BY k) z USING (k, i)
+WHERE p_side IS NOT NULL AND p_ts + INTERVAL 30 DAY <= {_WM}
+"""
+
+
+def _pay_and_receipt_streams(spark, sf_dir):
+    pays = SJ.stream_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
+    lines = SJ.stream_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_ts"),
+        F.col("l_linenumber").alias("line"))
+    return pays, lines
+
+
+@register("stream_reconcile_one_to_one", STREAM_ONE_TO_ONE_SQL)
+def stream_reconcile_one_to_one(spark, sf_dir):
+    pays, lines = _pay_and_receipt_streams(spark, sf_dir)
+    return SJ.run_to_files(SJ.reconcile_one_to_one_stream(
+        pays, lines, "tx_id", "pay_ts", "receipt_ts", RECONCILE_TOLERANCE, right_seq="line"), "one_to_one")
+
+
+# J-c on streams: every shipped line is a receipt.
+@register("stream_window_join", f"""
+SELECT o_orderkey AS tx_id, make_timestamp(epoch_us(o_orderdate) // {D30} * {D30}) AS window_start,
+       make_timestamp(epoch_us(o_orderdate) // {D30} * {D30} + {D30}) AS window_end,
+       o_orderdate AS pay_ts, l_shipdate AS receipt_ts
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+ AND epoch_us(o_orderdate) // {D30} = epoch_us(l_shipdate) // {D30}
+""")
+def stream_window_join(spark, sf_dir):
+    pays, lines = _pay_and_receipt_streams(spark, sf_dir)
+    return SJ.run_to_files(SJ.window_join_stream(pays, lines.drop("line"), "tx_id", "pay_ts", "receipt_ts", "30 days"),
+                           "window_join")
+
+
 UPSERT_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()),
                               T.StructField("window_end", T.TimestampNTZType()),
                               T.StructField("bucket", T.LongType()),

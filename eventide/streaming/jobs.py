@@ -20,10 +20,11 @@ from pyspark.sql.internal import InternalFunction
 
 from eventide.functions.time import duration_us, epoch_micros, from_micros
 from eventide.functions.hashing import poly_hash
-from eventide.operators.reconcile import nonempty_key
+from eventide.operators.reconcile import (MATCHED, SUPERSEDED_LEFT, SUPERSEDED_RIGHT, UNMATCHED_LEFT,
+                                          UNMATCHED_RIGHT, nonempty_key)
 from eventide.session import path_kind, scratch_path
-from eventide.streaming.processors import (FailureBurstProcessor, FollowedByProcessor,
-                                           ProcessingTimeCapProcessor, RateLimitProcessor,
+from eventide.streaming.ordered import BurstProcessor, CapProcessor, OneToOneProcessor
+from eventide.streaming.processors import (FollowedByProcessor, ProcessingTimeCapProcessor,
                                            RepeatProcessor, SlidingCountProcessor)
 
 log = logging.getLogger(__name__)
@@ -310,11 +311,26 @@ RATE_OUT = T.StructType([T.StructField("seq", T.LongType()),
                          T.StructField("tag", T.StringType())])
 
 
+# Buckets of keys for the processors that order rows first; a stream keeps the number it started with.
+BUCKETS = 64
+
+
+def in_buckets(df: DataFrame, keys: list[str], buckets: int):
+    """Grouped by a bucket of the keys' hash."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).groupBy("bucket")
+
+
+def _types(df: DataFrame, keys: list[str]) -> dict[str, str]:
+    return {k: df.schema[k].dataType.simpleString() for k in keys}
+
+
 def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False,
-                      clock: str = "event", delay: str = "0 seconds") -> DataFrame:
-    """T5 on a stream: per (user, behavior) value state of the current day.
+                      clock: str = "event", delay: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
+    """T5 on a stream: the first ``cap`` rows per (user, behavior) and day pass, the next is reported.
 
-    ``delay`` is how far rows may be out of order; later rows are not counted.
+    ``delay`` is how far rows may be out of order: a row is judged when the
+    watermark has passed it, so the rows that pass are those of the batch form
+    whatever the order inside the delay.
 
     ``clock="event"`` (default): days are event-time days, reproducible.
     ``clock="processing"``: the reference's reset at the wall clock's next
@@ -322,24 +338,20 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
     With ``keep_event_time`` the output carries ``event_time`` as its new
     event-time column, so windowed aggregates can be chained after it.
     """
-    ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
-    ev = (ev.withColumn("ev_seq", F.col("seq")).withColumn("ev_ts", F.col("ts"))
-          .withColumn("day_us", F.col("ev_us") - F.pmod(F.col("ev_us"), F.lit(86_400_000_000))))
+    keys = ["user_id", "behavior"]
+    ev = _with_us(events.select("seq", "ts", *keys), "ts").withColumn("ev_seq", F.col("seq"))
     if clock == "processing":
-        return (ev.groupBy("user_id", "behavior").transformWithStateInPandas(
-            ProcessingTimeCapProcessor(cap, ["user_id", "behavior"]),
-            RATE_OUT, "Append", "ProcessingTime"))
+        return (ev.withColumn("ev_ts", F.col("ts")).groupBy(*keys).transformWithStateInPandas(
+            ProcessingTimeCapProcessor(cap, keys), RATE_OUT, "Append", "ProcessingTime"))
     if clock != "event":
         raise ValueError("clock must be 'event' or 'processing'")
-    ev = event_time(ev, "ts", delay)
+    ev = event_time(ev, "ts", delay).select(*keys, "ev_us", "ev_seq", "event_time")
     schema, extra = RATE_OUT, {}
     if keep_event_time:
         schema = T.StructType(RATE_OUT.fields + [T.StructField("event_time", T.TimestampType())])
         extra = {"eventTimeColumnName": "event_time"}
-    return (ev.groupBy("user_id", "behavior")
-            .transformWithStateInPandas(
-                RateLimitProcessor(cap, ["user_id", "behavior"], keep_event_time),
-                schema, "Append", "EventTime", **extra))
+    return in_buckets(ev, keys, buckets).transformWithStateInPandas(
+        CapProcessor(cap, _types(ev, keys), keep_event_time), schema, "Append", "EventTime", **extra)
 
 
 def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour",
@@ -376,16 +388,15 @@ BURST_OUT = T.StructType([T.StructField("user_id", T.LongType()),
 
 
 def failure_bursts_stream(events: DataFrame, span: str, min_fails: int,
-                          delay: str = "5 seconds") -> DataFrame:
-    """T6 on a stream: value state + event-time timer per user; rows may be 5 s out of order."""
+                          delay: str = "5 seconds", buckets: int = BUCKETS) -> DataFrame:
+    """T6 on a stream: an open burst per user; rows may be ``delay`` out of order and are put in order first."""
     ev = _with_us(events.select("seq", "ts", "user_id", "behavior"), "ts")
     ev = ev.select("user_id", "ts", "ev_us", F.col("seq").alias("ev_seq"),
-                   (F.col("behavior") == "error").alias("is_fail"))
-    ev = event_time(ev, "ts", delay)
-    return (ev.groupBy("user_id")
-            .transformWithStateInPandas(
-                FailureBurstProcessor(duration_us(span), min_fails, "user_id"),
-                BURST_OUT, "Append", "EventTime"))
+                   F.coalesce(F.col("behavior") == "error", F.lit(False)).alias("is_fail"))
+    ev = event_time(ev, "ts", delay).drop("ts")
+    return in_buckets(ev, ["user_id"], buckets).transformWithStateInPandas(
+        BurstProcessor(duration_us(span), min_fails, "user_id", _types(ev, ["user_id"])["user_id"]),
+        BURST_OUT, "Append", "EventTime")
 
 
 FUNNEL_OUT = T.StructType([T.StructField("user_id", T.LongType()),
@@ -448,6 +459,54 @@ def reconcile_stream(pays: DataFrame, receipts: DataFrame, key: str, pay_ts: str
                     status.alias("status"))
 
 
+def reconcile_one_to_one_stream(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
+                                timeout: str, left_seq: str | None = None, right_seq: str | None = None,
+                                delay: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
+    """J-a on streams: every event meets at most one of the other side, within ``timeout``.
+
+    Both inputs become one keyed stream with one pending event per id.  An
+    event acts when the watermark (of the slower input) has passed it; a
+    pending event is unmatched once the watermark is ``timeout`` behind it.
+    Rows and labels are those of the batch form ``reconcile_one_to_one`` with
+    the same timeout.  A receipt without an id is unmatched at once.
+    """
+    def side(df, ts, seq, no):
+        timed = event_time(df, ts, delay).select(
+            F.col(key).alias(key), epoch_micros(df, ts).alias("ev_us"),
+            (F.col(seq) if seq else F.lit(0)).cast("long").alias("ev_seq"), F.lit(no).alias("side"), "event_time")
+        return timed
+
+    events = side(left.filter(nonempty_key(left, key)), left_ts, left_seq, 0).unionByName(
+        side(right.filter(nonempty_key(right, key)), right_ts, right_seq, 1))
+    out = T.StructType([events.schema[key], T.StructField(left_ts, T.TimestampNTZType()),
+                        T.StructField(right_ts, T.TimestampNTZType()), T.StructField("status", T.StringType())])
+    labels = {"matched": MATCHED, "unmatched_left": UNMATCHED_LEFT, "unmatched_right": UNMATCHED_RIGHT,
+              "superseded_left": SUPERSEDED_LEFT, "superseded_right": SUPERSEDED_RIGHT}
+    met = in_buckets(events, [key], buckets).transformWithStateInPandas(
+        OneToOneProcessor(duration_us(timeout), key, _types(events, [key])[key], left_ts, right_ts, labels),
+        out, "Append", "EventTime")
+    alone = right.filter(~nonempty_key(right, key)).select(
+        F.col(key), F.lit(None).cast("timestamp_ntz").alias(left_ts),
+        from_micros(epoch_micros(right, right_ts)).alias(right_ts), F.lit(UNMATCHED_RIGHT).alias("status"))
+    return met.unionByName(alone)
+
+
+def window_join_stream(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, size: str,
+                       delay: str = "0 seconds") -> DataFrame:
+    """J-c on streams: inner join on the key and the tumbling window of the event times.
+
+    The window is an equality of the join, so a watermark that has passed a
+    window's end drops its rows from the state.
+    """
+    def side(df, ts):
+        return event_time(df.filter(nonempty_key(df, key)), ts, delay, "_at").select(
+            F.col(key).alias(key), F.col(ts).alias(ts), F.window("_at", size).alias("_w"))
+
+    j = side(left, left_ts).join(side(right, right_ts), [key, "_w"], "inner")
+    return j.select(key, to_ntz(F.col("_w.start")).alias("window_start"), to_ntz(F.col("_w.end")).alias("window_end"),
+                    left_ts, right_ts)
+
+
 # ---------------------------------------------------------------------------
 # S7 keyed upsert sink
 

@@ -15,7 +15,6 @@ do not survive the row-to-pandas conversion); all emit pandas frames.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,11 +26,6 @@ from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, Stateful
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _rows(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    pdf = pd.concat(list(frames), ignore_index=True)
-    return pdf.sort_values(["ev_us", "ev_seq"], kind="stable")
-
-
 def _ts(us: int) -> pd.Timestamp:
     return pd.Timestamp(int(us) * 1000)
 
@@ -40,77 +34,6 @@ def _ceil_ms(us: int) -> int:
     return -(-int(us) // 1000)
 
 
-class RateLimitProcessor(StatefulProcessor):
-    """T5 per key: pass ``cap`` rows per event day, tag the next one
-    ``blacklist``, drop the rest.  The state is a small map day -> (count,
-    flagged), so rows of an earlier day count for that day; a timer at a
-    day's end, once the watermark has passed it, drops the day.
-
-    A batch's rows are read frame by frame; of each day only the rows that
-    can still be let through are held, at most ``cap + 1``."""
-
-    DAY_US = 86_400_000_000
-
-    def __init__(self, cap: int, key_names: list[str], keep_event_time: bool = False):
-        self.cap = cap
-        self.key_names = key_names
-        self.keep_event_time = keep_event_time
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("cap", "day array<long>, cnt array<long>, flagged array<boolean>")
-
-    def _days(self) -> dict:
-        if not self.state.exists():
-            return {}
-        return {d: (c, f) for d, c, f in zip(*self.state.get())}
-
-    def _keep(self, days: dict) -> None:
-        if days:
-            self.state.update((list(days), [c for c, _ in days.values()], [f for _, f in days.values()]))
-        else:
-            self.state.clear()
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        days = self._days()
-        held = None
-        for frame in rows:
-            day = frame["day_us"]
-            left = day.map(lambda d: 0 if days.get(d, (0, False))[1] else self.cap + 1 - days.get(d, (0, False))[0])
-            frame = frame[left > 0]
-            if not len(frame):
-                continue
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            held = held.sort_values(["ev_us", "ev_seq"], kind="stable")
-            rank = held.groupby("day_us").cumcount()
-            used = held["day_us"].map(lambda d: days.get(d, (0, False))[0])
-            held = held[rank + used <= self.cap]
-        if held is None:
-            return
-        place = held.groupby("day_us").cumcount() + held["day_us"].map(lambda d: days.get(d, (0, False))[0])
-        held = held.assign(tag=place.lt(self.cap).map({True: "pass", False: "blacklist"}))
-        for d, part in held.groupby("day_us")["tag"]:
-            if d not in days:
-                self.handle.registerTimer(_ceil_ms(d + self.DAY_US))
-            before, _ = days.get(d, (0, False))
-            passed = int((part == "pass").sum())
-            days[d] = (before + passed, passed < len(part))
-        self._keep(days)
-        cols = ["ev_seq", "ev_ts", *self.key_names, "tag"]
-        out = held[cols].rename(columns={"ev_seq": "seq", "ev_ts": "ts"})
-        if self.keep_event_time:
-            out = out.assign(event_time=held["event_time"])
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        self._keep({d: v for d, v in self._days().items() if _ceil_ms(d + self.DAY_US) > now})
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
 class RepeatProcessor(StatefulProcessor):
     """Strictly consecutive repeats, as the batch ``repeat_match``.
 
@@ -176,71 +99,6 @@ class RepeatProcessor(StatefulProcessor):
         pass
 
 
-class FailureBurstProcessor(StatefulProcessor):
-    """First failure opens a burst and a timer at ``first + span``;
-    failures up to the timer join it; any other event clears it; the burst is
-    reported (>= ``min_fails``) when a later event or the timer closes it."""
-
-    def __init__(self, span_us: int, min_fails: int, key_name: str):
-        self.span_us = span_us
-        self.min_fails = min_fails
-        self.key_name = key_name
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("burst", "a long, l long, n long")
-
-    def _out(self, key, bursts):
-        if bursts:
-            return pd.DataFrame({
-                self.key_name: [key[0]] * len(bursts),
-                "start_ts": [_ts(a) for a, _, _ in bursts],
-                "end_ts": [_ts(last) for _, last, _ in bursts],
-                "fails": [n for _, _, n in bursts]})
-        return None
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _rows(rows)
-        a = last = None
-        n = 0
-        if self.state.exists():
-            a, last, n = self.state.get()
-        old_anchor = a
-        done = []
-        for us, fail in zip(pdf["ev_us"].tolist(), pdf["is_fail"].tolist()):
-            if a is not None and us > a + self.span_us:
-                if n >= self.min_fails:
-                    done.append((a, last, n))
-                a = None
-            if fail:
-                if a is None:
-                    a, n = us, 0
-                last, n = us, n + 1
-            else:
-                a = None
-        if old_anchor is not None and old_anchor != a:
-            self.handle.deleteTimer(_ceil_ms(old_anchor + self.span_us))
-        if a is None:
-            self.state.clear()
-        else:
-            self.state.update((a, last, n))
-            if a != old_anchor:
-                self.handle.registerTimer(_ceil_ms(a + self.span_us))
-        out = self._out(key, done)
-        if out is not None:
-            yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
-        if self.state.exists():
-            a, last, n = self.state.get()
-            self.state.clear()
-            if n >= self.min_fails:
-                yield self._out(key, [(a, last, n)])
-
-    def close(self) -> None:
-        pass
-
-
 class FollowedByProcessor(StatefulProcessor):
     """Every ``first`` row waits for the first ``then`` row after it;
     success if that comes less than ``within`` later, else timeout.
@@ -437,7 +295,7 @@ class ProcessingTimeCapProcessor(StatefulProcessor):
     row of a key and is cleared by a processing-time timer at the next UTC
     midnight of the wall clock, whatever the rows' event times.  Not
     reproducible across a replay over midnight; the event-day form
-    (:class:`RateLimitProcessor`) is the default."""
+    (``CapProcessor``) is the default."""
 
     DAY_MS = 86_400_000
 
@@ -450,26 +308,19 @@ class ProcessingTimeCapProcessor(StatefulProcessor):
         self.state = handle.getValueState("cap", "cnt long, flagged boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        pdf = _rows(rows)
-        if self.state.exists():
-            cnt, flagged = self.state.get()
-        else:
-            cnt, flagged = 0, False
+        cnt, flagged = self.state.get() if self.state.exists() else (0, False)
+        if not self.state.exists():
             now = timerValues.getCurrentProcessingTimeInMs()
             self.handle.registerTimer((now // self.DAY_MS + 1) * self.DAY_MS)
-        tags = []
-        for _ in range(len(pdf)):
-            if cnt < self.cap:
-                cnt += 1
-                tags.append("pass")
-            elif not flagged:
-                flagged = True
-                tags.append("blacklist")
-            else:
-                tags.append(None)
-        self.state.update((cnt, flagged))
-        pdf["tag"] = tags
-        out = pdf[pdf["tag"].notna()]
+        left = self.cap + 1 - cnt - flagged                       # rows that can still come through
+        first = None
+        for frame in rows:
+            first = frame if first is None else pd.concat([first, frame], ignore_index=True)
+            first = first.nsmallest(max(left, 0), ["ev_us", "ev_seq"])
+        place = cnt + pd.Series(range(len(first)), index=first.index, dtype="int64")
+        out = first.assign(tag=(place < self.cap).map({True: "pass", False: "blacklist"}))
+        passed = int((out["tag"] == "pass").sum())
+        self.state.update((cnt + passed, flagged or passed < len(out)))
         if len(out):
             yield out[["ev_seq", "ev_ts", *self.key_names, "tag"]].rename(
                 columns={"ev_seq": "seq", "ev_ts": "ts"})

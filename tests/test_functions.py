@@ -65,7 +65,9 @@ def test_parse_weblog(spark):
     lines = spark.createDataFrame(
         [("83.149.9.216 - - 17/05/2015:10:05:03 +0000 GET /presentations/logstash",),
          ("1.2.3.4 - - not-a-time +0000 GET /x",)], "value string")
-    rows = parse_weblog(lines).collect()
+    with pytest.raises(Exception, match="bad line"):
+        parse_weblog(lines).collect()
+    rows = parse_weblog(lines, bad_rows="null").collect()
     assert rows[0]["ip"] == "83.149.9.216" and rows[0]["method"] == "GET"
     assert str(rows[0]["event_time"]) == "2015-05-17 10:05:03"
     assert rows[0]["url"] == "/presentations/logstash"
