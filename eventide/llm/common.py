@@ -6,6 +6,7 @@ Spark's own writers, so any executor can read them back after a loss.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -181,5 +182,12 @@ def per_worker(key, build: Callable):
 
 
 def forget() -> None:
-    """Give back the worker's cached object."""
+    """Give back the worker's cached object and the memory it took."""
+    if not _PER_WORKER:
+        return
     _PER_WORKER.clear()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # only the GNU C library has it
+        pass

@@ -23,8 +23,8 @@ Jaccard similarity, sum of minima over sum of maxima, is 0.8 or more.
 
 Defined cases: a null text is empty; a text without words links with
 nothing; repeated rows are copies of each other, also with the same doc_id;
-a null doc_id is kept as null and sorts last in its group; an empty table
-gives no row.
+a null doc_id is kept as null and sorts last in its group; very long texts
+are handled whole; other columns are not read; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -384,7 +384,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """One row per document: doc_id, class_id (smallest doc_id of its group), n_links (other documents
     linked directly), n_group (rows of its group), text_hash, winner_hash.
 
-    The row of the group's first (doc_id, text_hash) has ``doc_id = class_id``
+    The row of the group's first (doc_id, text_hash), null ids last, has ``doc_id = class_id``
     and ``text_hash = winner_hash``.
     """
     spark = docs.sparkSession
@@ -394,7 +394,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     release(spark)
     shared = every.filter("sig is not null")
     classes, classes_path = write_work(
-        shared.groupBy("cid").agg(F.min(F.struct("d", "th")).alias("rep"), F.count(F.lit(1)).alias("copies"),
+        shared.groupBy("cid").agg(F.min(F.struct(F.col("d").isNull().alias("no_id"), "d", "th")).alias("rep"), F.count(F.lit(1)).alias("copies"),
                                   F.min("sig").alias("sig")), "icws-classes")
     near = components(candidates(classes, bands, rows, agree), "icws-candidates")
     # One row of each class in a component carries the shingles; equal rows of a class are alike.
@@ -417,7 +417,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     alone = every.select("d", "th", F.when(F.col("sig").isNotNull(), F.col("cid")).alias("cid"))
     result, _ = write_work(
         alone.filter("cid is not null").join(per_class, "cid")
-        .select("d", "th", "first.*", "n_links", "n_group")
+        .select("d", "th", "first.d", "first.th", "n_links", "n_group")
         .toDF("doc_id", "text_hash", "class_id", "winner_hash", "n_links", "n_group")
         .unionByName(alone.filter("cid is null")
                      .select(F.col("d").alias("doc_id"), F.col("th").alias("text_hash"), F.col("d").alias("class_id"),

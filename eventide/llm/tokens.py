@@ -23,8 +23,6 @@ from .common import per_worker
 # A space that follows white space: the cut before it is not safe.
 _RUN = re.compile(r"\s ")
 _SAFE_CUT = re.compile(r"(?<=\S) ")
-# A piece that stays a piece when others are written behind it with a space between.
-_PLAIN = re.compile(r"\S(?:[^ ]*\S)?")
 
 
 def default_tokenizer() -> str:
@@ -60,7 +58,7 @@ class Encoder:
     ENTRY = 180        # bytes of a cache entry beside its characters and ids
     WINDOW = 1 << 20   # characters of a text that are looked at together
 
-    def __init__(self, path: str, max_bytes: int = 128 << 20):
+    def __init__(self, path: str, max_bytes: int = 96 << 20):
         self.tok = load(path)
         self.cut = cuttable(self.tok)
         self.max_bytes, self.used = max_bytes, 0
@@ -80,8 +78,10 @@ class Encoder:
     def _learn(self, kind: int, pieces: list[str]) -> None:
         """Encode new pieces.  Plain ones behind a space are written one behind the other, and a token with
         a space begins the next one: a call of the library costs more than a short piece."""
-        plain = [p for p in pieces if kind and _PLAIN.fullmatch(p)]
-        other = [p for p in pieces if not (kind and _PLAIN.fullmatch(p))]
+        plain, other = [], []
+        for p in pieces:
+            solid = kind and p and " " not in p and not p[0].isspace() and not p[-1].isspace()
+            (plain if solid else other).append(p)
         made = list(zip(other, self._raw([" " * kind + p for p in other])))
         for lo in range(0, len(plain), 2048):
             part = plain[lo:lo + 2048]
@@ -103,11 +103,10 @@ class Encoder:
         got = list(map(young.get, pieces))
         if None in got:
             lost = {p for p, ids in zip(pieces, got) if ids is None}
-            back = [(p, old[p]) for p in lost & old.keys()]
+            back = [(p, ids) for p in lost if (ids := old.get(p)) is not None]
             self._hold(kind, back)
-            lost.difference_update(old)
-            if lost:
-                self._learn(kind, list(lost))
+            if len(back) < len(lost):
+                self._learn(kind, [p for p in lost if p not in old])
             got = [young[p] if ids is None else ids for p, ids in zip(pieces, got)]
         return got
 

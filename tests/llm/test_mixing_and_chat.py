@@ -15,7 +15,8 @@ from eventide.llm import mixing as M
 
 def draw(doc_id, mean):
     u = (int(hashlib.sha256(f"{M.SEED}|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) + 0.5) * 2.0 ** -52
-    return sum(p <= u for p in M.poisson_cdf(mean))
+    first, cdf = M.poisson_cdf(mean)
+    return first + sum(p <= u for p in cdf)
 
 
 def test_copies_equal_brute_force(odd_docs, no_docs):
@@ -45,8 +46,31 @@ def test_targets_are_met(spark):
 @settings(max_examples=30, deadline=None)
 @given(st.floats(0, 500))
 def test_distribution_function(mean):
-    p = M.poisson_cdf(mean)
-    assert all(a <= b for a, b in zip(p, p[1:])) and abs(p[-1] - 1) < 1e-9
+    first, p = M.poisson_cdf(mean)
+    assert (first == 0 or mean > 144) and all(a <= b for a, b in zip(p, p[1:])) and abs(p[-1] - 1) < 1e-9
+
+
+def test_columns_with_clashing_names_stay(spark):
+    docs = spark.createDataFrame([(i, "s", "x", i, f"r{i}", 2.0, 7) for i in range(50)],
+                                 "doc_id long, source string, _mix_u string, _mix_copy long, _mix_rate string, "
+                                 "_MIX_order double, s int")
+    prefix = M.free_prefix(docs)
+    out = M.replicate(docs, size=3.0)
+    assert out.columns == docs.columns + [f"{prefix}{c}" for c in ("rate", "copies", "copy", "order")]
+    rows = out.collect()
+    assert len(rows) > 80 and all((r._mix_u, r._mix_copy, r._mix_rate, r._MIX_order, r.s) == ("x", r.doc_id, f"r{r.doc_id}", 2.0, 7)
+                                  for r in rows)
+
+
+def test_a_document_of_very_many_copies(spark):
+    """One document in a source that is to fill half of the output."""
+    docs = spark.range(200_000).selectExpr("id AS doc_id", "if(id = 17, 'rare', 'rest') AS source")
+    out = M.replicate(docs).groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("_mix_copy").alias("d"),
+                                                  F.max("_mix_copy").alias("top")).collect()
+    n = {r.source: r for r in out}
+    assert abs(n["rare"].n - 100_000) < 2_000 and n["rare"].n == n["rare"].d == n["rare"].top == draw(17, 100_000.0)
+    first, cdf = M.poisson_cdf(1e8)
+    assert len(cdf) < 250_000 and first > 99_000_000
 
 
 # --- chat ------------------------------------------------------------------------
@@ -56,7 +80,7 @@ def test_any_number_of_sources(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
     cols = ["doc_id", "source", "_mix_rate", "_mix_copies", "_mix_copy", "_mix_order"]
     few = [sorted(map(str, M.replicate(docs, t).select(cols).collect())) for t in (None, {"s1": 3.0, "s2": 1.0})]
-    monkeypatch.setattr(M, "MAX_SOURCES", 2)
+    monkeypatch.setattr(M, "BROADCAST_VALUES", 2)
     assert [sorted(map(str, M.replicate(docs, t).select(cols).collect())) for t in (None, {"s1": 3.0, "s2": 1.0})] == few
     assert len(few[0]) > 500 and len(few[1]) > 500
 

@@ -79,6 +79,15 @@ def test_small_blocks_give_the_same_links(near_docs, monkeypatch):
     assert {tuple(r) for r in W.near_duplicates(df).select("doc_id", "class_id", "n_links").collect()} == whole
 
 
+def test_null_ids_sort_last_in_their_group(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, text), (5, text), (7, text), (7, text), (None, "a b c d e f"), (None, "a b c d e f")],
+                                 "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.n_links, r.n_group) for r in W.near_duplicates(docs).collect()), key=str)
+    assert got == [(5, 5, 3, 4), (7, 5, 3, 4), (7, 5, 3, 4), (None, 5, 3, 4), (None, None, 1, 2), (None, None, 1, 2)]
+    assert sorted(((r.doc_id, r.text) for r in W.deduplicated(docs).collect()), key=str) == [(5, text), (None, "a b c d e f")]
+
+
 def test_odd_documents(odd_docs, no_docs):
     rows = W.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
