@@ -128,7 +128,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
                     held += len(r)
         if raw:
             yield flush()
-        forget()        # the worker lives on and decodes next: give the cache back
 
     (map_stream(rows, segments, SEGMENTS).write.option("compression", "none")
      .option("parquet.block.size", 4 << 20).parquet(path))

@@ -58,7 +58,7 @@ class Encoder:
     ENTRY = 180        # bytes of a cache entry beside its characters and ids
     WINDOW = 1 << 20   # characters of a text that are looked at together
 
-    def __init__(self, path: str, max_bytes: int = 96 << 20):
+    def __init__(self, path: str, max_bytes: int = 256 << 20):
         self.tok = load(path)
         self.cut = cuttable(self.tok)
         self.max_bytes, self.used = max_bytes, 0
