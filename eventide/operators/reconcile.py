@@ -131,15 +131,17 @@ def reconcile_one_to_one(left: DataFrame, right: DataFrame, key: str, left_ts: s
     without an id match nothing; they go round the window passes.
     """
     def side(df, ts, seq, no):
-        return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), epoch_micros(df, ts).alias("_us"),
+        us = F.col(ts) if timeout is None else epoch_micros(df, ts)     # any ordered type without a timeout
+        return df.select(F.col(key).alias("_k"), F.col(ts).alias("_ts"), us.alias("_us"),
                          F.lit(no).alias("_side"), (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"))
 
     events = side(left.filter(nonempty_key(left, key)), left_ts, left_seq, 0).unionByName(
         side(right.filter(nonempty_key(right, key)), right_ts, right_seq, 1))
     order = Window.partitionBy("_k").orderBy("_us", "_side", "_seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.col("_us") - F.lag("_us").over(order)
-    near = gap.isNotNull() if timeout is None else F.coalesce(gap <= duration_us(timeout), F.lit(False))
+    last_us = F.lag("_us").over(order)
+    near = (F.lag("_no").over(order).isNotNull() if timeout is None
+            else F.coalesce(F.col("_us") - last_us <= duration_us(timeout), F.lit(False)))
     rows = (events.withColumn("_no", F.row_number().over(order)).withColumn("_near", near)
             .withColumn("_turn", F.col("_near") & (F.lag("_side").over(order) != F.col("_side")))
             .withColumn("_from", F.max(F.when(~F.col("_turn"), F.col("_no"))).over(so_far))
