@@ -11,9 +11,13 @@ two value states and timers:
   within +-tolerance of the payment (an outer interval join); otherwise both
   rows are reported unmatched.
 
-Plan: one sort-merge (or AQE-chosen) full outer join on the id; the interval
-is a join condition evaluated inside the join, not a filter after it.  Ids
-are taken as unique per side, as the reference's single value state
+Plan without a tolerance: one sort-merge (or AQE-chosen) full outer join on
+the id.  With one, the join is on (id, stretch of time), so that an id with
+very many events is spread over its stretches: a payment lies in one stretch of
+``STRETCH`` tolerances, a receipt is copied into the next one where a payment
+there could be in reach.  Each pair is thus met once.  Copies that stay alone
+are counted by (id, time): a receipt is unmatched if it is in all its stretches.
+Ids are taken as unique per side, as the reference's single value state
 assumes; ``dedupe=True`` first keeps the latest event per id and side.
 """
 
@@ -29,6 +33,9 @@ MATCHED = "matched"
 UNMATCHED_LEFT = "unmatched_pay"
 UNMATCHED_RIGHT = "unmatched_receipt"
 
+# Length of a stretch of time in tolerances: a receipt has 1 + 2 / STRETCH copies on average.
+STRETCH = 8
+
 
 def nonempty_key(df: DataFrame, key: str) -> Column:
     """The reference drops events whose transaction id is ``""``; a NULL
@@ -62,20 +69,49 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_ts: str,
         lf = latest_per_key(lf, "_lk", left_ts)
         named = nonempty_key(rt, "_rk")
         rt = latest_per_key(rt.filter(named), "_rk", right_ts).unionByName(rt.filter(~named))
-    lf, rt = lf.withColumn("_l", F.lit(True)), rt.withColumn("_r", F.lit(True))
-    cond = F.col("_lk") == F.col("_rk")
     if tolerance is not None:
-        tol = duration_us(tolerance)
-        lus, rus = epoch_micros(lf, left_ts), epoch_micros(rt, right_ts)
-        lf = lf.withColumn("_lus", lus)
-        rt = rt.withColumn("_rus", rus)
-        cond = cond & F.col("_rus").between(F.col("_lus") - tol, F.col("_lus") + tol)
-    j = lf.join(rt, cond, "full_outer")
-    status = (F.when(F.col("_l") & F.col("_r"), F.lit(MATCHED))
-              .when(F.col("_r").isNull(), F.lit(UNMATCHED_LEFT))
-              .otherwise(F.lit(UNMATCHED_RIGHT)))
-    return j.select(F.coalesce("_lk", "_rk").alias(key), left_ts, right_ts,
-                    status.alias("status"))
+        return _band_join(lf, rt, key, left_ts, right_ts, duration_us(tolerance))
+    lf, rt = lf.withColumn("_l", F.lit(True)), rt.withColumn("_r", F.lit(True))
+    j = lf.join(rt, F.col("_lk") == F.col("_rk"), "full_outer")
+    return j.select(F.coalesce("_lk", "_rk").alias(key), left_ts, right_ts, _status().alias("status"))
+
+
+def _status() -> Column:
+    return (F.when(F.col("_l") & F.col("_r"), F.lit(MATCHED))
+            .when(F.col("_r").isNull(), F.lit(UNMATCHED_LEFT))
+            .otherwise(F.lit(UNMATCHED_RIGHT)))
+
+
+def _band_join(lf, rt, key, left_ts, right_ts, tol):
+    """Full outer join on the id and ``|left - right| <= tol``, by (id, stretch of time).
+
+    A row without a time, or a receipt without an id, meets nothing and is unmatched.
+    """
+    width = STRETCH * max(tol, 1)
+    lf = (lf.withColumn("_lus", epoch_micros(lf, left_ts)).withColumn("_l", F.lit(True))
+          .withColumn("_lb", floor_div(F.col("_lus"), width)))
+    rt = rt.withColumn("_rus", epoch_micros(rt, right_ts)).withColumn("_r", F.lit(True))
+    able = F.col("_rk").isNotNull() & F.col("_rus").isNotNull()
+    lo, hi = (floor_div(F.col("_rus") + d, width) for d in (-tol, tol))
+    copies = (rt.filter(able).withColumn("_lo", lo).withColumn("_hi", hi)
+              .withColumn("_rb", F.explode(F.sequence("_lo", "_hi"))))
+    cond = ((F.col("_lk") == F.col("_rk")) & (F.col("_lb") == F.col("_rb"))
+            & F.col("_rus").between(F.col("_lus") - tol, F.col("_lus") + tol))
+    # the copies' stretch, and whether there are two of them, are told apart only where a copy stayed alone
+    j = lf.join(copies, cond, "full_outer").select(
+        F.coalesce("_lk", "_rk").alias(key), left_ts, right_ts, "_l", "_r", "_lo", "_hi", "_rb")
+    sure = F.col("_l").isNotNull() | (F.col("_lo") == F.col("_hi"))
+    done = j.filter(sure).select(key, left_ts, right_ts, _status().alias("status"))
+    first = F.col("_rb") == F.col("_lo")
+    alone = (j.filter(F.col("_l").isNull() & (F.col("_lo") != F.col("_hi"))).groupBy(key, right_ts)
+             .agg(F.count_if(first).alias("_n"), F.count_if(~first).alias("_m"))
+             .filter((F.col("_n") > 0) & (F.col("_m") > 0)))
+    blank = F.lit(None).cast(lf.schema[left_ts].dataType).alias(left_ts)
+    lonely = F.lit(UNMATCHED_RIGHT).alias("status")
+    alone = (alone.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+             .select(key, blank, right_ts, lonely))
+    unable = rt.filter(~able).select(F.col("_rk").cast(done.schema[key].dataType).alias(key), blank, right_ts, lonely)
+    return done.unionByName(alone).unionByName(unable)
 
 
 def split_outputs(tagged: DataFrame, tag: str = "status") -> dict[str, DataFrame]:

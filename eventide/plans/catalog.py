@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.time import epoch_micros, floor_div, from_micros, ts_text
-from eventide.operators.distinct import window_distinct
+from eventide.operators.distinct import sliding_distinct, window_distinct
 from eventide.operators.ratelimit import BLACKLIST_MSG, rate_limit
 from eventide.operators.report import ranked_report, region_report
 from eventide.operators.reconcile import reconcile, reconcile_one_to_one, window_join
@@ -24,6 +24,8 @@ from eventide.operators.topn import top_n
 from eventide.operators.windows import tumbling_count, window_count
 from eventide.plans import bindings as B
 from eventide.streaming import jobs as SJ
+from eventide.streaming.bloom import distinct_bloom_stream
+from eventide.streaming.upsert import UpsertTable
 from eventide.session import scratch_path
 from eventide.sources.files import WEBLOG_TIME_FORMAT, parse_delimited, parse_weblog, read_lines
 from eventide.streaming.sinks import side_output_writer
@@ -172,6 +174,32 @@ def unique_visitors_hll(spark, sf_dir):
     return _uv(spark, sf_dir, "hll")
 
 
+# Visitors of the last hour, every 5 minutes, from parts per pane.
+M5 = 300_000_000
+SLIDING_UV_SQL = f"""
+WITH w AS (SELECT DISTINCT user_id, epoch_us(ts) // {M5} - j AS s
+           FROM events, range({H // M5}) t(j) WHERE event_type = 'view'),
+c AS (SELECT s, count(user_id) AS uv FROM w GROUP BY s)
+SELECT {_bounds_sql(M5, H)}, uv FROM c
+"""
+
+
+def _sliding_uv(spark, sf_dir, method):
+    ev = B.behavior_events(spark, sf_dir).filter(F.col("behavior") == "view")
+    return sliding_distinct(ev, "user_id", "ts", "1 hour", "5 minutes", method=method)
+
+
+@register("unique_visitors_sliding", SLIDING_UV_SQL)
+def unique_visitors_sliding(spark, sf_dir):
+    return _sliding_uv(spark, sf_dir, "bitmap")
+
+
+# As for unique_visitors_hll: exact at the test tables' counts, an estimate at large ones.
+@register("unique_visitors_sliding_hll", SLIDING_UV_SQL)
+def unique_visitors_sliding_hll(spark, sf_dir):
+    return _sliding_uv(spark, sf_dir, "hll")
+
+
 # --------------------------------------------------------------------------
 # J6 click cap: per (user, type, day) the first 2 events pass, the third
 # raises a blacklist row; then counts per type of the passed rows, 1 h / 5 s.
@@ -590,6 +618,14 @@ def stream_unique_visitors(spark, sf_dir):
                            "unique_visitors")
 
 
+# A5, A6 on a stream in bounded memory; at the test tables' counts no id is taken for another.
+@register("stream_unique_visitors_bloom",
+          f"SELECT * FROM ({_uv_sql('user_id')}) q WHERE window_end <= {_MAX_VIEW}")
+def stream_unique_visitors_bloom(spark, sf_dir):
+    views = B.behavior_stream(spark, sf_dir).filter(F.col("behavior") == "view")
+    return SJ.run_to_files(distinct_bloom_stream(SJ.event_time(views, "ts"), "user_id", fpp=1e-6), "uv_bloom")
+
+
 @register("stream_hot_items",
           f"SELECT * FROM ({HOT_ITEMS_SQL}) q WHERE window_end <= {_MAX_VIEW}")
 def stream_hot_items(spark, sf_dir):
@@ -739,16 +775,18 @@ def stream_window_join(spark, sf_dir):
                            "window_join")
 
 
-UPSERT_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampNTZType()),
-                              T.StructField("window_end", T.TimestampNTZType()),
-                              T.StructField("bucket", T.LongType()),
-                              T.StructField("bm", T.BinaryType())])
+def _upserted(spark, updates, name, keys):
+    """Merge an update-mode stream into a compacted table and read it."""
+    def merge(batch, batch_id, base):
+        UpsertTable(f"{base}/table", keys, updates.schema).upsert(batch, batch_id)
+
+    base = SJ.run_foreach_batch(updates, name, merge, "update")
+    return UpsertTable(f"{base}/table", keys, updates.schema).read(spark)
 
 
 def _upserted_uv(spark, sf_dir, name, one_hash):
-    base = SJ.run_foreach_batch(SJ.uv_bitmap_updates(B.behavior_stream(spark, sf_dir), one_hash),
-                                name, SJ.upsert_by_key, "update")
-    latest = SJ.read_upserted(spark, base, ["window_start", "bucket"], UPSERT_SCHEMA)
+    updates = SJ.uv_bitmap_updates(B.behavior_stream(spark, sf_dir), one_hash)
+    latest = _upserted(spark, updates, name, ["window_start", "bucket"])
     return (latest.groupBy("window_start", "window_end")
             .agg(F.sum(F.bitmap_count("bm")).alias("uv")))
 
@@ -826,6 +864,16 @@ def stream_hot_urls(spark, sf_dir):
     return SJ.run_to_files(SJ.hot_urls_stream(logs), "hot_urls")
 
 
+# Ranked 1 s behind the newest row, from pane counts that late rows correct for a minute.
+@register("stream_hot_urls_corrected",
+          f"SELECT * FROM ({HOT_URLS_SQL}) q WHERE window_end <= "
+          f"(SELECT max(ts) FROM events WHERE event_type <> 'signup') - INTERVAL 1 SECOND")
+def stream_hot_urls_corrected(spark, sf_dir):
+    logs = B.weblog_view(B.behavior_stream(spark, sf_dir)).filter(~F.col("url").contains(URL_EXCLUDE))
+    updates, _ = SJ.hot_urls_table(logs, "")
+    return SJ.rank_hot_urls(_upserted(spark, updates, "hot_urls_corrected", ["url", "pane"]))
+
+
 @register("stream_rate_limited_counts",
           f"SELECT * FROM ({RATE_COUNTS_SQL}) q WHERE window_end <= {_MAX_ALL}")
 def stream_rate_limited_counts(spark, sf_dir):

@@ -22,10 +22,13 @@ from eventide.functions.time import duration_us, epoch_micros, from_micros
 from eventide.functions.hashing import poly_hash
 from eventide.operators.reconcile import (MATCHED, SUPERSEDED_LEFT, SUPERSEDED_RIGHT, UNMATCHED_LEFT,
                                           UNMATCHED_RIGHT, nonempty_key)
+from eventide.operators.topn import top_n
+from eventide.operators.windows import window_count
 from eventide.session import path_kind, scratch_path
 from eventide.streaming.ordered import BurstProcessor, CapProcessor, OneToOneProcessor
 from eventide.streaming.processors import (FollowedByProcessor, ProcessingTimeCapProcessor,
                                            RepeatProcessor, SlidingCountProcessor)
+from eventide.streaming.upsert import UpsertTable
 
 log = logging.getLogger(__name__)
 
@@ -281,6 +284,33 @@ def hot_urls_stream(logs: DataFrame, n: int = 5, size: str = "10 minutes",
     return top_n_stream(wins, "url", "views", n, slide)
 
 
+def pane_counts_stream(timed: DataFrame, keys: list[str], slide: str) -> DataFrame:
+    """Update-mode counts per key and slide-wide pane: keys, pane (its start), n, last_ts (newest row in it)."""
+    panes = (timed.groupBy(*keys, F.window("event_time", slide).alias("w"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("last_ts")))
+    return panes.select(*keys, to_ntz(F.col("w.start")).alias("pane"), "n", to_ntz("last_ts").alias("last_ts"))
+
+
+def hot_urls_table(logs: DataFrame, path: str, slide: str = "5 seconds", delay: str = "61 seconds",
+                   buckets: int = 32) -> tuple[DataFrame, UpsertTable]:
+    """Pane counts that late rows still correct, as a stream and the table it is to be merged into.
+
+    A pane is corrected until the watermark (``delay`` behind the newest row) has
+    passed it; :func:`rank_hot_urls` gives the ranking of what is there.
+    """
+    updates = pane_counts_stream(event_time(logs, "ts", delay), ["url"], slide)
+    return updates, UpsertTable(path, ["url", "pane"], updates.schema, buckets)
+
+
+def rank_hot_urls(panes: DataFrame, n: int = 5, size: str = "10 minutes", slide: str = "5 seconds",
+                  first: str = "1 second") -> DataFrame:
+    """The ranking now: windows that end ``first`` or more before the newest row, with all late rows so far."""
+    newest = panes.agg(F.max("last_ts")).scalar()
+    wins = window_count(panes, "url", "pane", size, slide, value="n", name="views")
+    ready = wins.filter(F.col("window_end") <= newest - F.expr(f"INTERVAL {first}"))
+    return top_n(ready, "url", n, count_col="views").select("window_start", "window_end", "rank", "url", "views")
+
+
 def page_views_stream(events: DataFrame) -> DataFrame:
     """J3 on a stream: tumbling hour count of views."""
     views = event_time(events.filter(F.col("behavior") == "view"), "ts")
@@ -515,7 +545,8 @@ def upsert_by_key(batch: DataFrame, batch_id: int, base: str) -> None:
 
     Versions are partitions, overwritten dynamically, so a replayed batch
     replaces itself (idempotent).  Readers take the newest version per key
-    (:func:`read_upserted`)."""
+    (:func:`read_upserted`) from all that was ever written; ``UpsertTable``
+    keeps current rows only."""
     (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(f"{base}/table"))
