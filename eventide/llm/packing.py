@@ -19,8 +19,12 @@ can be short of ``window`` tokens; padding is under one window in all.
 
 Defined cases: null text is empty (one end id); a null source is a queue of
 its own; rows that repeat are documents of their own; an empty table gives
-no piece.  The number of sources is that of a mixture: above
-``MAX_SOURCES`` an error is raised.
+no piece; columns beside the three named ones play no part.  Very long texts
+are encoded in windows, the ids of one document are held whole in a task.
+
+A mixture has up to ``MAX_SOURCES`` queues.  With more sources, those with the
+most documents have a queue each and all others share one more, in the order
+of (source, doc_id), with their targets added up: nothing is left out.
 """
 
 from __future__ import annotations
@@ -68,9 +72,10 @@ class Schedule:
         """Grains each source has served after the given rounds: one row per round."""
         return np.minimum(self.full, rounds[:, None] * self.q // (self.grain * UNIT))
 
-    def place(self, source: np.ndarray, grain_no: np.ndarray, step: int = 65_536) -> np.ndarray:
+    def place(self, source: np.ndarray, grain_no: np.ndarray, cells: int = 1 << 22) -> np.ndarray:
         """Token position of the start of grains (the tail counts as grain number ``full``)."""
         out = np.empty(len(source), np.int64)
+        step = max(1, cells // max(1, len(self.q)))      # grains times sources at once
         for lo in range(0, len(source), step):
             s, j = source[lo:lo + step], grain_no[lo:lo + step]
             need = self.grain * UNIT
@@ -84,15 +89,30 @@ class Schedule:
         return out
 
 
+def own_queues(docs: DataFrame, source: str) -> list[str | None] | None:
+    """The sources with queues of their own; None if every source has one."""
+    s = F.col(source).cast("string").alias("s")
+    top = (docs.groupBy(s).agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), F.col("s").asc_nulls_first()).limit(MAX_SOURCES + 1).collect())
+    return None if len(top) <= MAX_SOURCES else [r.s for r in top[:MAX_SOURCES - 1]]
+
+
 def queue_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text: str,
-                source: str) -> DataFrame:
-    """Token queues, written once: part, source, doc_id, pos (tokens before it in its part's share
-    of the queue), n, ids (bit-packed)."""
+                source: str) -> tuple[DataFrame, list[str | None] | None]:
+    """Token queues, written once: part, rest (in the shared queue), source, doc_id, pos (tokens before it in
+    its part's share of the queue), n, ids (bit-packed); and the sources with queues of their own."""
     bits = width(max(load(tokenizer).get_vocab_size(), end_id + 1))
     rows = docs.select(F.col(source).cast("string").alias("s"), F.col(id_col).cast("long").alias("d"),
                        text_col(text).alias("t"))
-    rows = (rows.repartitionByRange(partitions(docs.sparkSession), "s", "d")
-            .sortWithinPartitions("s", "d", "t"))
+    own = own_queues(docs, source)
+    if own is None:
+        rows = rows.withColumn("rest", F.lit(False))
+    else:
+        names = docs.sparkSession.createDataFrame([(x,) for x in own], "own string").withColumn("found", F.lit(True))
+        rows = (rows.join(names, F.col("s").eqNullSafe(F.col("own")), "left")
+                .select("s", "d", "t", F.col("found").isNull().alias("rest")))
+    rows = (rows.repartitionByRange(partitions(docs.sparkSession), "rest", "s", "d")
+            .sortWithinPartitions("rest", "s", "d", "t"))
 
     def run(batches):
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
@@ -100,18 +120,23 @@ def queue_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text:
         at: dict = {}
         for b in batches:
             for rows_ in text_slices(b, 2):
-                s, d, t = (rows_.column(i).to_pylist() for i in range(3))
+                s, d, t, rest = (rows_.column(i).to_pylist() for i in range(4))
                 raw = [r + end for r in enc.encode(t)]
                 pos = []
-                for key, r in zip(s, raw):
+                for key, r in zip(map(queue_of, rest, s), raw):
                     pos.append(at.get(key, 0))
                     at[key] = pos[-1] + len(r) // 4
-                yield {"part": [part] * len(s), "source": s, "doc_id": d, "pos": pos,
+                yield {"part": [part] * len(s), "rest": rest, "source": s, "doc_id": d, "pos": pos,
                        "n": [len(r) // 4 for r in raw], "bits": [bits] * len(s),
                        "ids": [pack_bits(np.frombuffer(r, "<u4"), bits) for r in raw]}
 
-    table = map_stream(rows, run, "part int, source string, doc_id long, pos long, n long, bits int, ids binary")
-    return write_work(table, "pack-queues", "none")[0]
+    table = map_stream(rows, run, "part int, rest boolean, source string, doc_id long, pos long, n long, bits int, ids binary")
+    return write_work(table, "pack-queues", "none")[0], own
+
+
+def queue_of(rest: bool, source: str | None) -> tuple[bool, str | None]:
+    """A row's queue: the shared one, or its source's."""
+    return rest, None if rest else source
 
 
 def pack(docs: DataFrame, targets: dict[str, float] | None = None, tokenizer: str | None = None,
@@ -126,25 +151,28 @@ def pack(docs: DataFrame, targets: dict[str, float] | None = None, tokenizer: st
     """
     if window % grain:
         raise ValueError("window must be a multiple of grain")
-    queues = queue_table(docs, tokenizer or default_tokenizer(), end_id, id_col, text, source)
-    # One row per part and source; parts are ranges of (source, doc_id), so about parts + sources rows.
-    sizes = (queues.groupBy("part", "source").agg(F.sum("n").alias("n"))
-             .orderBy("part", F.col("source").asc_nulls_first()).collect())
-    names = sorted({r.source for r in sizes}, key=lambda s: (s is not None, s))
-    if len(names) > MAX_SOURCES:
-        raise ValueError(f"{len(names)} sources; a mixture has at most {MAX_SOURCES}")
-    index = {s: i for i, s in enumerate(names)}
+    queues, own = queue_table(docs, tokenizer or default_tokenizer(), end_id, id_col, text, source)
+    # One row per part and queue; parts are ranges of (rest, source, doc_id), so about parts + queues rows.
+    sizes = (queues.groupBy("part", "rest", F.expr("if(rest, null, source)").alias("source")).agg(F.sum("n").alias("n"))
+             .orderBy("part", "rest", F.col("source").asc_nulls_first()).collect())
+    names = sorted({(r.rest, r.source) for r in sizes}, key=lambda k: (k[0], k[1] is not None, k[1] or ""))
+    index = {k: i for i, k in enumerate(names)}
     tokens, base = np.zeros(len(names), np.int64), {}
     for r in sizes:
-        base[r.part, r.source] = int(tokens[index[r.source]])
-        tokens[index[r.source]] += r.n
-    shares = tokens if targets is None else [targets.get(s, 0.0) for s in names]
+        key = (r.rest, r.source)
+        base[r.part, key] = int(tokens[index[key]])
+        tokens[index[key]] += r.n
+    shares = tokens
+    if targets is not None:
+        others = sum(w for s, w in targets.items() if own is not None and s not in set(own))
+        shares = [others if rest else targets.get(s, 0.0) for rest, s in names]
     plan = Schedule.of(tokens, shares, window, grain)
 
     def cut(b):
-        part, src, doc, pos, n, bits, packed = (b.column(i).to_pylist() for i in range(7))
-        s = np.fromiter((index[x] for x in src), np.int64, len(src))
-        lo = np.fromiter((base[p, x] for p, x in zip(part, src)), np.int64, len(src)) + np.asarray(pos, np.int64)
+        part, rest, src, doc, pos, n, bits, packed = (b.column(i).to_pylist() for i in range(8))
+        keys = list(map(queue_of, rest, src))
+        s = np.fromiter((index[x] for x in keys), np.int64, len(src))
+        lo = np.fromiter((base[p, x] for p, x in zip(part, keys)), np.int64, len(src)) + np.asarray(pos, np.int64)
         n = np.asarray(n, np.int64)
         j0, j1 = lo // grain, (lo + n - 1) // grain
         per = j1 - j0 + 1

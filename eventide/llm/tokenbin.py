@@ -35,6 +35,8 @@ from .tokens import default_tokenizer, encoder, load, text_slices
 
 MAGIC = b"TBP1"
 BLOCK = 8192
+# Bytes of pieces and ids a worker keeps while it encodes.
+CACHE = 64 << 20
 
 
 def width(vocab_size: int) -> int:
@@ -104,7 +106,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
 
     def segments(batches):
         shard, seg, first = TaskContext.get().partitionId(), 0, 0
-        enc, end = encoder(tokenizer), np.uint32(end_id).tobytes()
+        enc, end = encoder(tokenizer, CACHE), np.uint32(end_id).tobytes()
         ids, raw, held = [], [], 0
 
         def flush():

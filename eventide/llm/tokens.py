@@ -147,8 +147,8 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    return per_worker(("encoder", path), lambda: Encoder(path))
+def encoder(path: str, max_bytes: int = 256 << 20) -> Encoder:
+    return per_worker(("encoder", path, max_bytes), lambda: Encoder(path, max_bytes))
 
 
 def groups_of(sizes: list[int], most: int):

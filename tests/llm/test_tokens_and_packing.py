@@ -134,3 +134,29 @@ def test_windows_follow_the_targets():
     for lo in range(0, 250_000, 2048):
         n = [sum(1 for p, s in place if s == k and lo <= p < lo + 2048) for k in range(3)]
         assert abs(n[2] - 16) <= 2 and abs(n[0] - n[1]) <= 2
+
+
+def test_more_sources_than_queues(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_SOURCES", 3)
+    rows = [(i, f"words of number {i} " * (i % 7 + 1), ["big", "big", "big", "mid", "mid", None, "a", "b", "c"][i % 9], i)
+            for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, rest int")
+    assert P.own_queues(docs, "source") == ["big", "mid"]
+    pieces = P.pack(docs, targets={"big": 1, "mid": 2, "a": 1, "b": 1}, window=256, grain=32).collect()
+    ids, seqs = {}, {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == len(ids.setdefault(r.doc_id, b"")) // 4 and r.source == rows[r.doc_id][2]
+        ids[r.doc_id] += r.ids
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    want = plain([r[1] for r in rows])
+    assert {d: np.frombuffer(x, "<u4").tolist() for d, x in ids.items()} == {i: x + [1] for i, x in enumerate(want)}
+    for k, parts in seqs.items():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and (ends[-1] == 256 or k == max(seqs))
+
+
+def test_places_do_not_depend_on_the_slice():
+    plan = P.Schedule.of([5000, 70, 333], [3, 1, 2], window=256, grain=64)
+    s = np.repeat(np.arange(3), plan.full)
+    j = np.concatenate([np.arange(n) for n in plan.full])
+    assert plan.place(s, j, cells=1).tolist() == plan.place(s, j).tolist()
