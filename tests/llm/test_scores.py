@@ -71,6 +71,46 @@ def test_gradient(words):
         assert abs((up - down) / 2e-3 - grad[at]) < 0.05 * abs(grad[at]) + 1e-4, k
 
 
+def plain_logit(p, gates, words):
+    """One window, word by word and number by number."""
+    h = X.HIDDEN
+    sig = lambda v: 1 / (1 + math.exp(-v))          # noqa: E731
+
+    def direction(u, col, order):
+        s, out = [0.0] * h, {}
+        for w in order:
+            g = gates[w][col:col + 3 * h]
+            z = [sig(g[i] + sum(s[k] * u[k][i] for k in range(h))) for i in range(h)]
+            r = [sig(g[h + i] + sum(s[k] * u[k][h + i] for k in range(h))) for i in range(h)]
+            c = [math.tanh(g[2 * h + i] + sum(r[k] * s[k] * u[k][2 * h + i] for k in range(h))) for i in range(h)]
+            s = [(1 - z[i]) * s[i] + z[i] * c[i] for i in range(h)]
+            out[w] = s
+        return out
+
+    fore = direction(p["uf"].tolist(), 0, words)
+    back = direction(p["ub"].tolist(), 3 * h, words[::-1])
+    states = [fore[w] + back[w] for w in words]
+    aw, ab, av = (p[k].tolist() for k in ("aw", "ab", "av"))
+    e = [sum(av[j] * math.tanh(ab[j] + sum(s[k] * aw[k][j] for k in range(2 * h))) for j in range(len(av))) for s in states]
+    share = [math.exp(v - max(e)) for v in e]
+    pooled = [sum(a * s[k] for a, s in zip(share, states)) / sum(share) for k in range(2 * h)]
+    return sum(x * w for x, w in zip(pooled, p["ow"].tolist())) + float(p["ob"][0])
+
+
+def test_forward_pass_equals_a_plain_loop(words):
+    net, f = X.Network(5), X.Features(words[:30])
+    net.p = {k: v.astype(np.float64) * 2 for k, v in net.p.items()}
+    net.p["ob"] = np.array([0.3])
+    gates = net.gates(net.inputs(f, np.random.default_rng(1).uniform(0, 1, (30, 2))).astype(np.float64))
+    lens = [12, 1, 7]
+    idx = np.zeros((3, X.WINDOW), int)
+    for i, n in enumerate(lens):
+        idx[i, :n] = np.arange(n) + 3 * i
+    got = net.run(gates, idx, np.arange(X.WINDOW)[None, :] < np.array(lens)[:, None])
+    want = [plain_logit(net.p, gates.tolist(), list(range(3 * i, 3 * i + n))) for i, n in enumerate(lens)]
+    assert np.allclose(got, want, atol=1e-4)
+
+
 def test_windows_cover_every_word():
     lens = np.array([0, 1, 64, 65, 112, 113, 1000])
     doc, first = X.windows(lens)
