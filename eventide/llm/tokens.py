@@ -23,6 +23,12 @@ from .common import per_worker
 # A space that follows white space: the cut before it is not safe.
 _RUN = re.compile(r"\s ")
 _SAFE_CUT = re.compile(r"(?<=\S) ")
+# Latin letters (all of category L) and ASCII punctuation without the apostrophe, which can begin a contraction.
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "!-&(-/:-@\\[-`{-~"
+# A piece of lines of one word each; the library's split leaves exactly these runs of it.
+_PLAIN = re.compile(f"([{_LETTERS}]+)[{_MARKS}]*(?:\n[{_LETTERS}]+[{_MARKS}]*)*")
+_RUNS = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n")
+_MARK_LETTER = re.compile(f"[{_MARKS}][{_LETTERS}]")
 
 
 def default_tokenizer() -> str:
@@ -46,6 +52,13 @@ def cuttable(tok) -> bool:
             and not pre.add_prefix_space and pre.use_regex)
 
 
+def letter_of_byte() -> dict[int, str]:
+    """The letter a byte-level vocabulary writes for every byte: itself if printable, else numbered from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """``encode(texts)`` -> one ``bytes`` of little-endian unsigned 32-bit ids per text.
 
@@ -65,46 +78,60 @@ class Encoder:
         # pieces that begin a text; pieces behind a space, which their keys leave out
         self.young: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        letters = self.tok.get_vocab()
-        # ids of tokens that begin with a space (in a byte-level vocabulary U+0120 stands for it)
-        self.spaced = np.zeros(max(letters.values(), default=0) + 1, bool)
-        self.spaced[[i for t, i in letters.items() if t[0] == "\u0120"]] = True
+        self.model = self.tok.model
+        self.letters, self.space = str.maketrans(letter_of_byte()), letter_of_byte()[ord(" ")]
+        # no plain piece has a letter right behind a mark, so it can't hold a special string that has one
+        self.plain = self.cut and all(_MARK_LETTER.search(t.content)
+                                      for t in self.tok.get_added_tokens_decoder().values())
 
     def _raw(self, texts: list[str], step: int = 2048) -> list[bytes]:
         # in slices: the library's results are far larger than the ids
         return [array("I", e.ids).tobytes() for lo in range(0, len(texts), step)
                 for e in self.tok.encode_batch_fast(texts[lo:lo + step], add_special_tokens=False)]
 
+    def _runs(self, kind: int, runs: list[str]) -> list[bytes]:
+        """The ids of runs of plain pieces, by the library's model: a call of the whole library costs more."""
+        young, old, tokenize = self.young[kind], self.old[kind], self.model.tokenize
+        new = [r for r in dict.fromkeys(runs) if r not in young and r not in old]
+        if new:
+            # no run holds a space, so the letter of a space parts them
+            words = " ".join(new).encode().decode("latin-1").translate(self.letters).split(self.space)
+            if kind:
+                words = [self.space + w for w in words]
+            self._hold(kind, new, [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words])
+        return [young.get(r) or old[r] for r in runs]
+
     def _learn(self, kind: int, pieces: list[str]) -> None:
-        """Encode new pieces.  Plain ones behind a space are written one behind the other, and a token with
-        a space begins the next one: a call of the library costs more than a short piece."""
-        plain, other = [], []
+        """Encode new pieces: plain ones run by run, others by the whole library."""
+        first, rest, whole, other = [], [], [], []
         for p in pieces:
-            solid = kind and p and " " not in p and not p[0].isspace() and not p[-1].isspace()
-            (plain if solid else other).append(p)
-        made = list(zip(other, self._raw([" " * kind + p for p in other])))
-        for lo in range(0, len(plain), 2048):
-            part = plain[lo:lo + 2048]
-            ids = np.asarray(self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(self.spaced[ids])
-            if len(at) != len(part):
-                raise ValueError("a piece of a text does not begin with one space")
-            ends = [*(4 * at[1:]).tolist(), 4 * len(ids)]
-            raw = ids.tobytes()
-            made += zip(part, [raw[a:b] for a, b in zip((4 * at).tolist(), ends)])
-        self._hold(kind, made)
-
-    def _hold(self, kind: int, made: list[tuple[str, bytes]]) -> None:
-        self.young[kind].update(made)
-        self.used += sum(self.ENTRY + len(p) + len(ids) for p, ids in made)
+            if self.plain and (m := _PLAIN.fullmatch(p)):
+                whole.append(p)
+                first.append(m[1])
+                rest.append(p[m.end(1):])
+            else:
+                other.append(p)
+        if other:
+            self._hold(kind, other, self._raw([" " * kind + p for p in other]))
+        tails = {r: _RUNS.findall(r) for r in set(rest)}
+        known = list({x for runs in tails.values() for x in runs})
+        ids = dict(zip(known, self._runs(0, known)))
+        ends = {r: b"".join([ids[x] for x in runs]) for r, runs in tails.items()}
+        made = [(p, a + ends[r]) for p, a, r in zip(whole, self._runs(kind, first), rest) if r]
+        if made:
+            self._hold(kind, *map(list, zip(*made)))
+
+    def _hold(self, kind: int, pieces: list[str], ids: list[bytes]) -> None:
+        self.young[kind].update(zip(pieces, ids))
+        self.used += self.ENTRY * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
 
     def _ids(self, kind: int, pieces: list[str]) -> list[bytes]:
         young, old = self.young[kind], self.old[kind]
         got = list(map(young.get, pieces))
         if None in got:
             lost = {p for p, ids in zip(pieces, got) if ids is None}
-            back = [(p, ids) for p in lost if (ids := old.get(p)) is not None]
-            self._hold(kind, back)
+            back = [p for p in lost if p in old]
+            self._hold(kind, back, [old[p] for p in back])
             if len(back) < len(lost):
                 self._learn(kind, [p for p in lost if p not in old])
             got = [young[p] if ids is None else ids for p, ids in zip(pieces, got)]

@@ -22,6 +22,12 @@ def test_word_cache_gives_the_library_ids(texts):
     assert got == plain(texts)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="aTéßÿɏ×ж \n.,'s\"<|>²\u0345", max_size=40), max_size=6))
+def test_plain_pieces_get_the_library_ids(texts):
+    assert ids_of(T.Encoder(T.default_tokenizer()), texts) == plain(texts)
+
+
 def ids_of(enc, texts):
     return [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
 
