@@ -4,6 +4,9 @@ A byte-level BPE splits a text before every white-space run that follows a
 non-space character, so the piece between two such places gets the same ids
 alone as in its text.  Texts are cut there (at plain spaces only) and every
 distinct piece is encoded by the library once while the cache holds it.
+Pieces of Latin letters and punctuation alone are parted as the library's
+splitter parts them and given to its model run by run; all others go through
+the whole library.
 
 Special tokens' strings inside texts are encoded as the library does by
 default (one id); they hold no space, so no cut meets them.
