@@ -38,40 +38,19 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import json
-import re
-import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, map_stream, per_worker, text_col
-from .tokens import default_tokenizer, groups_of, load, text_slices
+from .tokens import (LETTER, NUMBER, OTHER, SPACE, UNKNOWN, Splitter, char_classes, default_tokenizer,  # noqa: F401
+                     groups_of, library_class, load, text_slices)
 
 CHUNK, WINDOW = 128, 1 << 19
 MAX_STATES = 250_000
 _BITS, _ITEM = 20, (1 << 20) - 1     # bits of a trie node and of a token in a state's entry
 _START = 1                           # state 0 is a lane at rest
-OTHER, LETTER, NUMBER, SPACE, UNKNOWN = 0, 1, 2, 3, 4
-# White space as the splitter's pattern has it (the Unicode property).
-_WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_CUT = re.compile(r"(?<=\S)[ \n]")
-
-
-def char_classes() -> np.ndarray:
-    """Letter, number, white space or other for every code point; unknown where Python's tables have none."""
-    kind = {"Cn": UNKNOWN, "L": LETTER, "N": NUMBER}
-    of = lambda c: kind.get(c, kind.get(c[0], OTHER))       # noqa: E731
-    out = np.fromiter((of(unicodedata.category(chr(c))) for c in range(0x110000)), np.uint8, 0x110000)
-    out[_WHITE] = SPACE
-    return out
-
-
-def library_class(splitter, char: str) -> int:
-    """The class that the library's own splitter gives a character newer than Python's tables."""
-    spans = [span for _, span in splitter.pre_tokenize_str("a" + char + "1")]
-    return LETTER if (0, 2) in spans else NUMBER if (1, 3) in spans else OTHER
 
 
 def byte_letters() -> dict[str, int]:
@@ -95,7 +74,7 @@ class Vocabulary:
             raise ValueError(f"{path}: only plain byte-level BPE files can be compiled")
         letters = byte_letters()
         special = {a["content"] for a in added}
-        self.special = sorted(special, key=len, reverse=True)
+        self.special = special
         self.bytes_of = {i: bytes(letters[c] for c in w) for w, i in model["vocab"].items() if w not in special}
         self.id_of = {w: i for i, w in self.bytes_of.items()}
         ids = model["vocab"]
@@ -234,50 +213,9 @@ class Counter:
 
     def __init__(self, path: str, chunk: int = CHUNK, window: int = WINDOW, max_states: int = MAX_STATES):
         self.vocab = Vocabulary(path)
-        self.splitter = load(path).pre_tokenizer
+        self.split = Splitter(load(path).pre_tokenizer, self.vocab.special, window)
         self.machine = Transducer(self.vocab, max_states)
-        self.classes = char_classes()
         self.chunk, self.window = chunk, window
-        self.special = re.compile("|".join(map(re.escape, self.vocab.special))) if self.vocab.special else None
-
-    def parts(self, text: str) -> Iterator[str]:
-        """Pieces of a text that are encoded alone: between special tokens, and windows of long texts."""
-        for piece in (self.special.split(text) if self.special else [text]):
-            lo = 0
-            while len(piece) - lo > self.window:
-                cut = _CUT.search(piece, lo + self.window)
-                if cut is None:
-                    break
-                yield piece[lo:cut.start()]
-                lo = cut.start()
-            if lo < len(piece):
-                yield piece[lo:]
-
-    def word_starts(self, chars: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """True where the splitter starts a word; ``begins`` is true at the first character of a part."""
-        kind, n = self.classes[chars], len(chars)
-        if (kind == UNKNOWN).any():
-            for c in np.unique(chars[kind == UNKNOWN]).tolist():
-                self.classes[c] = library_class(self.splitter, chr(c))
-            kind = self.classes[chars]
-        before, before_char = np.roll(kind, 1), np.roll(chars, 1)
-        goes_on = np.append(~begins[1:], False)                     # the part has a next character
-        white, was_white = kind == SPACE, before == SPACE
-        next_solid = np.append(kind[1:] != SPACE, False) & goes_on
-        start = np.where(was_white, np.where(white, next_solid, before_char != 32), white | (kind != before)) | begins
-        # 's 't 'm 'd 're 've 'll where the apostrophe starts a word
-        at = np.flatnonzero((chars == 39) & start & (begins | (before_char != 32)) & goes_on)
-        if len(at):
-            one = chars[at + 1]
-            pair = np.where((at + 2 < n) & goes_on[np.minimum(at + 1, n - 1)], chars[np.minimum(at + 2, n - 1)], 0)
-            short = np.isin(one, [ord(c) for c in "stmd"])
-            long = ((one == ord("r")) & (pair == ord("e"))) | ((one == ord("v")) & (pair == ord("e"))) | (
-                (one == ord("l")) & (pair == ord("l")))
-            at, size = at[short | long], np.where(short, 2, 3)[short | long]
-            start[at + 1] = False
-            after = at + size
-            start[after[after < n]] = True
-        return start
 
     def changes(self, data: np.ndarray, reset: np.ndarray) -> np.ndarray:
         """Change of the token count at every byte; ``reset`` marks bytes read from the start state."""
@@ -329,7 +267,7 @@ class Counter:
         offset = np.cumsum(width) - width
         reset = np.zeros(len(data), bool)
         reset[1:] = ~self.vocab.adjacent[data[:-1] << 8 | data[1:]]
-        reset[offset[self.word_starts(chars, begins)]] = True
+        reset[offset[self.split.word_starts(chars, begins)]] = True
         got = np.add.reduceat(self.changes(data, reset).astype(np.int64), offset[begins])
         if len(self.machine.entries) > self.machine.max_states:
             self.machine.clear()
@@ -338,11 +276,12 @@ class Counter:
     def counts(self, texts: list[str]) -> list[int]:
         parts, owner, out = [], [], np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
-            if self.special:
-                out[k] = sum(1 for _ in self.special.finditer(t))
-            for p in self.parts(t):
-                parts.append(p)
-                owner.append(k)
+            for special, p in self.split.parts(t):
+                if special:
+                    out[k] += 1
+                else:
+                    parts.append(p)
+                    owner.append(k)
         for lo, hi in groups_of(list(map(len, parts)), self.window):
             np.add.at(out, owner[lo:hi], self._window(parts[lo:hi]))
         return out.tolist()

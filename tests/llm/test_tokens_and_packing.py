@@ -51,6 +51,15 @@ def test_small_cache_gives_the_same_ids(words):
     assert [np.frombuffer(enc.encode([t])[0], "<u4").tolist() for t in texts] == plain(texts)
 
 
+def test_words_of_a_call_are_looked_up_once(monkeypatch):
+    enc, seen = T.Encoder(T.default_tokenizer()), []
+    look_up = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda words: seen.extend(words) or look_up(words))
+    texts = ["it's a word, a word it's <|endoftext|>\n" * 50, "", " a word\u0378"]
+    assert ids_of(enc, texts) == plain(texts)
+    assert len(seen) == len(set(seen)) < 20
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 32), st.integers(0, 300), st.integers(1, 64))
 def test_segments_round_trip_and_give_ranges(bits, n, block):
