@@ -646,8 +646,8 @@ STREAM_RATE_SQL = STREAM_RATE_SQL + f" AND ts <= date_trunc('millisecond', {_MAX
 
 @register("stream_rate_limit", STREAM_RATE_SQL)
 def stream_rate_limit(spark, sf_dir):
-    return SJ.run_to_files(SJ.rate_limit_stream(B.behavior_stream(spark, sf_dir), CAP),
-                           "rate_limit")
+    return SJ.run_to_files(SJ.rate_limit_stream(B.behavior_stream(spark, sf_dir), CAP,
+                                                buckets=SJ.buckets_for(spark, sf_dir, "events")), "rate_limit")
 
 
 # A burst is final when its span (start + 1 h) or the event that closed it is under the final watermark.
@@ -662,7 +662,8 @@ STREAM_BURSTS_SQL = BURSTS_SQL.replace(
 @register("stream_failure_bursts", STREAM_BURSTS_SQL)
 def stream_failure_bursts(spark, sf_dir):
     return SJ.run_to_files(
-        SJ.failure_bursts_stream(B.behavior_stream(spark, sf_dir), "1 hour", 2),
+        SJ.failure_bursts_stream(B.behavior_stream(spark, sf_dir), "1 hour", 2,
+                                 buckets=SJ.buckets_for(spark, sf_dir, "events")),
         "failure_bursts")
 
 
@@ -758,7 +759,8 @@ def _pay_and_receipt_streams(spark, sf_dir):
 def stream_reconcile_one_to_one(spark, sf_dir):
     pays, lines = _pay_and_receipt_streams(spark, sf_dir)
     return SJ.run_to_files(SJ.reconcile_one_to_one_stream(
-        pays, lines, "tx_id", "pay_ts", "receipt_ts", RECONCILE_TOLERANCE, right_seq="line"), "one_to_one")
+        pays, lines, "tx_id", "pay_ts", "receipt_ts", RECONCILE_TOLERANCE, right_seq="line",
+        buckets=SJ.buckets_for(spark, sf_dir, "orders", "lineitem")), "one_to_one")
 
 
 # J-c on streams: every shipped line is a receipt.
@@ -878,7 +880,8 @@ def stream_hot_urls_corrected(spark, sf_dir):
           f"SELECT * FROM ({RATE_COUNTS_SQL}) q WHERE window_end <= {_MAX_ALL}")
 def stream_rate_limited_counts(spark, sf_dir):
     return SJ.run_to_files(
-        SJ.rate_limited_counts_stream(B.behavior_stream(spark, sf_dir), CAP), "rate_counts")
+        SJ.rate_limited_counts_stream(
+            B.behavior_stream(spark, sf_dir), CAP, buckets=SJ.buckets_for(spark, sf_dir, "events")), "rate_counts")
 
 
 @register("stream_channel_counts",

@@ -341,8 +341,15 @@ RATE_OUT = T.StructType([T.StructField("seq", T.LongType()),
                          T.StructField("tag", T.StringType())])
 
 
-# Buckets of keys for the processors that order rows first; a stream keeps the number it started with.
-BUCKETS = 64
+# Buckets of keys for the processors that order rows first, at least, and the rows one is meant for; a
+# stream keeps the number it started with.
+BUCKETS, BUCKET_ROWS = 64, 200_000
+
+
+def buckets_for(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """Buckets for streams over tables, so that a bucket's state does not grow with them."""
+    rows = sum(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").count() for name in names)
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 def in_buckets(df: DataFrame, keys: list[str], buckets: int):
@@ -385,10 +392,12 @@ def rate_limit_stream(events: DataFrame, cap: int, keep_event_time: bool = False
 
 
 def rate_limited_counts_stream(events: DataFrame, cap: int, size: str = "1 hour",
-                               slide: str = "5 seconds", delay: str = "0 seconds") -> DataFrame:
+                               slide: str = "5 seconds", delay: str = "0 seconds",
+                               buckets: int = BUCKETS) -> DataFrame:
     """J6 on a stream: click cap, then passed clicks per type and sliding
     window (pane form), chained after the stateful processor."""
-    passed = rate_limit_stream(events, cap, keep_event_time=True, delay=delay).filter(F.col("tag") == "pass")
+    passed = rate_limit_stream(events, cap, keep_event_time=True, delay=delay,
+                               buckets=buckets).filter(F.col("tag") == "pass")
     w = stream_window_counts(passed, ["behavior"], size, slide, "clicks")
     return w.select("behavior", "window_start", "window_end", "clicks")
 

@@ -7,13 +7,15 @@ with numpy over all keys of a bucket; no row is looked at alone.
 
 Input is grouped by a ``bucket`` of the key's hash, not by the key, so one
 call serves many keys and one key still meets in one place.  A bucket's state
-holds its waiting rows and what the fold needs of earlier ones, in arrays; it
-is written again when rows or a timer reach the bucket.  More keys want more
-buckets.
+holds its waiting rows and what the fold needs of earlier ones, as one binary
+value of numpy columns (lists would be boxed value by value on both sides of
+the state store); it is written again when rows or a timer reach the bucket.
+More rows want more buckets.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
@@ -46,14 +48,13 @@ class OrderedProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = ", ".join(f"{c} array<{t}>" for c, t in self.columns.items())
-        self.state = handle.getValueState("held", f"{fields}, timer long")
+        self.state = handle.getValueState("held", "columns binary, timer long")
 
     def _load(self):
         if not self.state.exists():
             return None, None
-        *cols, timer = self.state.get()
-        return pd.DataFrame(dict(zip(self.columns, cols))), timer
+        columns, timer = self.state.get()
+        return pd.DataFrame(pickle.loads(columns)), timer
 
     def _run(self, rows: pd.DataFrame, timer, now_ms: int):
         out, held, due = self.fold(rows, now_ms * 1000)
@@ -66,8 +67,8 @@ class OrderedProcessor(StatefulProcessor):
             timer = max(-(-min(changes) // 1000), now_ms + 1)
             self.handle.registerTimer(timer)
             whole = ("long", "bigint", "int")       # a frame without rows may have lost its types
-            self.state.update((*[(held[c].astype(np.int64) if t in whole else held[c]).tolist()
-                                 for c, t in self.columns.items()], timer))
+            self.state.update((pickle.dumps({c: (held[c].astype(np.int64) if t in whole else held[c]).to_numpy()
+                                             for c, t in self.columns.items()}, protocol=5), timer))
         else:
             self.state.clear()
         return out
