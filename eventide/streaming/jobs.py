@@ -27,7 +27,7 @@ from eventide.operators.windows import window_count
 from eventide.session import path_kind, scratch_path
 from eventide.streaming.ordered import BurstProcessor, CapProcessor, OneToOneProcessor
 from eventide.streaming.processors import (FollowedByProcessor, ProcessingTimeCapProcessor,
-                                           RepeatProcessor, SlidingCountProcessor)
+                                           RepeatProcessor, SlidingCountProcessor, SlidingTopProcessor)
 from eventide.streaming.upsert import UpsertTable
 
 log = logging.getLogger(__name__)
@@ -266,6 +266,33 @@ def sliding_counts_stream(timed: DataFrame, keys: list[str], size: str, slide: s
     return out.withColumnRenamed("count", name) if name != "count" else out
 
 
+def sliding_top_stream(timed: DataFrame, key: str, n: int, size: str, slide: str, name: str,
+                       buckets: int = 8, chunk: int = 16) -> DataFrame:
+    """The ``n`` largest counts per sliding window and bucket of a string key's hash.
+
+    Panes as in :func:`sliding_counts_stream`, grouped by stretches of
+    ``chunk`` window sizes (panes near an edge are in two) and by bucket.  A
+    group sees the whole counts of its keys when a window closes, so
+    :class:`SlidingTopProcessor` ranks them at once and no other count leaves
+    its task.  Output: key,
+    window_start, window_end, ``name``, event_time (end - 1 us).
+    """
+    panes = (timed.groupBy(key, F.window("event_time", slide).alias("pane"))
+             .agg(F.count(F.lit(1)).alias("cnt")))
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    length = chunk * size_us
+    rows = panes.select(key, F.unix_micros(F.col("pane.start")).alias("ev_us"), "cnt", "pane")
+    rows = rows.withColumn("chunk", F.explode(F.sequence(
+        F.floor((F.col("ev_us") - size_us + slide_us) / length), F.floor(F.col("ev_us") / length))))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    out = T.StructType([timed.schema[key], T.StructField("window_start", T.TimestampNTZType()),
+                        T.StructField("window_end", T.TimestampNTZType()), T.StructField(name, T.LongType()),
+                        T.StructField("event_time", T.TimestampType())])
+    return rows.groupBy("chunk", "bucket").transformWithStateInPandas(
+        SlidingTopProcessor(size_us, slide_us, key, n, name, chunk * size_us // slide_us), out, "Append", "EventTime",
+        eventTimeColumnName="event_time")
+
+
 def hot_items_stream(events: DataFrame, n: int = 3, size: str = "1 hour",
                      slide: str = "5 minutes") -> DataFrame:
     """J1 on a stream: views -> window counts -> top n per window end."""
@@ -280,8 +307,7 @@ def hot_urls_stream(logs: DataFrame, n: int = 5, size: str = "10 minutes",
     become one 61 s watermark delay (T2 + T3); each window is ranked once,
     complete, when the watermark passes its end."""
     timed = event_time(logs, "ts", delay)
-    wins = stream_window_counts(timed, ["url"], size, slide, "views")
-    return top_n_stream(wins, "url", "views", n, slide)
+    return top_n_stream(sliding_top_stream(timed, "url", n, size, slide, "views"), "url", "views", n, slide, salt=1)
 
 
 def pane_counts_stream(timed: DataFrame, keys: list[str], slide: str) -> DataFrame:

@@ -290,6 +290,117 @@ class SlidingCountProcessor(StatefulProcessor):
         pass
 
 
+class SlidingTopProcessor(StatefulProcessor):
+    """W3-W6 + K1 on a stream: the ``n`` largest counts of each closed window among a bucket's string keys
+    (equal counts by key, null first).
+
+    Grouped by (``chunk``, bucket): a group has the windows that start in
+    panes ``chunk * chunk_panes`` to ``(chunk + 1) * chunk_panes - 1``.  Its
+    state is the pane counts that its open windows need, as numpy columns in
+    one binary value, and the last window that was closed.
+    """
+
+    CELLS = 1 << 20        # counts of keys and windows at once
+
+    def __init__(self, size_us: int, slide_us: int, key_name: str, top: int, name: str, chunk_panes: int):
+        if size_us % slide_us:
+            raise ValueError("size must be a multiple of slide")
+        self.slide_us, self.n = slide_us, size_us // slide_us
+        self.key_name, self.top, self.name, self.chunk_panes = key_name, top, name, chunk_panes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("panes", "columns binary, done long, timer long")
+
+    def _load(self):
+        import pickle
+        if not self.state.exists():
+            return pd.DataFrame({"key": pd.Series(dtype=object), "pane": pd.Series(dtype="int64"),
+                                 "cnt": pd.Series(dtype="int64")}), None, None
+        columns, done, timer = self.state.get()
+        return pd.DataFrame(pickle.loads(columns)), done, timer
+
+    def _ranked(self, panes: pd.DataFrame, lo: int, hi: int):
+        """The largest counts of windows lo .. hi, a stretch of windows at a time."""
+        import numpy as np
+        names = sorted({k for k in panes["key"] if isinstance(k, str)})
+        code = {k: i + 1 for i, k in enumerate(names)}
+        names = np.array([None, *names], dtype=object)
+        keys = np.fromiter((code.get(k, 0) for k in panes["key"]), np.int64, len(panes))
+        pane, cnt = panes["pane"].to_numpy(np.int64), panes["cnt"].to_numpy(np.int64)
+        order = np.argsort(pane, kind="stable")
+        keys, pane, cnt = keys[order], pane[order], cnt[order]
+        a = lo
+        while a <= hi:
+            first = np.searchsorted(pane, a)
+            if first == len(pane):
+                return
+            a = max(a, int(pane[first]) - self.n + 1)      # windows before that are empty
+            step = hi - a + 1
+            if step < 1:
+                return
+            while step > 1 and ((np.searchsorted(pane, a + step + self.n - 1) - first) * min(step, self.n)
+                                > self.CELLS):
+                step //= 2
+            last = np.searchsorted(pane, a + step + self.n - 1)
+            # pane p is in windows p - n + 1 .. p
+            begin = np.maximum(pane[first:last] - self.n + 1, a)
+            per = np.minimum(pane[first:last], a + step - 1) - begin + 1
+            row = np.repeat(np.arange(last - first), per)
+            win = begin[row] + np.arange(len(row)) - (np.cumsum(per) - per)[row]
+            cell, at = np.unique((win - a) * len(names) + keys[first:last][row], return_inverse=True)
+            count = np.zeros(len(cell), np.int64)
+            np.add.at(count, at, cnt[first:last][row])
+            win, key = cell // len(names), cell % len(names)
+            order = np.lexsort((key, -count, win))
+            win, key, count = win[order], key[order], count[order]
+            place = np.arange(len(win)) - np.searchsorted(win, win)
+            keep = place < self.top
+            start = (win[keep] + a) * self.slide_us * 1000
+            end = start + self.n * self.slide_us * 1000
+            yield pd.DataFrame({self.key_name: names[key[keep]], "window_start": pd.to_datetime(start),
+                                "window_end": pd.to_datetime(end), self.name: count[keep],
+                                "event_time": pd.to_datetime(end - 1000, utc=True)})
+            a += step
+
+    def _close(self, chunk: int, panes: pd.DataFrame, done, timer, wm_ms: int):
+        import pickle
+        low, high = chunk * self.chunk_panes, (chunk + 1) * self.chunk_panes - 1       # the group's windows
+        last_closed = (wm_ms * 1000) // self.slide_us - self.n if wm_ms > 0 else None
+        if len(panes) and last_closed is not None:
+            lo = max(low, int(panes["pane"].min()) - self.n + 1)
+            lo = lo if done is None else max(done + 1, lo)
+            yield from self._ranked(panes, lo, min(last_closed, high, int(panes["pane"].max())))
+            done = last_closed if done is None else max(done, last_closed)
+            panes = panes[panes["pane"] > done] if done < high else panes[:0]            # panes of windows still open
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        if len(panes):
+            first_open = max(low, int(panes["pane"].min()) - self.n + 1)
+            first_open = first_open if done is None else max(done + 1, first_open)
+            timer = -(-((first_open + self.n) * self.slide_us) // 1000)
+            self.handle.registerTimer(timer)
+            self.state.update((pickle.dumps({c: panes[c].to_numpy() for c in panes}, protocol=5), done, timer))
+        else:
+            self.state.clear()
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        panes, done, timer = self._load()
+        new = [pd.DataFrame({"key": f[self.key_name].astype(object), "pane": f["ev_us"].astype("int64") // self.slide_us,
+                             "cnt": f["cnt"].astype("int64")}) for f in rows]
+        panes = pd.concat([panes, *new], ignore_index=True)
+        if done is not None:
+            panes = panes[panes["pane"] > done]            # panes of emitted windows: late
+        yield from self._close(int(key[0]), panes, done, timer, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo: ExpiredTimerInfo):
+        panes, done, _ = self._load()
+        yield from self._close(int(key[0]), panes, done, None, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
 class ProcessingTimeCapProcessor(StatefulProcessor):
     """T5 with the reference's clock (T8): the count starts with the first
     row of a key and is cleared by a processing-time timer at the next UTC
