@@ -59,7 +59,9 @@ def rocksdb_state(spark: SparkSession):
     read when a query starts: start queries inside this block; the session's
     own settings are put back after it."""
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+              # counting the rows of the state costs a read before every write
+              "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
