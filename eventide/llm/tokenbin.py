@@ -24,6 +24,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,6 +137,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     return path
 
 
+def binary_values(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The documents' ids, which lie end to end in ``flat``, as one little-endian binary value each.
+
+    Arrow takes the memory as it is.  It must not be given memoryviews: it
+    keeps a reference to each, so a worker would hold all ids it ever read.
+    """
+    data = np.ascontiguousarray(flat, "<u4")
+    offsets = 4 * np.concatenate([[0], ends]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends),
+                                            [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """The documents of a token folder: doc_id, shard, start (ids of all documents before it), ids.
 
@@ -157,9 +170,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             ids, lens = b.column(3)[k].as_py(), b.column(4)[k].as_py()
             ends = np.cumsum(np.asarray(lens, np.int64))
             start = base[shard] + first + ends - np.asarray(lens, np.int64)
-            raw = memoryview(flat.astype("<u4").tobytes())
             yield {"doc_id": ids, "shard": [shard] * len(ids), "start": start, "n_tokens": lens,
-                   "ids": [raw[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), lens)]}
+                   "ids": binary_values(flat, ends)}
 
     cols = segs.select("shard", "first_id", "payload", "doc_ids", "doc_lengths")
     return map_batches(cols, unpack, "doc_id long, shard int, start long, n_tokens long, ids binary", 8)

@@ -1,9 +1,12 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from eventide.llm import common as C
 from eventide.llm import packing as P
 from eventide.llm import tokenbin as B
 from eventide.llm import tokens as T
@@ -85,6 +88,47 @@ def test_token_files(spark, odd_docs):
         at += len(ids)
 
 
+class TaskOf:
+    """Stands for a table; gives the function that its tasks would run."""
+
+    def __init__(self, df):
+        self.sparkSession = df.sparkSession
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_reading_holds_no_ids_of_segments_that_are_done(spark, words, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(words[i:i + 300])) for i in range(200)], "doc_id long, text string")
+    path = B.write_token_files(docs, str(tmp_path / "files"), segment_ids=2000)
+    monkeypatch.setattr(B, "map_batches", lambda df, *a: C.map_batches(TaskOf(df), *a))
+    run = B.read_token_files(spark, path)
+    segs = spark.read.schema(B.SEGMENTS).parquet(path)
+    batches = segs.select("shard", "first_id", "payload", "doc_ids", "doc_lengths").toArrow().to_batches()
+
+    def read():
+        return sum(4 * sum(b.column("n_tokens").to_pylist()) for b in run(iter(batches)))
+
+    size = read()
+    tracemalloc.start()
+    try:
+        read()
+        before = tracemalloc.get_traced_memory()[0]
+        for _ in range(5):
+            assert read() == size
+        assert tracemalloc.get_traced_memory()[0] - before < size / 2
+    finally:
+        tracemalloc.stop()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=20))
+def test_binary_values_are_cut_at_the_ends(lens):
+    flat = np.arange(sum(lens), dtype=np.uint32)
+    got = B.binary_values(flat, np.cumsum(np.asarray(lens, np.int64))).cast(pa.binary()).to_pylist()
+    assert b"".join(got) == flat.astype("<u4").tobytes() and [len(x) // 4 for x in got] == lens
+
+
 def test_no_documents(spark, no_docs):
     assert B.token_files(spark, no_docs).count() == 0
     assert P.pack(no_docs).count() == 0
